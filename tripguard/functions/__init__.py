@@ -6,13 +6,14 @@ from tripguard.functions.scalar import (  # noqa: F401
     hex_to_unit,
     hmac_sha256_hex,
     hour_bucket,
+    int64_sql,
     keyed_pseudonym,
-    month_start,
     parse_timestamp,
     period_label,
     rnd,
+    rnd_sql,
     share,
+    share_sql,
     sorted_json,
-    to_int64,
     unit_draw,
 )

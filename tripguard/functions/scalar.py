@@ -7,27 +7,35 @@ import hashlib
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EXACT_BELOW = 1e15  # a larger double carries no hundredths to round
+_EXACT_BELOW = "1e15D"  # a larger double carries no hundredths to round
 
 
-def rnd(value: Column, digits: int) -> Column:
-    """Round half up on the ten-digit decimal form of a double.
+def rnd_sql(value: str, digits: int) -> str:
+    """SQL text that rounds a double half up on its ten-digit decimal form.
 
     Going through a decimal first makes the last bits of a floating sum, which
     depend on the order of partial aggregates, irrelevant to the result.
     """
-    exact = F.round(value.cast("decimal(28,10)"), digits).cast("double")
-    return F.when(F.abs(value) < _EXACT_BELOW, exact).otherwise(value)
+    exact = f"cast(round(cast({value} as decimal(28,10)), {digits}) as double)"
+    return f"if(abs({value}) < {_EXACT_BELOW}, {exact}, {value})"
 
 
-def share(part: Column, whole: Column) -> Column:
-    """part / whole as a double, null when ``whole`` is 0."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))
+def share_sql(part: str, whole: str) -> str:
+    """SQL text for part / whole as a double, null when ``whole`` is 0."""
+    return f"try_divide(cast({part} as double), cast({whole} as double))"
 
 
-def to_int64(value: Column) -> Column:
-    """Cast a double to bigint, halves away from zero, bad values to null."""
-    return F.round(value.cast("double")).try_cast("bigint")
+def int64_sql(value: str) -> str:
+    """SQL text casting to bigint, halves away from zero, bad values to null."""
+    return f"try_cast(round(cast({value} as double)) as bigint)"
+
+
+def rnd(value: str, digits: int) -> Column:
+    return F.expr(rnd_sql(value, digits))
+
+
+def share(part: str, whole: str) -> Column:
+    return F.expr(share_sql(part, whole))
 
 
 def canon_ts(value: Column) -> Column:
@@ -86,10 +94,6 @@ def period_label(year: Column, month: Column) -> Column:
     return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
-def month_start(year: Column, month: Column) -> Column:
-    return F.make_date(year, month, F.lit(1))
-
-
 def sorted_json(*names: str) -> Column:
     """One JSON object per row, keys in name order, nulls kept."""
     return F.to_json(

@@ -26,12 +26,11 @@ def present_columns(trips: DataFrame, candidates: list[str] = DATA_COLUMNS) -> D
     Counts only, so a file of any size sends one row per task.
     """
     keys = ["source_file", "data_year", "data_month", "schema_version"]
-    counted = trips.groupBy(*keys).agg(
+    names = ", ".join(f"if(count({c}) > 0, '{c}', null)" for c in candidates)
+    return trips.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count(c).alias(f"_n_{c}") for c in candidates],
+        F.expr(f"array_sort(array_compact(array({names})))").alias("columns"),
     )
-    names = F.array(*[F.when(F.col(f"_n_{c}") > 0, F.lit(c)) for c in candidates])
-    return counted.select(*keys, "row_count", F.array_sort(F.array_compact(names)).alias("columns"))
 
 
 def _csv_difference(a: Column, b: Column) -> Column:

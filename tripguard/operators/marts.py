@@ -60,9 +60,9 @@ def analytics_safe(consented: DataFrame, min_cell: int = MIN_CELL) -> DataFrame:
     )
     return cells.agg(
         F.count(F.lit(1)).alias("trip_count"),
-        rnd(F.avg("trip_distance_miles"), 2).alias("avg_trip_distance_miles"),
-        rnd(F.avg("fare_amount"), 2).alias("avg_fare_amount"),
-        rnd(F.avg("total_amount"), 2).alias("avg_total_amount"),
+        rnd("avg(trip_distance_miles)", 2).alias("avg_trip_distance_miles"),
+        rnd("avg(fare_amount)", 2).alias("avg_fare_amount"),
+        rnd("avg(total_amount)", 2).alias("avg_total_amount"),
         F.min("k_anonymity").alias("minimum_trip_k"),
     ).filter(F.col("trip_count") >= min_cell)
 

@@ -52,7 +52,7 @@ def row_number_by(
     order: list[str],
     out: str,
     hot_rows: int = HOT_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
+    smallinput_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order nulls first)``.
 
@@ -64,7 +64,7 @@ def row_number_by(
     """
     within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     plain = F.row_number().over(within).cast("bigint")
-    if _input_bytes(df) < small_input_bytes:
+    if input_bytes(df) < smallinput_bytes:
         return df.withColumn(out, plain)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
     hot = _hot_buckets(df, bucket, hot_rows)
@@ -75,7 +75,7 @@ def row_number_by(
     return df.filter(~is_hot).withColumn(out, plain).unionByName(spread)
 
 
-def _input_bytes(df: DataFrame) -> int:
+def input_bytes(df: DataFrame) -> int:
     """Size of everything the plan reads, as its sources report it."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import month_start, rnd, share
+from tripguard.functions import rnd_sql, share_sql
 
 MONTH_KEYS = ["data_year", "data_month", "schema_version"]
 
@@ -28,6 +28,33 @@ COMPLETENESS_TERMS = [
 ]
 
 
+# Name of each further metric and the aggregate behind it.
+STATISTICS = {
+    "avg_trip_distance_miles": rnd_sql("avg(trip_distance_miles)", 2),
+    "min_trip_distance_miles": rnd_sql("min(trip_distance_miles)", 2),
+    "max_trip_distance_miles": rnd_sql("max(trip_distance_miles)", 2),
+    "stddev_trip_distance": rnd_sql("stddev_samp(trip_distance_miles)", 2),
+    "avg_fare_amount": rnd_sql("avg(fare_amount)", 2),
+    "min_fare_amount": rnd_sql("min(fare_amount)", 2),
+    "max_fare_amount": rnd_sql("max(fare_amount)", 2),
+    "avg_passenger_count": rnd_sql("avg(cast(passenger_count as double))", 2),
+    "active_days": "cast(coalesce(bit_count(bit_or(day_bit)), 0) as bigint)",
+    "earliest_trip_date": "to_date(min(pickup_at))",
+    "latest_trip_date": "to_date(max(pickup_at))",
+    "negative_fare_count": "count_if(fare_amount < 0)",
+    "negative_total_amount_count": "count_if(total_amount < 0)",
+    "zero_distance_trip_count": "count_if(trip_distance_miles = 0)",
+    "first_ingested_at": "min(ingested_at)",
+    "last_ingested_at": "max(ingested_at)",
+}
+# A bit for the day of the month, if the trip lies in its file's month.
+DAY_BIT = """
+    if(year(pickup_at) = data_year and month(pickup_at) = data_month,
+       shiftleft(1, dayofmonth(pickup_at) - 1), null) as day_bit
+"""
+DAYS_IN_MONTH = "cast(dayofmonth(last_day(make_date(data_year, data_month, 1))) as bigint)"
+
+
 def monthly_counts(staged: DataFrame) -> DataFrame:
     """One row per month and era: counts, null rates, value statistics.
 
@@ -35,56 +62,33 @@ def monthly_counts(staged: DataFrame) -> DataFrame:
     per month it has seen, however large or uneven the months are. Active days
     are a bit set of days of the month rather than a distinct count.
     """
-    rows = F.count(F.lit(1))
-    in_month = (F.year("pickup_at") == F.col("data_year")) & (
-        F.month("pickup_at") == F.col("data_month")
-    )
-    day_bit = F.when(in_month, F.expr("shiftleft(1, dayofmonth(pickup_at) - 1)"))
-    first_day = month_start(F.col("data_year"), F.col("data_month"))
-    distance, fare = F.col("trip_distance_miles"), F.col("fare_amount")
-
-    aggregates = [rows.alias("total_rows")]
+    aggregates = ["count(*) as total_rows"]
     for name, column in NULL_RATES.items():
-        nulls = F.count_if(F.col(column).isNull())
-        aggregates.append(rnd(share(nulls, rows), 4).alias(name))
-    aggregates += [
-        rnd(F.avg(distance), 2).alias("avg_trip_distance_miles"),
-        rnd(F.min(distance), 2).alias("min_trip_distance_miles"),
-        rnd(F.max(distance), 2).alias("max_trip_distance_miles"),
-        rnd(F.stddev_samp(distance), 2).alias("stddev_trip_distance"),
-        rnd(F.avg(fare), 2).alias("avg_fare_amount"),
-        rnd(F.min(fare), 2).alias("min_fare_amount"),
-        rnd(F.max(fare), 2).alias("max_fare_amount"),
-        rnd(F.avg(F.col("passenger_count").cast("double")), 2).alias("avg_passenger_count"),
-        F.coalesce(F.bit_count(F.bit_or(day_bit)), F.lit(0)).cast("bigint").alias("active_days"),
-        F.min(F.to_date("pickup_at")).alias("earliest_trip_date"),
-        F.max(F.to_date("pickup_at")).alias("latest_trip_date"),
-        F.count_if(fare < 0).alias("negative_fare_count"),
-        F.count_if(F.col("total_amount") < 0).alias("negative_total_amount_count"),
-        F.count_if(distance == 0).alias("zero_distance_trip_count"),
-        F.min("ingested_at").alias("first_ingested_at"),
-        F.max("ingested_at").alias("last_ingested_at"),
-    ]
-    return staged.groupBy(*MONTH_KEYS).agg(*aggregates).withColumn(
-        "days_in_month", F.dayofmonth(F.last_day(first_day)).cast("bigint")
+        rate = share_sql(f"count_if({column} is null)", "count(*)")
+        aggregates.append(f"{rnd_sql(rate, 4)} as {name}")
+    aggregates += [f"{aggregate} as {name}" for name, aggregate in STATISTICS.items()]
+    return (
+        staged.selectExpr("*", DAY_BIT)
+        .groupBy(*MONTH_KEYS)
+        .agg(*[F.expr(aggregate) for aggregate in aggregates])
+        .selectExpr("*", f"{DAYS_IN_MONTH} as days_in_month")
     )
 
 
+COMPLETENESS = rnd_sql(f"1.0D - ({' + '.join(COMPLETENESS_TERMS)}) / 5.0D", 4)
+ERA_AVERAGE = "avg(cast(total_rows as double)) over (partition by schema_version)"
+VOLUME = rnd_sql(f"least(1.0D, {share_sql('total_rows', 'era_average')})", 4)
+
+
 def score_months(monthly: DataFrame) -> DataFrame:
     """Completeness, and volume against the average month of the era.
 
     The window runs over months, some dozens per era, not over trips.
     """
-    era_average = F.avg(F.col("total_rows").cast("double")).over(
-        Window.partitionBy("schema_version")
-    )
-    null_total = sum((F.col(c) for c in COMPLETENESS_TERMS[1:]), F.col(COMPLETENESS_TERMS[0]))
-    volume = F.least(F.lit(1.0), share(F.col("total_rows"), era_average))
-    return monthly.withColumns(
-        {
-            "completeness_score": rnd(F.lit(1.0) - null_total / F.lit(5.0), 4),
-            "volume_anomaly_score": rnd(volume, 4),
-        }
+    return monthly.selectExpr("*", f"{ERA_AVERAGE} as era_average").selectExpr(
+        *monthly.columns,
+        f"{COMPLETENESS} as completeness_score",
+        f"{VOLUME} as volume_anomaly_score",
     )
 
 

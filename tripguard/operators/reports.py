@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import period_label, rnd
+from tripguard.functions import rnd
 from tripguard.operators.trust import confidence_label, risk_driver
 
 MONTH_LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -22,42 +22,34 @@ YEAR_AVERAGES = [
 ]
 
 
-def period() -> Column:
-    return period_label(F.col("data_year"), F.col("data_month"))
+PERIOD = "concat(data_year, '-', lpad(data_month, 2, '0'))"
+# Average fare over average distance, null without distance.
+FARE_PER_MILE = "if(avg_trip_distance_miles > 0, avg_fare_amount / avg_trip_distance_miles, null)"
 
-
-def fare_per_mile() -> Column:
-    """Average fare over average distance, null without distance."""
-    distance = F.col("avg_trip_distance_miles")
-    return F.when(distance > 0, F.col("avg_fare_amount") / distance)
+# What is told of the worst and the best month of a year.
+MONTH_FIELDS = {
+    "period": PERIOD,
+    "trips": "coalesce(total_rows, 0)",
+    "trust_score": "coalesce(trust_score, 0.0D)",
+    "volume_anomaly_score": "coalesce(volume_anomaly_score, 0.0D)",
+    "avg_fare_amount": "coalesce(avg_fare_amount, 0.0D)",
+}
 
 
 def with_fare_per_mile(scores: DataFrame) -> DataFrame:
-    return scores.withColumn("fare_per_mile", fare_per_mile())
+    return scores.selectExpr("*", f"{FARE_PER_MILE} as fare_per_mile")
 
 
-def _weighted(column: str) -> Column:
-    """Average weighted by trips; a missing value counts as 0 with its weight.
+def _weighted(column: str) -> str:
+    """Average weighted by trips; a missing value counts as 0 with its weight,
+    and without trips the plain average is taken.
 
     Summed as decimals, so the order of the months cannot change the result.
     """
-    value = F.coalesce(F.col(column), F.lit(0.0)).cast("decimal(18,8)")
-    weight = F.coalesce(F.col("total_rows"), F.lit(0)).cast("decimal(12,0)")
-    total = F.sum(weight).cast("double")
-    plain = F.coalesce(F.avg(column), F.lit(0.0))
-    weighted = F.sum(value * weight).cast("double") / F.nullif(total, F.lit(0.0))
-    return F.coalesce(weighted, plain).alias(column)
-
-
-def _month_fields() -> list[Column]:
-    zero = F.lit(0.0)
-    return [
-        period().alias("period"),
-        F.coalesce("total_rows", F.lit(0)).alias("trips"),
-        F.coalesce("trust_score", zero).alias("trust_score"),
-        F.coalesce("volume_anomaly_score", zero).alias("volume_anomaly_score"),
-        F.coalesce("avg_fare_amount", zero).alias("avg_fare_amount"),
-    ]
+    weight = "cast(coalesce(total_rows, 0) as decimal(12,0))"
+    weighted = f"sum(cast(coalesce({column}, 0.0D) as decimal(18,8)) * {weight})"
+    total = f"nullif(cast(sum({weight}) as double), 0.0D)"
+    return f"coalesce(cast({weighted} as double) / {total}, avg({column}), 0.0D) as {column}"
 
 
 def year_summary(scores: DataFrame) -> DataFrame:
@@ -65,29 +57,30 @@ def year_summary(scores: DataFrame) -> DataFrame:
 
     Ties go to the earlier month.
     """
-    month = F.struct(*_month_fields())
-    scored = F.col("trust_score").isNotNull()
-    worst = F.min(F.when(scored, F.struct("trust_score", "data_month", month.alias("m"))))
-    best = F.max(F.when(scored, F.struct("trust_score", (-F.col("data_month")).alias("o"), month.alias("m"))))
-    grouped = with_fare_per_mile(scores).groupBy("data_year").agg(
-        F.count_distinct("data_month").alias("months"),
-        F.sum("total_rows").alias("total_rows"),
+    month = "struct(" + ", ".join(f"{v} as {k}" for k, v in MONTH_FIELDS.items()) + ") as m"
+    aggregates = [
+        "count(distinct data_month) as months",
+        "sum(total_rows) as total_rows",
         *[_weighted(c) for c in YEAR_AVERAGES],
-        F.count_if(F.col("trust_score") < LOW_TRUST).alias("low_trust_months"),
-        F.count_if(F.col("volume_anomaly_score") < LOW_VOLUME).alias("low_volume_months"),
-        worst.alias("_worst"),
-        best.alias("_best"),
-    )
-    fields = ["period", "trips", "trust_score", "volume_anomaly_score", "avg_fare_amount"]
+        f"count_if(trust_score < {LOW_TRUST}D) as low_trust_months",
+        f"count_if(volume_anomaly_score < {LOW_VOLUME}D) as low_volume_months",
+        f"min(if(trust_score is null, null, struct(trust_score, data_month, {month}))) as worst",
+        f"max(if(trust_score is null, null, struct(trust_score, -data_month, {month}))) as best",
+    ]
+    grouped = with_fare_per_mile(scores).groupBy("data_year").agg(*[F.expr(a) for a in aggregates])
     return grouped.select(
         "data_year",
         "months",
         "total_rows",
         *YEAR_AVERAGES,
-        confidence_label(F.col("trust_score")).alias("confidence"),
+        confidence_label("trust_score").alias("confidence"),
         "low_trust_months",
         "low_volume_months",
-        *[F.col(f"_{end}.m.{f}").alias(f"{end}_{f}") for end in ("worst", "best") for f in fields],
+        *[
+            F.col(f"{end}.m.{name}").alias(f"{end}_{name}")
+            for end in ("worst", "best")
+            for name in MONTH_FIELDS
+        ],
     )
 
 
@@ -96,16 +89,19 @@ def year_over_year(summary: DataFrame) -> DataFrame:
 
     The window runs over years, a handful of rows.
     """
-    order = Window.orderBy("data_year")
-    before = {c: F.lag(c).over(order) for c in ("data_year", "total_rows", "trust_score", "avg_fare_amount")}
-    trips = F.try_divide(F.col("total_rows").cast("double"), before["total_rows"].cast("double"))
-    return summary.select(
+    order = "over (order by data_year)"
+    trips = f"try_divide(cast(total_rows as double), lag(total_rows) {order})"
+    changes = {
+        "trips_change_pct": f"({trips} - 1.0D) * 100.0D",
+        "trust_change_points": f"(trust_score - lag(trust_score) {order}) * 10.0D",
+        "avg_fare_change": f"avg_fare_amount - lag(avg_fare_amount) {order}",
+    }
+    raw = summary.selectExpr(
         "data_year",
-        before["data_year"].alias("previous_year"),
-        rnd((trips - F.lit(1.0)) * F.lit(100.0), 1).alias("trips_change_pct"),
-        rnd((F.col("trust_score") - before["trust_score"]) * F.lit(10.0), 1).alias("trust_change_points"),
-        rnd(F.col("avg_fare_amount") - before["avg_fare_amount"], 1).alias("avg_fare_change"),
+        f"lag(data_year) {order} as previous_year",
+        *[f"{change} as {name}" for name, change in changes.items()],
     )
+    return raw.select("data_year", "previous_year", *[rnd(c, 1).alias(c) for c in changes])
 
 
 def seasonal_profile(scores: DataFrame, excluded_year: int = SHOCK_YEAR) -> DataFrame:
@@ -122,9 +118,9 @@ def seasonal_profile(scores: DataFrame, excluded_year: int = SHOCK_YEAR) -> Data
 
 def peak_trough(scores: DataFrame) -> DataFrame:
     """Months with most and fewest trips, the earliest on ties."""
-    at = F.col("data_year") * 12 + F.col("data_month")
-    peak = F.max(F.struct("total_rows", (-at).alias("o"), period().alias("period")))
-    trough = F.min(F.struct("total_rows", at.alias("o"), period().alias("period")))
+    place = "data_year * 12 + data_month"
+    peak = F.expr(f"max(struct(total_rows, -({place}), {PERIOD} as period))")
+    trough = F.expr(f"min(struct(total_rows, {place}, {PERIOD} as period))")
     return scores.agg(peak.alias("p"), trough.alias("t")).select(
         F.col("p.period").alias("peak_period"),
         F.col("p.total_rows").alias("peak_trips"),
@@ -138,12 +134,12 @@ def fare_per_mile_year(scores: DataFrame, year: int | None = None) -> DataFrame:
     rows = with_fare_per_mile(scores)
     if year is not None:
         rows = rows.filter(F.col("data_year") == year)
-    return rows.groupBy("data_year").agg(rnd(F.avg("fare_per_mile"), 6).alias("fare_per_mile"))
+    return rows.groupBy("data_year").agg(rnd("avg(fare_per_mile)", 6).alias("fare_per_mile"))
 
 
 def volume_by_era(quality: DataFrame) -> DataFrame:
     """Trips per month with the era of the month."""
-    return quality.select(period().alias("period"), "schema_version", "total_rows")
+    return quality.selectExpr(f"{PERIOD} as period", "schema_version", "total_rows")
 
 
 def volume_trend(scores: DataFrame) -> DataFrame:
@@ -177,7 +173,7 @@ def fare_evolution(scores: DataFrame) -> DataFrame:
         F.col("avg_trip_distance_miles").alias("avg_distance_miles"),
         F.col("avg_passenger_count").alias("avg_passengers"),
         F.col("total_rows").alias("total_trips"),
-        fare_per_mile().alias("fare_per_mile"),
+        F.expr(FARE_PER_MILE).alias("fare_per_mile"),
     )
 
 
@@ -191,9 +187,9 @@ def month_review(scores: DataFrame, year: int | None = None) -> DataFrame:
         "data_month",
         F.get(names, F.col("data_month") - 1).alias("month_label"),
         F.col("total_rows").alias("trips"),
-        rnd(F.col("trust_score") * F.lit(10.0), 1).alias("trust_out_of_10"),
-        rnd(F.col("volume_anomaly_score") * F.lit(100.0), 0).alias("volume_pct"),
-        rnd(F.col("avg_fare_amount"), 2).alias("avg_fare"),
+        rnd("trust_score * 10.0D", 1).alias("trust_out_of_10"),
+        rnd("volume_anomaly_score * 100.0D", 0).alias("volume_pct"),
+        rnd("avg_fare_amount", 2).alias("avg_fare"),
         risk_driver().alias("risk_driver"),
     )
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import month_start
-
 # Windows in days, and the columns the first applies to.
 RAW_DAYS = 365
 FEATURE_DAYS = 730
@@ -31,7 +29,7 @@ def suppress_raw(trips: DataFrame, as_of: str, days: int = RAW_DAYS) -> DataFram
 
 def expire_features(mart: DataFrame, as_of: str, days: int = FEATURE_DAYS) -> DataFrame:
     """Drop rows whose whole month is older than the window."""
-    month_end = F.last_day(month_start(F.col("data_year"), F.col("data_month")))
+    month_end = F.expr("last_day(make_date(data_year, data_month, 1))")
     return mart.filter(~_older(month_end, as_of, days))
 
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import rnd, share
+from tripguard.functions import rnd, share_sql
 
 # The quasi-identifiers and the k below which a row is at risk.
 QUASI_IDENTIFIERS = ["pu_location_id", "do_location_id", "pickup_hour", "pickup_day_of_week"]
 K_THRESHOLD = 5
 
 
+TIME_PARTS = {
+    "pickup_hour": "cast(hour(pickup_at) as bigint)",
+    "pickup_day_of_week": "cast(dayofweek(pickup_at) as bigint)",  # Sunday = 1
+    "pickup_weekday": "cast(weekday(pickup_at) as bigint)",  # Monday = 0
+}
+
+
 def with_time_parts(trips: DataFrame) -> DataFrame:
     """pickup_hour, and both weekday conventions under different names."""
-    return trips.withColumns(
-        {
-            "pickup_hour": F.hour("pickup_at").cast("bigint"),
-            "pickup_day_of_week": F.dayofweek("pickup_at").cast("bigint"),  # Sunday = 1
-            "pickup_weekday": F.weekday("pickup_at").cast("bigint"),  # Monday = 0
-        }
+    return trips.selectExpr(
+        *[c for c in trips.columns if c not in TIME_PARTS],
+        *[f"{expression} as {name}" for name, expression in TIME_PARTS.items()],
     )
 
 
@@ -111,15 +115,14 @@ def suppress_outliers(scored: DataFrame, threshold: int = K_THRESHOLD) -> DataFr
 
 def risk_summary(classes: DataFrame, k: int = K_THRESHOLD) -> DataFrame:
     """Totals over all rows, from the class sizes: the rows need no second pass."""
-    size = F.col("k_anonymity")
-    total = F.coalesce(F.sum(size), F.lit(0))
-    high = F.coalesce(F.sum(F.when(size < k, size)), F.lit(0))
+    total = "coalesce(sum(k_anonymity), 0)"
+    high = f"coalesce(sum(if(k_anonymity < {int(k)}, k_anonymity, null)), 0)"
     return classes.agg(
-        total.alias("total_records"),
-        high.alias("high_risk_records"),
-        F.coalesce(rnd(share(high, total), 4), F.lit(0.0)).alias("high_risk_rate"),
-        F.min(size).alias("minimum_k"),
-        F.max(size).alias("maximum_k"),
+        F.expr(total).alias("total_records"),
+        F.expr(high).alias("high_risk_records"),
+        F.coalesce(rnd(share_sql(high, total), 4), F.lit(0.0)).alias("high_risk_rate"),
+        F.min("k_anonymity").alias("minimum_k"),
+        F.max("k_anonymity").alias("maximum_k"),
     )
 
 
@@ -132,9 +135,9 @@ def min_k_pivot(classes: DataFrame) -> DataFrame:
         .pivot("pickup_hour", hours)
         .agg(F.min("k_anonymity"))
     )
-    return pivoted.select(
+    return pivoted.selectExpr(
         "pu_location_id",
-        *[F.coalesce(F.col(f"`{h}`"), F.lit(0)).cast("bigint").alias(f"hour_{h:02d}") for h in hours],
+        *[f"cast(coalesce(`{h}`, 0) as bigint) as hour_{h:02d}" for h in hours],
     )
 
 

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import parse_timestamp, to_int64
+from tripguard.functions import int64_sql
 from tripguard.schemas import UNIFIED_COLUMNS
 
-# Columns that change name or become whole numbers.
+# Columns that change name or become whole numbers, and what
+# makes a row a trip.
 STAGED_NAMES = {
     "tpep_pickup_datetime": "pickup_at",
     "tpep_dropoff_datetime": "dropoff_at",
     "trip_distance": "trip_distance_miles",
 }
+VALID_TRIP = """
+    tpep_pickup_datetime is not null and tpep_dropoff_datetime is not null
+    and tpep_dropoff_datetime > tpep_pickup_datetime
+    and trip_distance >= 0 and total_amount >= 0
+"""
 WHOLE_NUMBERS = [
     "passenger_count", "pu_location_id", "do_location_id", "rate_code_id", "payment_type",
 ]
@@ -29,13 +35,12 @@ def coerce_zone(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def _staged(name: str) -> Column:
-    value = F.col(name)
+def _staged(name: str) -> str:
     if name in WHOLE_NUMBERS:
-        value = to_int64(value)
-    elif name == "ingested_at":
-        value = parse_timestamp(value)
-    return value.alias(STAGED_NAMES.get(name, name))
+        return f"{int64_sql(name)} as {name}"
+    if name == "ingested_at":
+        return "try_cast(ingested_at as timestamp) as ingested_at"
+    return f"{name} as {STAGED_NAMES.get(name, name)}"
 
 
 def stage(trips: DataFrame) -> DataFrame:
@@ -44,14 +49,7 @@ def stage(trips: DataFrame) -> DataFrame:
     Only light cleaning: negative fares and zero distances stay, the quality
     metrics count them. Null distance or total fails its comparison and drops.
     """
-    valid = trips.filter(
-        F.col("tpep_pickup_datetime").isNotNull()
-        & F.col("tpep_dropoff_datetime").isNotNull()
-        & (F.col("tpep_dropoff_datetime") > F.col("tpep_pickup_datetime"))
-        & (F.col("trip_distance") >= 0)
-        & (F.col("total_amount") >= 0)
-    )
-    return valid.select(*[_staged(name) for name in UNIFIED_COLUMNS])
+    return trips.filter(VALID_TRIP).selectExpr(*[_staged(name) for name in UNIFIED_COLUMNS])
 
 
 # What a sample shows of a trip.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripguard.functions import rnd, share
+from tripguard.functions import rnd_sql, share_sql
 from tripguard.operators.evolution import NO_CHANGE
 
 # Weight of each component in the trust score.
@@ -42,14 +42,12 @@ RISK_DRIVERS = [
 ]
 
 
-def validity_score() -> Column:
-    """1 less the share of negative fares, less twice that of zero distances
-    (at most a half). May fall below 0."""
-    negative = share(F.col("negative_fare_count"), F.col("total_rows"))
-    zero = share(F.col("zero_distance_trip_count"), F.col("total_rows"))
-    return rnd(
-        F.lit(1.0) - F.least(F.lit(1.0), negative) - F.least(F.lit(0.5), zero * F.lit(2.0)), 4
-    )
+_NEGATIVE = share_sql("negative_fare_count", "total_rows")
+_ZERO = share_sql("zero_distance_trip_count", "total_rows")
+# 1 less the share of negative fares, less twice that of zero distances (at
+# most a half). May fall below 0.
+VALIDITY = rnd_sql(f"1.0D - least(1.0D, {_NEGATIVE}) - least(0.5D, 2.0D * {_ZERO})", 4)
+TRUST = rnd_sql(" + ".join(f"{name} * {weight}D" for name, weight in WEIGHTS.items()), 4)
 
 
 def trust_scores(quality: DataFrame, evolution: DataFrame) -> DataFrame:
@@ -58,18 +56,16 @@ def trust_scores(quality: DataFrame, evolution: DataFrame) -> DataFrame:
     ``evolution`` comes from ``latest_evolution``. Both sides have one row per
     month; Spark broadcasts by measured size.
     """
-    consistency = evolution.select(
+    consistency = evolution.selectExpr(
         "data_year",
         "data_month",
-        F.when(F.col("is_schema_change"), F.lit(SCORE_AFTER_SCHEMA_CHANGE))
-        .otherwise(F.lit(1.0))
-        .alias("consistency_score"),
+        f"if(is_schema_change, {SCORE_AFTER_SCHEMA_CHANGE}D, 1.0D) as consistency_score",
         "change_type",
         "columns_added",
         "columns_removed",
     )
     joined = quality.join(consistency, ["data_year", "data_month"], "left")
-    scored = joined.select(
+    scored = joined.selectExpr(
         "data_year",
         "data_month",
         "schema_version",
@@ -78,15 +74,14 @@ def trust_scores(quality: DataFrame, evolution: DataFrame) -> DataFrame:
         "days_in_month",
         "completeness_score",
         "volume_anomaly_score",
-        F.coalesce(validity_score(), F.lit(1.0)).alias("validity_score"),
-        F.coalesce("consistency_score", F.lit(1.0)).alias("consistency_score"),
-        F.coalesce("change_type", F.lit(NO_CHANGE)).alias("change_type"),
-        F.coalesce("columns_added", F.lit("")).alias("columns_added"),
-        F.coalesce("columns_removed", F.lit("")).alias("columns_removed"),
+        f"coalesce({VALIDITY}, 1.0D) as validity_score",
+        "coalesce(consistency_score, 1.0D) as consistency_score",
+        f"coalesce(change_type, '{NO_CHANGE}') as change_type",
+        "coalesce(columns_added, '') as columns_added",
+        "coalesce(columns_removed, '') as columns_removed",
         *CARRIED_COLUMNS,
     )
-    weighted = [F.col(name) * F.lit(weight) for name, weight in WEIGHTS.items()]
-    return scored.withColumn("trust_score", rnd(sum(weighted[1:], weighted[0]), 4))
+    return scored.selectExpr("*", f"{TRUST} as trust_score")
 
 
 def trust_for_year(scores: DataFrame, year: int | None = None) -> DataFrame:
@@ -96,28 +91,26 @@ def trust_for_year(scores: DataFrame, year: int | None = None) -> DataFrame:
     return scores.orderBy("data_year", "data_month")
 
 
-def _label(score: Column, steps: list[tuple[float, str]], lowest: str) -> Column:
-    chain = F
-    for least, label in steps:
-        chain = chain.when(score >= least, F.lit(label))
-    return chain.otherwise(F.lit(lowest))
+def _label(score: str, steps: list[tuple[float, str]], lowest: str) -> str:
+    whens = " ".join(f"when {score} >= {least}D then '{label}'" for least, label in steps)
+    return f"case {whens} else '{lowest}' end"
 
 
-def score_band(score: Column) -> Column:
-    return _label(score, SCORE_BANDS, LOWEST_BAND)
+def score_band(score: str) -> Column:
+    return F.expr(_label(score, SCORE_BANDS, LOWEST_BAND))
 
 
-def confidence_label(score: Column) -> Column:
-    return _label(score, CONFIDENCE_LABELS, LOWEST_CONFIDENCE)
+def confidence_label(score: str) -> Column:
+    return F.expr(_label(score, CONFIDENCE_LABELS, LOWEST_CONFIDENCE))
 
 
 def risk_driver() -> Column:
     """Label of the lowest component; a missing one counts as 1."""
-    candidates = [
-        F.struct(F.coalesce(name, F.lit(1.0)).alias("score"), F.lit(i).alias("at"), F.lit(label).alias("label"))
+    candidates = ", ".join(
+        f"struct(coalesce({name}, 1.0D) as score, {i} as place, '{label}' as label)"
         for i, (name, label) in enumerate(RISK_DRIVERS)
-    ]
-    return F.array_min(F.array(*candidates)).getField("label")
+    )
+    return F.expr(f"array_min(array({candidates})).label")
 
 
 def score_bands(scores: DataFrame) -> DataFrame:
@@ -127,7 +120,7 @@ def score_bands(scores: DataFrame) -> DataFrame:
         "data_year",
         "data_month",
         *names,
-        *[score_band(F.col(c)).alias(c.replace("_score", "_band")) for c in names],
+        *[score_band(c).alias(c.replace("_score", "_band")) for c in names],
     )
 
 

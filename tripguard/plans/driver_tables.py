@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.functions import period_label
 from tripguard.operators import evolution
 from tripguard.operators.identity import with_trip_id
+from tripguard.operators.ordered import SMALL_INPUT_BYTES, input_bytes
 from tripguard.operators.staging import stage
 from tripguard.session import prepare
 from tripguard.sources.unify import unify
@@ -21,76 +21,87 @@ INGESTED_AT = "2024-02-01 00:00:00"
 AS_OF = "2024-06-01"
 
 
+MONTH_FILE = (
+    "concat('yellow_tripdata_', year({0}), '-', lpad(month({0}), 2, '0'), '.parquet')"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A small table lies in one row group, which one task would read and then
+    work on alone; hand its rows to all cores. Large tables are left as read."""
+    if input_bytes(df) >= SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as a file of the zone eras would spell them.
 
     Lines of every hundredth order occur twice, so some trips are full copies.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders")
-    twice = F.expr("explode(if(l_orderkey % 100 = 0, array(0, 1), array(0)))")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("*", twice)
-    pickup = F.expr(
+    joined = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "*",
+        "explode(if(l_orderkey % 100 = 0, array(0, 1), array(0))) as copy",
         "o_orderdate + make_ym_interval(20, 0)"
-        " + make_dt_interval(0, cast(l_partkey % 24 as int), l_linenumber)"
+        " + make_dt_interval(0, cast(l_partkey % 24 as int), l_linenumber) as p",
     )
-    timed = joined.withColumn("p", pickup).withColumn("y", F.year("p"))
-    return timed.select(
-        F.expr("l_suppkey % 2 + 1").alias("VendorID"),
-        F.col("p").alias("tpep_pickup_datetime"),
-        F.expr("p + make_dt_interval(0, 0, cast(l_quantity as int) - 2)").alias("tpep_dropoff_datetime"),
-        F.expr("if(l_linenumber = 7, null, cast(l_linenumber as double))").alias("passenger_count"),
-        (F.col("l_discount") * F.lit(100.0)).alias("trip_distance"),
-        F.expr("if(y <= 2015, -73.9D - l_tax, null)").alias("pickup_longitude"),
-        F.expr("if(y <= 2015, 40.7D + l_tax, null)").alias("pickup_latitude"),
-        F.expr("if(y <= 2015, -73.9D - l_discount, null)").alias("dropoff_longitude"),
-        F.expr("if(y <= 2015, 40.7D + l_discount, null)").alias("dropoff_latitude"),
-        F.expr("if(y >= 2016, cast((l_partkey div 24) % 6 as double), null)").alias("PULocationID"),
-        F.expr("if(y >= 2016, cast(l_suppkey % 6 as double), null)").alias("DOLocationID"),
-        F.lit(1.0).alias("RatecodeID"),
-        F.lit("N").alias("store_and_fwd_flag"),
-        F.expr(
-            "if(l_returnflag = 'A' and l_linestatus = 'O', null, cast(l_linenumber % 4 + 1 as double))"
-        ).alias("payment_type"),
-        (F.col("l_extendedprice") - F.lit(2000.0)).alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        (F.col("l_tax") * F.lit(100.0)).alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        F.expr("if(y >= 2016, 0.3D, null)").alias("improvement_surcharge"),
-        (F.col("l_extendedprice") - F.lit(1000.0)).alias("total_amount"),
-        F.expr("if(y >= 2019, 2.5D, null)").alias("congestion_surcharge"),
-        F.expr("concat('yellow_tripdata_', date_format(p, 'yyyy-MM'), '.parquet')").alias("source_file"),
+    return joined.selectExpr("*", "year(p) as y").selectExpr(
+        "l_suppkey % 2 + 1 as VendorID",
+        "p as tpep_pickup_datetime",
+        "p + make_dt_interval(0, 0, cast(l_quantity as int) - 2) as tpep_dropoff_datetime",
+        "if(l_linenumber = 7, null, cast(l_linenumber as double)) as passenger_count",
+        "l_discount * 100.0D as trip_distance",
+        "if(y <= 2015, -73.9D - l_tax, null) as pickup_longitude",
+        "if(y <= 2015, 40.7D + l_tax, null) as pickup_latitude",
+        "if(y <= 2015, -73.9D - l_discount, null) as dropoff_longitude",
+        "if(y <= 2015, 40.7D + l_discount, null) as dropoff_latitude",
+        "if(y >= 2016, cast((l_partkey div 24) % 6 as double), null) as PULocationID",
+        "if(y >= 2016, cast(l_suppkey % 6 as double), null) as DOLocationID",
+        "1.0D as RatecodeID",
+        "'N' as store_and_fwd_flag",
+        "if(l_returnflag = 'A' and l_linestatus = 'O', null,"
+        " cast(l_linenumber % 4 + 1 as double)) as payment_type",
+        "l_extendedprice - 2000.0D as fare_amount",
+        "0.5D as extra",
+        "0.5D as mta_tax",
+        "l_tax * 100.0D as tip_amount",
+        "0.0D as tolls_amount",
+        "if(y >= 2016, 0.3D, null) as improvement_surcharge",
+        "l_extendedprice - 1000.0D as total_amount",
+        "if(y >= 2019, 2.5D, null) as congestion_surcharge",
+        f"{MONTH_FILE.format('p')} as source_file",
     )
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file of the last era would spell them: other types, no GPS."""
-    return table(spark, sf_dir, "events").select(
-        F.expr("cast(user_id % 2 + 1 as string)").alias("vendor_id"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        F.expr("ts + make_dt_interval(0, 0, cast(floor(value) as int))").alias("tpep_dropoff_datetime"),
-        F.expr("if(event_type = 'error', null, user_id % 5 + 1)").alias("passenger_count"),
-        F.expr("if(event_type = 'signup', 0.0D, value / 10.0D)").alias("trip_distance"),
-        F.expr("cast(user_id % 6 as int)").alias("PULocationID"),
-        F.expr("cast(event_id % 6 as int)").alias("DOLocationID"),
-        F.lit(1).alias("RatecodeID"),
-        F.lit("N").alias("store_and_fwd_flag"),
-        F.expr("user_id % 4 + 1").alias("payment_type"),
-        F.expr("value - 5.0D").alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        F.expr("value / 20.0D").alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        F.lit(0.3).alias("improvement_surcharge"),
-        F.expr("value - 1.0D").alias("total_amount"),
-        F.lit(2.5).alias("congestion_surcharge"),
-        F.expr("if(event_type = 'purchase', 1.25D, null)").alias("Airport_fee"),
-        F.expr("concat('yellow_tripdata_', date_format(ts, 'yyyy-MM'), '.parquet')").alias("source_file"),
+    return spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
+        "cast(user_id % 2 + 1 as string) as vendor_id",
+        "ts as tpep_pickup_datetime",
+        "ts + make_dt_interval(0, 0, cast(floor(value) as int)) as tpep_dropoff_datetime",
+        "if(event_type = 'error', null, user_id % 5 + 1) as passenger_count",
+        "if(event_type = 'signup', 0.0D, value / 10.0D) as trip_distance",
+        "cast(user_id % 6 as int) as PULocationID",
+        "cast(event_id % 6 as int) as DOLocationID",
+        "1 as RatecodeID",
+        "'N' as store_and_fwd_flag",
+        "user_id % 4 + 1 as payment_type",
+        "value - 5.0D as fare_amount",
+        "0.5D as extra",
+        "0.5D as mta_tax",
+        "value / 20.0D as tip_amount",
+        "0.0D as tolls_amount",
+        "0.3D as improvement_surcharge",
+        "value - 1.0D as total_amount",
+        "2.5D as congestion_surcharge",
+        "if(event_type = 'purchase', 1.25D, null) as Airport_fee",
+        f"{MONTH_FILE.format('ts')} as source_file",
     )
 
 
@@ -116,27 +127,26 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     half an hour before; April files were loaded again 400 hours later, and
     that load reports one row less.
     """
-    files = evolution.present_columns(unified(spark, sf_dir))
-    attempts = F.expr(
+    attempts = (
         "explode(filter(array("
         " named_struct('status', 'success', 'minutes', 0, 'less', 0),"
         " if(data_month = 6, named_struct('status', 'failed', 'minutes', -30, 'less', 0), null),"
         " if(data_month = 4, named_struct('status', 'success', 'minutes', 24000, 'less', 1), null)"
-        "), a -> a is not null))"
+        "), a -> a is not null)) as a"
     )
-    hours = F.expr("data_year * 12 + data_month - 24181")
-    return files.withColumn("a", attempts).select(
-        period_label(F.col("data_year"), F.col("data_month")).alias("partition_key"),
+    files = evolution.present_columns(unified(spark, sf_dir)).selectExpr("*", attempts)
+    log = files.selectExpr(
+        "concat(data_year, '-', lpad(data_month, 2, '0')) as partition_key",
         "source_file",
         "schema_version",
         "columns",
-        (F.col("row_count") - F.col("a.less")).alias("row_count"),
-        F.col("a.status").alias("status"),
-        (
-            F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
-            + F.make_dt_interval(F.lit(0), hours, F.col("a.minutes"))
-        ).alias("ingested_at"),
+        "row_count - a.less as row_count",
+        "a.status as status",
+        "timestamp_ntz '2024-03-01 00:00:00'"
+        " + make_dt_interval(0, data_year * 12 + data_month - 24181, a.minutes) as ingested_at",
     )
+    # A row per load, read by several branches of the plans on top of it.
+    return log.persist()
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,26 +156,24 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = attempts.filter("status = 'failed'").withColumns(
         {"columns_added": F.lit(""), "columns_removed": F.lit("")}
     )
-    rows = done.unionByName(failed)
-    ok = F.col("status") == "success"
-    stamp = F.date_format("ingested_at", "yyyyMMddHHmm")
-    return rows.select(
-        F.substring(F.sha2(F.concat_ws("|", "partition_key", stamp), 256), 1, 32).alias("run_id"),
-        F.concat(F.lit("landing/"), "source_file").alias("source_url"),
-        F.lit("parquet").alias("source_format"),
+    ok, stamp = "status = 'success'", "date_format(ingested_at, 'yyyyMMddHHmm')"
+    return done.unionByName(failed).selectExpr(
+        f"substring(sha2(concat(partition_key, '|', {stamp}), 256), 1, 32) as run_id",
+        "concat('landing/', source_file) as source_url",
+        "'parquet' as source_format",
         "schema_version",
         "partition_key",
-        F.when(ok, F.col("row_count")).otherwise(F.lit(0)).alias("row_count"),
-        F.when(ok, F.size("columns")).otherwise(F.lit(0)).cast("bigint").alias("column_count"),
+        f"if({ok}, row_count, 0) as row_count",
+        f"cast(if({ok}, size(columns), 0) as bigint) as column_count",
         "columns_added",
         "columns_removed",
-        F.when(ok, F.concat(F.lit("batch-"), stamp)).otherwise(F.lit("")).alias("iceberg_snapshot_id"),
-        F.lit("trips.unified").alias("iceberg_table"),
-        F.when(ok, F.lit('["read_parquet","normalize_schema"]')).otherwise(F.lit("[]")).alias("transformation_steps"),
-        F.lit("1.0.0").alias("pipeline_version"),
+        f"if({ok}, concat('batch-', {stamp}), '') as iceberg_snapshot_id",
+        "'trips.unified' as iceberg_table",
+        f"""if({ok}, '["read_parquet","normalize_schema"]', '[]') as transformation_steps""",
+        "'1.0.0' as pipeline_version",
         "ingested_at",
         "status",
-        F.when(ok, F.lit("")).otherwise(F.lit("required columns missing: extra")).alias("error_message"),
+        f"if({ok}, '', 'required columns missing: extra') as error_message",
     )
 
 
@@ -180,7 +188,7 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sha2(
                 F.concat_ws(
                     "|",
-                    F.expr("concat('yellow_tripdata_', date_format(e.ts, 'yyyy-MM'), '.parquet')"),
+                    F.expr(MONTH_FILE.format("e.ts")),
                     F.expr("date_format(e.ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"),
                     F.expr(
                         "date_format(e.ts + make_dt_interval(0, 0, cast(floor(e.value) as int)),"

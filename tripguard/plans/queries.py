@@ -198,7 +198,7 @@ def checks_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def report_payloads(spark: SparkSession, sf: str) -> DataFrame:
     # A row per month and per load; kept so that nine documents scan once.
-    log = d.lineage(spark, sf).persist()
+    log = d.lineage(spark, sf)
     changes = evolution.schema_evolution(log)
     last = evolution.latest_evolution(changes)
     scores = trust.trust_scores(_quality(spark, sf), last).persist()

@@ -7,8 +7,6 @@ them, and must stay as they are for results to agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Eras by last year of validity.
@@ -144,9 +142,7 @@ def era_of_year(year: int) -> str:
     return ERA_ZONE_V3
 
 
-def era_column(year: Column) -> Column:
-    """``era_of_year`` over a year column."""
-    chain = F
-    for era, last_year in ERA_LAST_YEAR:
-        chain = chain.when(year <= last_year, F.lit(era))
-    return chain.when(year.isNotNull(), F.lit(ERA_ZONE_V3))
+def era_sql(year: str) -> str:
+    """``era_of_year`` as SQL text over a year expression."""
+    steps = " ".join(f"when {year} <= {last} then '{era}'" for era, last in ERA_LAST_YEAR)
+    return f"case {steps} when {year} is not null then '{ERA_ZONE_V3}' end"

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripguard.functions import period_label
-from tripguard.schemas import era_column
+from tripguard.schemas import era_sql
 
 # How a month file is called.
 FILE_PATTERN = r"(\d{4})-(\d{2})\.parquet$"
@@ -17,13 +17,9 @@ FILE_TEMPLATE = "yellow_tripdata_{key}.parquet"
 FILE_FORMAT = "parquet"
 
 
-def file_year(name: Column) -> Column:
-    """Year of a month file. The name ends in 'YYYY-MM.parquet'."""
-    return F.substring(name, -15, 4).try_cast("int")
-
-
-def file_month(name: Column) -> Column:
-    return F.substring(name, -10, 2).try_cast("int")
+# Year and month of a file as SQL text; its name ends in 'YYYY-MM.parquet'.
+FILE_YEAR = "try_cast(substring(source_file, -15, 4) as int)"
+FILE_MONTH = "try_cast(substring(source_file, -10, 2) as int)"
 
 
 def parse_name(path: str) -> tuple[int, int]:
@@ -49,7 +45,7 @@ def manifest_of(files: DataFrame, path: str = "source_file") -> DataFrame:
         "url",
         period_label(F.col("year"), F.col("month")).alias("partition_key"),
         F.lit(FILE_FORMAT).alias("file_format"),
-        era_column(F.col("year")).alias("schema_version"),
+        F.expr(era_sql("year")).alias("schema_version"),
     )
 
 

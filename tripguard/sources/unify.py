@@ -15,11 +15,10 @@ from tripguard.schemas import (
     COLUMN_RENAMES,
     DATA_COLUMNS,
     OPTIONAL_COLUMNS,
-    UNIFIED_COLUMNS,
     UNIFIED_SCHEMA,
-    era_column,
+    era_sql,
 )
-from tripguard.sources.manifest import file_month, file_year, parse_name
+from tripguard.sources.manifest import FILE_MONTH, FILE_YEAR, parse_name
 
 
 def unified_name(column: str) -> str:
@@ -55,20 +54,14 @@ def normalize(frame: DataFrame, ingested_at: str, timestamp_type: str = "timesta
     for field in UNIFIED_SCHEMA.fields[: len(DATA_COLUMNS)]:
         target = field.dataType
         kind = timestamp_type if isinstance(target, T.TimestampType) else target.simpleString()
-        if field.name in found:
-            value = F.col(f"`{found[field.name]}`").try_cast(kind)
-        else:
-            value = F.lit(None).cast(kind)
-        selected.append(value.alias(field.name))
-    name = F.col("source_file")
-    selected += [
-        file_year(name).alias("data_year"),
-        file_month(name).alias("data_month"),
-        name,
+        source = f"`{found[field.name]}`" if field.name in found else "null"
+        selected.append(f"try_cast({source} as {kind}) as {field.name}")
+    selected += [f"{FILE_YEAR} as data_year", f"{FILE_MONTH} as data_month", "source_file"]
+    return frame.selectExpr(*selected).select(
+        "*",
         F.lit(ingested_at).alias("ingested_at"),
-        era_column(file_year(name)).alias("schema_version"),
-    ]
-    return frame.select(*selected).select(*UNIFIED_COLUMNS)
+        F.expr(era_sql("data_year")).alias("schema_version"),
+    )
 
 
 def unify(
