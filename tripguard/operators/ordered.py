@@ -52,7 +52,7 @@ def row_number_by(
     order: list[str],
     out: str,
     hot_rows: int = HOT_ROWS,
-    smallinput_bytes: int = SMALL_INPUT_BYTES,
+    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order nulls first)``.
 
@@ -64,7 +64,7 @@ def row_number_by(
     """
     within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     plain = F.row_number().over(within).cast("bigint")
-    if input_bytes(df) < smallinput_bytes:
+    if input_bytes(df) < small_input_bytes:
         return df.withColumn(out, plain)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
     hot = _hot_buckets(df, bucket, hot_rows)
