@@ -27,24 +27,18 @@ def latest_consent(records: DataFrame, as_of: str | None = None) -> DataFrame:
     """One row per subject with a flag per category, from a consent history.
 
     ``records`` has trip_id, category, status (boolean) and effective_at. The
-    latest record in force counts; with equal times a refusal wins. One
-    aggregate with constant-size state: a subject with any number of records
-    collapses before the shuffle.
+    latest record in force counts; with equal times a refusal wins. A record is
+    one number, twice its time plus whether it refuses, so the latest is a plain
+    maximum: a subject with any number of records collapses before the shuffle.
     """
     if as_of is not None:
         records = records.filter(F.col("effective_at") <= F.lit(as_of).try_cast("timestamp"))
-    in_category = F.col("category")
-    last = {
-        category: F.max(
-            F.when(
-                in_category == category,
-                F.struct("effective_at", (~F.col("status")).alias("refused")),
-            )
-        )
-        for category in OPT_IN_RATES
-    }
+    record = "2 * unix_micros(cast(effective_at as timestamp)) + int(not status)"
     return records.groupBy("trip_id").agg(
-        *[(~last[c].getField("refused")).alias(f"consent_{c}") for c in OPT_IN_RATES]
+        *[
+            F.expr(f"pmod(max(if(category = '{c}', {record}, null)), 2) = 0 as consent_{c}")
+            for c in OPT_IN_RATES
+        ]
     )
 
 

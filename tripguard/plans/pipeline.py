@@ -47,12 +47,12 @@ def update_months(spark: SparkSession, root: str, months: list[str] | None = Non
     """Identify trips and count classes and quality, for the months given or all."""
     at = Layout(root)
     trips = _in_months(read_trips(spark, root), months)
-    tables.overwrite_months(with_trip_id(stage(trips)), at.identified_trips)
+    tables.overwrite_months(with_trip_id(stage(trips)), at.identified_trips, shuffled=True)
     identified = _in_months(spark.read.parquet(at.identified_trips), months)
     per_month = identified.groupBy("data_year", "data_month", *risk.QUASI_IDENTIFIERS)
     counts = per_month.agg(F.count(F.lit(1)).alias("k_anonymity"))
-    tables.overwrite_months(counts, at.class_counts)
-    tables.overwrite_months(quality.monthly_counts(identified), at.monthly_counts)
+    tables.overwrite_months(counts, at.class_counts, shuffled=True)
+    tables.overwrite_months(quality.monthly_counts(identified), at.monthly_counts, shuffled=True)
 
 
 def score(spark: SparkSession, root: str, run_ts: str) -> None:
@@ -116,7 +116,7 @@ def publish(
     tables.replace(
         risk.risk_table(scored).withColumn("scored_at", now),
         at.reidentification_risk,
-        ["data_year", "data_month"],
+        monthly=True,
     )
     inventory = policy.pii_inventory(
         policy.columns_frame(spark, {IDENTIFIED: stage(read_trips(spark, root)).columns})
@@ -128,10 +128,10 @@ def publish(
     if as_of is not None:
         rows = retention.expire_features(rows, as_of)
     marts.assert_no_forbidden_columns(rows)
-    tables.replace(rows, at.mart_ml_safe, ["data_year", "data_month"])
+    tables.replace(rows, at.mart_ml_safe, monthly=True)
     cells = marts.analytics_safe(consented)
     tables.replace(
-        cells.withColumn("aggregated_at", now), at.mart_analytics_safe, ["data_year", "data_month"]
+        cells.withColumn("aggregated_at", now), at.mart_analytics_safe, monthly=True
     )
 
 

@@ -25,26 +25,38 @@ def refresh_trip_table(spark: SparkSession, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def overwrite_months(df: DataFrame, path: str) -> None:
+def by_month(df: DataFrame) -> DataFrame:
+    """Bring the rows of a month together before a partitioned write.
+
+    For frames that come out of a shuffle, whose tasks would otherwise each
+    open a file in every month. Rebalancing splits a large month over as many
+    tasks as its size asks for and joins small ones.
+    """
+    return df.hint("rebalance", *PARTITION_COLUMNS)
+
+
+def overwrite_months(df: DataFrame, path: str, shuffled: bool = False) -> None:
     """Replace exactly the months ``df`` holds; all others stay.
 
-    No shuffle: each task writes the months it read. A rerun replaces what the
-    first run wrote, so the write can be repeated after any failure.
+    Straight from a scan nothing is shuffled: each task writes the months it
+    read. A rerun replaces what the first run wrote, so the write can be
+    repeated after any failure.
     """
     (
-        df.write.mode("overwrite")
+        (by_month(df) if shuffled else df)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
 
 
-def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a whole derived table."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def replace(df: DataFrame, path: str, monthly: bool = False) -> None:
+    """Replace a whole derived table, partitioned by month if asked."""
+    if monthly:
+        by_month(df).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
