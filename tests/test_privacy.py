@@ -234,3 +234,31 @@ def test_retention(spark):
 def test_marts_refuse_raw_columns(spark):
     with pytest.raises(ValueError, match="trip_id"):
         marts.assert_no_forbidden_columns(spark.sql("select 'x' as trip_id"))
+
+
+def test_a_class_with_a_third_of_all_rows_is_split(spark):
+    """Too many classes to broadcast: the adaptive plan splits the hot one."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    trips = spark.range(0, 60000, numPartitions=8).selectExpr(
+        "cast(id as string) as trip_id", "if(id % 3 = 0, null, id % 500) as pu_location_id",
+        "if(id % 3 = 0, null, id % 7) as do_location_id", "if(id % 3 = 0, 8, id % 24) as pickup_hour",
+        "if(id % 3 = 0, 1, id % 7) as pickup_day_of_week",
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        scored = risk.with_k(trips)
+        assert scored.count() == 60000
+        assert scored.agg(F.max("k_anonymity")).first()[0] == 20000
+        plan = scored.select("trip_id", "k_anonymity")
+        plan.collect()
+        assert "skew=true" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -12,7 +12,6 @@ from tripguard.functions.scalar import (  # noqa: F401
     period_label,
     rnd,
     rnd_sql,
-    share,
     share_sql,
     sorted_json,
     unit_draw,

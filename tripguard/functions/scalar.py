@@ -34,10 +34,6 @@ def rnd(value: str, digits: int) -> Column:
     return F.expr(rnd_sql(value, digits))
 
 
-def share(part: str, whole: str) -> Column:
-    return F.expr(share_sql(part, whole))
-
-
 def canon_ts(value: Column) -> Column:
     """Timestamp text with six fraction digits, whatever the value."""
     return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -78,7 +74,7 @@ def keyed_pseudonym(raw_id: Column, salt: str) -> Column:
 
 
 def hour_bucket(value: Column, bucket: str = "hour") -> Column:
-    """Truncate to the hour, as ISO text; text input is parsed first."""
+    """Truncate a timestamp to the hour, as ISO text."""
     if bucket != "hour":
         raise ValueError("Only hour bucketing is currently supported")
     return F.date_format(F.date_trunc("hour", value), "yyyy-MM-dd'T'HH:mm:ss")

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.functions import hour_bucket, keyed_pseudonym
+from tripguard.functions import hour_bucket, keyed_pseudonym, parse_timestamp
 
 POLICY_FIELDS = ["pii_type", "sensitivity", "handling", "rationale"]
 
@@ -116,6 +116,6 @@ def transform_trips(trips: DataFrame, salt: str = DEFAULT_SALT, bucket: str = "h
             kept = F.col(target).cast("string") if target in have else F.lit(None).cast("string")
             value = F.col(source)
             if dict(trips.dtypes)[source] == "string":
-                value = value.try_cast("timestamp")
+                value = parse_timestamp(value)
             changed[target] = F.coalesce(hour_bucket(value, bucket), kept)
     return trips.withColumns(changed).drop("trip_id", "pickup_at", "dropoff_at", *PRECISE_LOCATION)

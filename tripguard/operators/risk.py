@@ -144,6 +144,7 @@ def min_k_pivot(classes: DataFrame) -> DataFrame:
 def generalisation_impact(
     trips: DataFrame,
     coarser: dict[str, Column],
+    classes: DataFrame | None = None,
     quasi_identifiers: list[str] | None = None,
     k: int = K_THRESHOLD,
 ) -> DataFrame:
@@ -153,7 +154,9 @@ def generalisation_impact(
     ones, joined to them, and the trips are joined once.
     """
     keys = quasi_identifiers or QUASI_IDENTIFIERS
-    fine = equivalence_classes(trips, keys).withColumnRenamed("k_anonymity", "k_before")
+    if classes is None:
+        classes = equivalence_classes(trips, keys)
+    fine = classes.withColumnRenamed("k_anonymity", "k_before")
     mapped = [f"_g_{c}" for c in keys]
     fine = fine.withColumns({f"_g_{c}": coarser.get(c, F.col(c)) for c in keys})
     coarse = fine.groupBy(*mapped).agg(F.sum("k_before").alias("k_after"))

@@ -26,8 +26,20 @@ MONTH_FILE = (
 )
 
 
+# Stated rather than inferred, which would take a job per read.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double,"
+    " props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -111,16 +123,19 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify(frames, INGESTED_AT, timestamp_type="timestamp_ntz")
 
 
+def staged_of(trips: DataFrame) -> DataFrame:
+    return stage(trips).withColumn("ingested_at", F.expr("cast(ingested_at as timestamp_ntz)"))
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = stage(unified(spark, sf_dir))
-    return trips.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+    return staged_of(unified(spark, sf_dir))
 
 
 def identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_trip_id(staged(spark, sf_dir))
 
 
-def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loads(trips: DataFrame) -> DataFrame:
     """Load attempts of the trips' month files.
 
     Each file is loaded once, an hour per month of age apart. June files failed
@@ -134,7 +149,7 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         " if(data_month = 4, named_struct('status', 'success', 'minutes', 24000, 'less', 1), null)"
         "), a -> a is not null)) as a"
     )
-    files = evolution.present_columns(unified(spark, sf_dir)).selectExpr("*", attempts)
+    files = evolution.present_columns(trips).selectExpr("*", attempts)
     log = files.selectExpr(
         "concat(data_year, '-', lpad(data_month, 2, '0')) as partition_key",
         "source_file",
@@ -149,9 +164,9 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.persist()
 
 
-def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineage(trips: DataFrame) -> DataFrame:
     """The load log of ``loads``, as an ingest run would have written it."""
-    attempts = loads(spark, sf_dir)
+    attempts = loads(trips)
     done = evolution.schema_diff(attempts.filter("status = 'success'"))
     failed = attempts.filter("status = 'failed'").withColumns(
         {"columns_added": F.lit(""), "columns_removed": F.lit("")}

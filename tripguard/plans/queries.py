@@ -22,6 +22,7 @@ from tripguard.operators import (
     staging,
     trust,
 )
+from tripguard.operators.identity import with_trip_id
 from tripguard.plans import driver_tables as d
 from tripguard.sources.manifest import manifest_of
 from tripguard.sources.tables import partition_row_counts
@@ -33,13 +34,19 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_metrics(d.staged(spark, sf))
 
 
+def _lineage(spark: SparkSession, sf: str) -> DataFrame:
+    return d.lineage(d.unified(spark, sf))
+
+
 def _evolution(spark: SparkSession, sf: str) -> DataFrame:
-    return evolution.schema_evolution(d.lineage(spark, sf))
+    return evolution.schema_evolution(_lineage(spark, sf))
 
 
 def _trust(spark: SparkSession, sf: str) -> DataFrame:
-    last = evolution.latest_evolution(_evolution(spark, sf))
-    return trust.trust_scores(_quality(spark, sf), last)
+    trips = d.unified(spark, sf)
+    changes = evolution.schema_evolution(d.lineage(trips))
+    metrics = quality.quality_metrics(d.staged_of(trips))
+    return trust.trust_scores(metrics, evolution.latest_evolution(changes))
 
 
 def _classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,8 +54,11 @@ def _classes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _risk(spark: SparkSession, sf: str) -> DataFrame:
-    trips = d.identified(spark, sf)
-    return risk.with_k(trips, classes=_classes(spark, sf))
+    # Classes are counted on the trips before they are identified: an id
+    # changes no class, and the count then needs no shuffle of whole rows.
+    staged = d.staged(spark, sf)
+    classes = risk.equivalence_classes(risk.with_time_parts(staged))
+    return risk.with_k(with_trip_id(staged), classes=classes)
 
 
 def _consented(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,13 +98,13 @@ def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lineage_schema_diff(spark: SparkSession, sf: str) -> DataFrame:
-    diff = evolution.schema_diff(d.loads(spark, sf).filter("status = 'success'"))
+    diff = evolution.schema_diff(d.loads(d.unified(spark, sf)).filter("status = 'success'"))
     return diff.select("partition_key", "ingested_at", "columns_added", "columns_removed")
 
 
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = partition_row_counts(d.unified(spark, sf))
-    return evolution.verify_row_counts(counts, d.lineage(spark, sf))
+    trips = d.unified(spark, sf)
+    return evolution.verify_row_counts(partition_row_counts(trips), d.lineage(trips))
 
 
 def k_anonymity_param(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,7 +122,8 @@ def generalisation_impact(spark: SparkSession, sf: str) -> DataFrame:
         "pickup_day_of_week": F.expr("if(pickup_day_of_week in (1, 7), 1L, 0L)"),
     }
     trips = d.identified(spark, sf).select("trip_id", *risk.QUASI_IDENTIFIERS)
-    return risk.generalisation_impact(trips, coarser).select(
+    classes = _classes(spark, sf)
+    return risk.generalisation_impact(trips, coarser, classes).select(
         "trip_id", "k_before", "k_after", "risk_before", "risk_after"
     )
 
@@ -198,11 +209,13 @@ def checks_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def report_payloads(spark: SparkSession, sf: str) -> DataFrame:
     # A row per month and per load; kept so that nine documents scan once.
-    log = d.lineage(spark, sf)
+    trips = d.unified(spark, sf)
+    staged = d.staged_of(trips)
+    log = d.lineage(trips)
     changes = evolution.schema_evolution(log)
     last = evolution.latest_evolution(changes)
-    scores = trust.trust_scores(_quality(spark, sf), last).persist()
-    return narratives.report_payloads(scores, changes, log, d.staged(spark, sf))
+    scores = trust.trust_scores(quality.quality_metrics(staged), last).persist()
+    return narratives.report_payloads(scores, changes, log, staged)
 
 
 def narratives_typed(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,8 +244,8 @@ QUERIES: dict[str, Query] = {
     "stg_trips": d.staged,
     "partition_row_counts": row_counts,
     "sample_rows": lambda s, sf: staging.sample_rows(d.staged(s, sf), 2019),
-    "lineage_history": lambda s, sf: evolution.lineage_history(d.lineage(s, sf), "trips.unified"),
-    "lineage_changes": lambda s, sf: evolution.lineage_changes(d.lineage(s, sf)),
+    "lineage_history": lambda s, sf: evolution.lineage_history(_lineage(s, sf), "trips.unified"),
+    "lineage_changes": lambda s, sf: evolution.lineage_changes(_lineage(s, sf)),
     "schema_diff": lineage_schema_diff,
     "loaded_years": lambda s, sf: staging.loaded_years(d.unified(s, sf)),
     # quality and trust

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripguard.functions import sorted_json
 from tripguard.schemas import PARTITION_COLUMNS, UNIFIED_SCHEMA
 
 
@@ -90,10 +91,7 @@ def add_columns(spark: SparkSession, name: str, fields: T.StructType) -> list[st
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, keys in name order."""
-    names = sorted(df.columns)
-    df.select(
-        F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value")
-    ).write.mode("overwrite").text(path)
+    df.select(sorted_json(*df.columns).alias("value")).write.mode("overwrite").text(path)
 
 
 def partition_row_counts(trips: DataFrame) -> DataFrame:
