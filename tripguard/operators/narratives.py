@@ -26,7 +26,13 @@ NARRATIVE_SHAPES = {
 YEARLY_POINTS = ["business_context", "trust_score", "coverage_gaps"]
 ROWS_SHOWN = 10
 
-KEEP_NULLS = {"ignoreNullFields": "false"}
+# Documents show nulls, and times to the microsecond.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": TIME_FORMAT,
+    "timestampNTZFormat": TIME_FORMAT,
+}
 
 
 def select_narratives(
@@ -83,7 +89,7 @@ def _document(rows: DataFrame, by: list[Column], point: str, order: list[str], f
     ordered = F.transform(F.array_sort(F.collect_list(shown)), lambda item: item["row"])
     return (
         rows.groupBy(*by)
-        .agg(F.to_json(ordered, KEEP_NULLS).alias("payload_json"))
+        .agg(F.to_json(ordered, JSON_OPTIONS).alias("payload_json"))
         .select(
             F.lit(point).alias("pain_point"),
             F.col("data_year").cast("int").alias("data_year"),

@@ -529,6 +529,55 @@ _RISK_COLUMNS = """trip_id, data_year, data_month, schema_version, pu_location_i
 _HOUR = "'%Y-%m-%dT%H:00:00'"
 
 
+_TIMES = ("ingested_at", "pickup_at", "dropoff_at")
+_DATES = ("earliest_trip_date", "latest_trip_date")
+
+
+def _document(point: str, year: str, source: str, fields: list[str], order: str) -> str:
+    """Rows of ``source`` as one JSON array per year (or for all data)."""
+
+    def shown(name: str) -> str:
+        if name in _TIMES:
+            return f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
+        return f"CAST({name} AS VARCHAR)" if name in _DATES else name
+
+    packed = ", ".join(f"{name} := {shown(name)}" for name in fields)
+    return (
+        f"SELECT '{point}' AS pain_point, CAST({year} AS INT) AS data_year,"
+        f" CAST(to_json(list(struct_pack({packed}) ORDER BY {order})) AS VARCHAR) AS payload_json"
+        f" FROM ({source}) GROUP BY ALL"
+    )
+
+
+_LOAD_YEAR = "CAST(split_part(partition_key, '-', 1) AS INT)"
+_LINEAGE_FIELDS = [
+    "partition_key", "schema_version", "source_format", "source_url", "row_count", "column_count",
+    "columns_added", "columns_removed", "transformation_steps", "ingested_at", "status",
+]
+_EVOLUTION_FIELDS = [
+    "partition_key", "schema_version", "prev_schema_version", "column_count", "prev_column_count",
+    "columns_delta", "columns_added", "columns_removed", "row_count", "ingested_at",
+    "iceberg_snapshot_id", "is_schema_change", "change_type",
+]
+_TRUST_FIELDS = [
+    "data_year", "data_month", "schema_version", "total_rows", "active_days", "days_in_month",
+    "completeness_score", "volume_anomaly_score", "validity_score", "consistency_score",
+    "change_type", "columns_added", "columns_removed", *_DATES, "avg_fare_amount",
+    "avg_trip_distance_miles", "avg_passenger_count", "null_rate_passenger_count",
+    "negative_fare_count", "zero_distance_trip_count", "null_rate_congestion_surcharge",
+    "null_rate_airport_fee", "null_rate_pickup_longitude", "null_rate_pu_location_id", "trust_score",
+]
+_SAMPLE_FIELDS = [
+    "vendor_id", "pickup_at", "dropoff_at", "passenger_count", "trip_distance_miles",
+    "pu_location_id", "do_location_id", "pickup_longitude", "pickup_latitude", "fare_amount",
+    "total_amount", "payment_type", "congestion_surcharge", "airport_fee", "schema_version",
+]
+_SAMPLED = (
+    "SELECT *, row_number() OVER (PARTITION BY data_year ORDER BY {0}) AS place FROM stg"
+    " QUALIFY place <= 10"
+)
+
+
 def _after(prefix: str, text: str) -> str:
     """Continue ``prefix`` with the further expressions of ``text``."""
     return prefix + ",\n" + text.lstrip()
@@ -698,6 +747,37 @@ SELECT data_year, data_month,
   {_DRIVER} AS risk_driver FROM trust""",
     "representative_month": SCORES + """
 SELECT * FROM trust QUALIFY row_number() OVER (PARTITION BY data_year ORDER BY data_month) = 1""",
+    "report_payloads": SCORES + "\n" + "\nUNION ALL ".join(
+        [
+            _document("lineage", _LOAD_YEAR, "SELECT * FROM lineage", _LINEAGE_FIELDS,
+                      "ingested_at, partition_key"),
+            _document("schema_evolution", _LOAD_YEAR, "SELECT * FROM evolution", _EVOLUTION_FIELDS,
+                      "ingested_at, partition_key"),
+            _document("trust_score", "data_year", "SELECT * FROM trust QUALIFY row_number() OVER"
+                      " (PARTITION BY data_year ORDER BY data_month) = 1", _TRUST_FIELDS, "data_month"),
+            _document("business_context", "data_year", _SAMPLED.format(_SAMPLE_ORDER), _SAMPLE_FIELDS, "place"),
+            _document("coverage_gaps", "data_year", _SAMPLED.format(_SAMPLE_ORDER), _SAMPLE_FIELDS, "place"),
+            _document("volume_trends", "NULL", "SELECT data_year AS year, data_month AS month,"
+                      " total_rows AS total_trips, volume_anomaly_score, trust_score FROM trust",
+                      ["year", "month", "total_trips", "volume_anomaly_score", "trust_score"], "year, month"),
+            _document("covid_impact", "2020", "SELECT data_month AS month, total_rows AS total_trips,"
+                      " avg_fare_amount AS avg_fare, avg_trip_distance_miles AS avg_distance_miles,"
+                      " avg_passenger_count AS avg_passengers, volume_anomaly_score, trust_score"
+                      " FROM trust WHERE data_year = 2020",
+                      ["month", "total_trips", "avg_fare", "avg_distance_miles", "avg_passengers",
+                       "volume_anomaly_score", "trust_score"], "month"),
+            _document("fare_evolution", "NULL", "SELECT data_year AS year, data_month AS month,"
+                      " avg_fare_amount AS avg_fare, avg_trip_distance_miles AS avg_distance_miles,"
+                      " avg_passenger_count AS avg_passengers, total_rows AS total_trips,"
+                      f" {_PER_MILE} AS fare_per_mile FROM trust",
+                      ["year", "month", "avg_fare", "avg_distance_miles", "avg_passengers",
+                       "total_trips", "fare_per_mile"], "year, month"),
+            _document("seasonal_patterns", "NULL", "SELECT data_month,"
+                      " CAST(round_even(avg(total_rows), 0) AS BIGINT) AS avg_trips,"
+                      " count(*) AS years_of_data FROM trust WHERE data_year <> 2020 GROUP BY data_month",
+                      ["data_month", "avg_trips", "years_of_data"], "data_month"),
+        ]
+    ),
     "latest_narratives": NARRATIVES + """
 SELECT pain_point,
   CASE WHEN pain_point IN ('business_context', 'trust_score', 'coverage_gaps') THEN data_year END AS data_year,
