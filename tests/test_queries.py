@@ -6,9 +6,10 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry
+from tripguard.plans.oracles import ORACLES
+from tripguard.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
