@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
-from tripguard.llm import exact_dedup, simhash
+from tripguard.llm import (
+    decontaminate,
+    exact_dedup,
+    licenses,
+    lines,
+    packing,
+    quality,
+    simhash,
+    substring,
+    surrogates,
+    warc,
+)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_substring": substring.op2_substring,
+    "op3_pack": packing.op3_pack,
+    "op4_lines": lines.op4_lines,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_licenses": licenses.op6_licenses,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_warc": warc.op8_warc,
+    "op9_surrogates": surrogates.op9_surrogates,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {
+    "op2_substring": substring.OP2_SQL,
+    "op6_licenses": licenses.OP6_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op8_warc": warc.OP8_SQL,
 }
