@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -120,8 +121,6 @@ def test_exact_dedup_equals_brute_force(spark):
 
 
 def test_chunks_join_to_the_text():
-    import re
-
     rng = random.Random(1)
     pattern = exact_dedup.chunk_pattern(20, 60).replace(r"\z", r"\Z")
     for text in (sentence(rng, 500), "a" * 1000, "x. " * 99, "\n" * 77, "ab", ""):
@@ -165,7 +164,7 @@ def test_substring_odd_tables(spark):
 
 
 def grams(line, n=lines.CHARS):
-    return {line[i : i + n] for i in range(len(line) - n + 1)} or {line}
+    return {line[m.start() : m.start() + n] for m in re.finditer(r"\S+", line)}
 
 
 def test_line_classes_find_near_lines(spark):
@@ -186,6 +185,13 @@ def test_line_classes_find_near_lines(spark):
     assert gone == want and len(want) > 30
 
 
+def test_scripts_without_spaces_are_shingled_by_character(spark):
+    text = "".join(chr(0x4E00 + 7 * i) for i in range(120))
+    rows = [(1, text), (2, text[:20] + "一" + text[20:]), (3, text[:-1]), (4, text[::-1]), (5, text[:60] + text[::-1])]
+    kept = lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"] for r in kept.collect() if r["text"]} == {1, 4, 5}
+
+
 def test_line_dedup_odd_tables(spark):
     docs = documents(spark, clash=True)
     kept = lines.dedup_lines(docs)

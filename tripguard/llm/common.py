@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -31,11 +32,21 @@ def shared_folder(spark: SparkSession, what: str) -> str:
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage is cut there."""
+    """``df`` as a Parquet table in the shared folder: lineage is cut there.
+
+    The shuffles behind it are of no more use. Spark removes their files once
+    the driver has collected what refers to them, so that is asked for here
+    rather than waited for: a chain of such tables then needs the disk of its
+    largest link, not of their sum.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def free_name(columns: list[str], base: str) -> str:

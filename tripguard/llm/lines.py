@@ -11,15 +11,22 @@ from tripguard.llm.components import components
 CHARS = 8
 BANDS, ROWS = 7, 3
 SIMILARITY = 0.8
-# Where a sampled shingle begins: where a run of letters or digits does, and at
-# every character of scripts that put no space between words.
-SAMPLED = r"(?s)(?:(?<![\p{L}\p{N}])(?=[\p{L}\p{N}])|(?=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]))(?=(.{1,%d}))"
-EVERY = r"(?s)(?=(.{%d}))"
+# Scripts that put no space between words: each character begins a shingle.
+_WIDE = r"\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF"
+# A shingle: the characters from the start of a word on, over later words too.
+SHINGLE = rf"(?s)(?=(.{{1,%d}}))(?:[{_WIDE}]|[^\s{_WIDE}]+)\s*"
+# Every permutation is the shingle's hash with other bits turned over. These
+# multiples of one odd number lie evenly over all 64-bit numbers.
+TURNED = [k * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63) for k in range(BANDS * ROWS)]
 
 
 def normal_line(line: Column) -> Column:
     """Lower-cased, with white space at the ends gone and single inside."""
-    return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
+    odd = F.contains(line, F.lit("  "))
+    for space in "\t\r\f\x0b":
+        odd = odd | F.contains(line, F.lit(space))
+    single = F.when(odd, F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")).otherwise(line)
+    return F.trim(F.lower(single))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -32,20 +39,24 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
 
 
+def _shingles(line: str, chars: int) -> Column:
+    return F.regexp_extract_all(line, F.lit(SHINGLE % chars), F.lit(1))
+
+
 def _signatures(lines: DataFrame, chars: int) -> DataFrame:
-    """``(a, b, bands)`` per distinct line, from the least hashes of its sampled shingles.
+    """``(a, bands)`` per distinct line, from the least hashes of its shingles.
 
-    Shingles are sampled where words begin, which depends on the text alone;
-    the least hashes of repeats of a line are the same, so one aggregate with a
-    partial step in the scan's task makes distinct lines and their signatures.
+    Repeats of a line have the same least hashes, so one aggregate, with a
+    partial step in the task that reads the lines, makes distinct lines and
+    their signatures; no text moves.
     """
-    shingles = F.regexp_extract_all("l", F.lit(SAMPLED % chars), F.lit(1))
-    rows = lines.select("a", "b", F.explode_outer(shingles).alias("g"))
-    n = BANDS * ROWS
-    least = [F.min(F.xxhash64("g", F.lit(i)).bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).alias(f"m{i}") for i in range(n)]
-    signed = rows.groupBy("a", "b").agg(*least)
+    hashed = lines.select("a", "b", F.explode(_shingles("l", chars)).alias("g")).select(
+        "a", "b", F.xxhash64("g").alias("h")
+    )
+    turned = [F.shiftright(F.col("h").bitwiseXOR(F.lit(c)), 32) for c in TURNED]
+    signed = hashed.groupBy("a", "b").agg(*[F.min(t).alias(f"m{i}") for i, t in enumerate(turned)])
     bands = [F.xxhash64(F.lit(i), *[f"m{i * ROWS + k}" for k in range(ROWS)]) for i in range(BANDS)]
-    return signed.filter("m0 is not null").select("a", "b", F.array(*bands).alias("bands"))
+    return signed.select("a", F.array(*bands).alias("bands"))
 
 
 def _candidates(signatures: DataFrame) -> DataFrame:
@@ -65,25 +76,25 @@ def _candidates(signatures: DataFrame) -> DataFrame:
 
 
 def _similar(lines: DataFrame, pairs: DataFrame, chars: int, similarity: float) -> DataFrame:
-    """Links ``(u, v)`` of pairs whose sets of all character shingles are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "c")).alias("w")).distinct()
-    grams = F.array_distinct(F.regexp_extract_all("l", F.lit(EVERY % chars), F.lit(1)))
-    texts = (
-        lines.select("a", "b", "l")
-        .join(wanted, F.col("a") == F.col("w"), "left_semi")
-        .groupBy("a", "b")
-        .agg(F.min("l").alias("l"))
-        .select("a", "b", F.when(F.char_length("l") < chars, F.array("l")).otherwise(grams).alias("g"))
-    )
-    left = texts.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("g").alias("g1"))
-    right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("g").alias("g2"))
-    both = pairs.join(left, F.col("a") == F.col("a1")).join(right, F.col("c") == F.col("a2"))
+    """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
+
+    Texts are dealt by their hash once; a pair meets its first text there, and
+    takes that along to the second.
+    """
+    texts = lines.select("a", "b", "l").distinct()
+    left = texts.toDF("a", "b1", "l1")
+    right = texts.toDF("c", "b2", "l2")
+    both = pairs.join(left, "a").join(right, "c")
+
+    def held(line: str) -> Column:
+        return F.array_distinct(F.transform(_shingles(line, chars), lambda g: F.xxhash64(g)))
+
+    sets = both.select("a", "b1", "c", "b2", held("l1").alias("g1"), held("l2").alias("g2"))
     shared = F.size(F.array_intersect("g1", "g2"))
-    small, large = F.least(F.size("g1"), F.size("g2")), F.greatest(F.size("g1"), F.size("g2"))
     return (
-        both.filter(small >= similarity * large)
-        .filter(shared >= similarity * (small + large - shared))
-        .select(_node("a1", "b1").alias("u"), _node("a2", "b2").alias("v"))
+        sets.select("a", "b1", "c", "b2", shared.alias("n"), (F.size("g1") + F.size("g2")).alias("m"))
+        .filter(F.col("n") >= similarity * (F.col("m") - F.col("n")))
+        .select(_node("a", "b1").alias("u"), _node("c", "b2").alias("v"))
     )
 
 
@@ -101,11 +112,10 @@ def line_classes(
     """``(a, b, root)`` of distinct lines that are near copies of others, by class."""
     lines = _lines(docs, id_col, text_col)
     pairs = written(_candidates(_signatures(lines, chars)), "line-pairs")
-    links = _similar(lines, pairs, chars, similarity)
-    found = components(links)
+    links = written(_similar(lines, pairs, chars, similarity), "line-links")
     parts = F.split("id", r"\.")
     unhex = lambda c: F.conv(c, 16, -10).cast("bigint")
-    return found.select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
+    return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
 
 
 def dropped_lines(
@@ -120,8 +130,8 @@ def dropped_lines(
     The line of a class that is kept is the one with the least id, and the
     first one there. A class is lines of one normal form, or linked ones.
     """
-    lines = _lines(docs, id_col, text_col)
     near = line_classes(docs, id_col, text_col, chars, similarity)
+    lines = written(_lines(docs, id_col, text_col).select("d", "s", "p", "a", "b"), "line-places")
     again = (
         lines.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -129,8 +139,8 @@ def dropped_lines(
         .filter("n > 1 or root is not null")
         .select("a", "b", F.coalesce("root", _node("a", "b")).alias("root"))
     )
-    placed = lines.select("d", "s", "p", "a", "b").join(again, ["a", "b"]).select("root", "d", "s", "p")
-    # First within each text, then the least text: both minima are pre-aggregated.
+    placed = lines.join(again, ["a", "b"]).select("root", "d", "s", "p")
+    # Pre-aggregated, so a line that every document has is no task's burden.
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("d").isNull(), "d", "s", "p")).alias("f"))
     gone = placed.join(first, "root").filter(
         ~(F.col("d").eqNullSafe(F.col("f.d")) & (F.col("s") == F.col("f.s")) & (F.col("p") == F.col("f.p")))
@@ -148,12 +158,13 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with one line of each class left, in ``text``; other columns stay as they are.
 
-    Lines are compared in lower case and with single spaces. Near copies share
-    at least ``similarity`` of their distinct ``chars``-character shingles
-    (Jaccard); a shorter line is one shingle. Signatures of 21 least hashes in
-    7 bands find a pair at the threshold with a chance of over 0.99; a bucket's
-    lines are verified exactly against two of its lines, and links are joined
-    into classes by a distributed union-find.
+    Lines are compared in lower case and with single spaces. A line's shingles
+    are the ``chars`` characters from each word on; in scripts without spaces,
+    from each character on. Near copies share at least ``similarity`` of their
+    distinct shingles (Jaccard). Signatures of 21 least hashes in 7 bands find a
+    pair at the threshold with a chance of over 0.99; a bucket's lines are
+    verified exactly against two of its lines, and links are joined into
+    classes by a distributed union-find.
 
     Blank lines always stay; a null text stays null. Rows of one id and one
     text count as one document. ``counts`` names two more columns, for the
