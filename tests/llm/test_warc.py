@@ -19,9 +19,18 @@ PAGES = [
     (6, "http://a.example/6", "WARC/1.1\r\nInside: é – 漢\n\n\r\n\r\n"),
     (7, "http://a.example/7", "x" * 300_000),
     (9, "http://a.example/9", "<p>one</p>"),
+    *((20 + i, "u", "\r\n" * i + "y" * (65_500 + i) + "\r\n\r\n" * (i % 5) + "\r" * (i % 3)) for i in range(90)),
 ]
 
 
+@pytest.fixture(autouse=True)
+def small_splits(spark):
+    """Files are read in parts that end anywhere."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100001")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def captured(spark, tmp_path, rows=PAGES, **options):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     for name in ("id", "payload", "digest", "record", "type"):

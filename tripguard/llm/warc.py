@@ -9,8 +9,10 @@ from tripguard.llm.common import shared_folder, table
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
-# Between two records, up to and with the first line of the next one.
-BETWEEN = CRLF + CRLF + VERSION + CRLF
+# Where a record ends and the next begins: from the last line feed of the one to
+# the first carriage return of the other. Its first byte does not occur in it
+# again, so a reader that falls back to the start on a mismatch misses none.
+BETWEEN = "\n" + VERSION + "\r"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RECORDS_PER_FILE = 50_000
@@ -78,7 +80,7 @@ def records(rows: DataFrame, when: str) -> DataFrame:
     name = lambda kind: F.concat(F.lit(f"<urn:capture:{kind}:"), key, F.lit(">"))
     revisit = F.col("refers_to").isNotNull()
     url = F.when(F.col("url").isNotNull(), _one_line(F.col("url")))
-    coded = F.contains(F.col("payload"), F.lit(BETWEEN)) | F.col("payload").startswith(VERSION + CRLF)
+    coded = F.contains(F.col("payload"), F.lit(BETWEEN)) | F.col("payload").startswith(VERSION + "\r")
     body = F.when(revisit, "").when(coded, F.base64(F.encode("payload", "UTF-8"))).otherwise(F.col("payload"))
     head = F.concat(
         F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF),
@@ -154,8 +156,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     the archive is cut off or was not made by ``write_archive``, stops the read.
     """
     raw = spark.read.option("lineSep", BETWEEN).text(path)
-    whole = F.col("value")
-    whole = F.when(whole.startswith(VERSION + CRLF), F.substr(whole, F.lit(len(VERSION + CRLF) + 1))).otherwise(whole)
+    # The first record of a file still has its version line, the others a line feed.
+    whole = F.regexp_replace("value", rf"\A(?:{VERSION}\r)?\n", "")
     split = raw.select(F.split(whole, CRLF + CRLF, 2).alias("r")).select(
         F.concat(F.lit(CRLF), F.col("r")[0], F.lit(CRLF)).alias("head"), F.get("r", F.lit(1)).alias("rest")
     )
@@ -166,9 +168,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     length = field("Content-Length").cast("bigint")
     have = F.octet_length("rest")
-    # The last record of a file still has the two line ends that close it.
-    ends = F.when(F.col("rest").endswith(CRLF + CRLF) & (have == length + 4), 4).when(have == length, 0)
-    block = F.when(ends == 4, F.substr(F.col("rest"), F.lit(1), F.char_length("rest") - 4)).when(ends == 0, F.col("rest"))
+    # Two line ends close a record; the last line feed of them is in the
+    # separator, but for the last record of a file.
+    ends = F.when(F.col("rest").endswith(CRLF + CRLF) & (have == length + 4), 4).when(
+        F.col("rest").endswith(CRLF + "\r") & (have == length + 3), 3
+    )
+    block = F.when(ends.isNotNull(), F.substr(F.col("rest"), F.lit(1), F.char_length("rest") - ends))
     broken = F.raise_error(F.concat(F.lit("record with a block of another length: "), F.coalesce(field("WARC-Record-ID"), F.lit("?"))))
     return split.select(
         field("WARC-Type").alias("type"),
