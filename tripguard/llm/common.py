@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +15,7 @@ from tripguard.session import ensure_checkpoint_dir
 
 # Bytes of text handled at once inside a task; one longer text is one slice.
 SLICE_BYTES = 4 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Odd multiplier of the rolling hash, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -34,19 +34,22 @@ def shared_folder(spark: SparkSession, what: str) -> str:
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage is cut there.
 
-    The shuffles behind it are of no more use. Spark removes their files once
-    the driver has collected what refers to them, so that is asked for here
-    rather than waited for: a chain of such tables then needs the disk of its
-    largest link, not of their sum.
+    The shuffles behind it are of no more use, so Spark is told to remove their
+    files when the write is done: a chain of such tables then needs the disk of
+    its largest link, not of their sum.
     """
     spark = df.sparkSession
     path = shared_folder(spark, what)
-    df.write.parquet(path)
-    schema = df.schema
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free_name(columns: list[str], base: str) -> str:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripguard.llm.common import free_name, table, written
 from tripguard.llm.components import components
 
-CHARS = 8
 BANDS, ROWS = 7, 3
 SIMILARITY = 0.8
-# Scripts that put no space between words: each character begins a shingle.
-_WIDE = r"\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF"
-# A shingle: the characters from the start of a word on, over later words too.
-SHINGLE = rf"(?s)(?=(.{{1,%d}}))(?:[{_WIDE}]|[^\s{_WIDE}]+)\s*"
+# Characters of the next word that a shingle has besides its own word.
+LEAD = 4
+# Scripts that put no space between words: each character counts as a word.
+WIDE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]"
 # Every permutation is the shingle's hash with other bits turned over. These
 # multiples of one odd number lie evenly over all 64-bit numbers.
 TURNED = [k * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63) for k in range(BANDS * ROWS)]
@@ -31,65 +32,77 @@ def normal_line(line: Column) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(d, s, p, l, a, b)``: id, hash of the text, place and normal form of each line that isn't blank, and its 128-bit hash."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("d"), F.xxhash64(text).alias("s"), F.posexplode(F.split(text, "\n")).alias("p", "raw")
-    )
+    texts = docs.select(F.col(id_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    split = texts.select("d", F.xxhash64("t").alias("s"), F.split("t", "\n").alias("raw"))
+    rows = split.select("d", "s", F.posexplode("raw").alias("p", "raw"))
     rows = rows.select("d", "s", "p", normal_line(F.col("raw")).alias("l")).filter("l != ''")
     return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
 
 
-def _shingles(line: str, chars: int) -> Column:
-    return F.regexp_extract_all(line, F.lit(SHINGLE % chars), F.lit(1))
+def shingles(line: str) -> Column:
+    """Hashes of a line's character shingles, one from the start of each word.
+
+    A shingle is a word and the first ``LEAD`` characters of the next one.
+    """
+    l = F.col(line)
+    apart = F.trim(F.regexp_replace(F.regexp_replace(l, f"({WIDE})", " $1 "), " +", " "))
+    spaced = F.when(l.rlike(WIDE), apart).otherwise(l)
+    words = F.split(spaced, " ")
+    lead = lambda i: F.substring(F.get(words, i + 1), 1, LEAD)
+    return F.transform(words, lambda word, i: F.xxhash64(word, lead(i)))
+
+
+def _turned(constant: int) -> Callable[[Column], Column]:
+    """The upper half of a hash under one permutation."""
+    return lambda h: F.shiftright(h.bitwiseXOR(F.lit(constant)), 32)
 
 
-def _signatures(lines: DataFrame, chars: int) -> DataFrame:
-    """``(a, bands)`` per distinct line, from the least hashes of its shingles.
+def _signed(lines: DataFrame) -> DataFrame:
+    """``(d, s, p, a, b, k0...)``: the lines with their band keys instead of their text.
 
-    Repeats of a line have the same least hashes, so one aggregate, with a
-    partial step in the task that reads the lines, makes distinct lines and
-    their signatures; no text moves.
+    A band's key stands for the least hashes of the shingles under three
+    permutations. All of it is array expressions within a row.
     """
-    hashed = lines.select("a", "b", F.explode(_shingles("l", chars)).alias("g")).select(
-        "a", "b", F.xxhash64("g").alias("h")
-    )
-    turned = [F.shiftright(F.col("h").bitwiseXOR(F.lit(c)), 32) for c in TURNED]
-    signed = hashed.groupBy("a", "b").agg(*[F.min(t).alias(f"m{i}") for i, t in enumerate(turned)])
-    bands = [F.xxhash64(F.lit(i), *[f"m{i * ROWS + k}" for k in range(ROWS)]) for i in range(BANDS)]
-    return signed.select("a", F.array(*bands).alias("bands"))
+    hashed = lines.select("d", "s", "p", "a", "b", shingles("l").alias("h"))
+    least = [F.array_min(F.transform("h", _turned(c))).alias(f"m{i}") for i, c in enumerate(TURNED)]
+    bands = [
+        F.xxhash64(F.lit(i), *[f"m{i * ROWS + k}" for k in range(ROWS)]).alias(f"k{i}") for i in range(BANDS)
+    ]
+    place = ["d", "s", "p", "a", "b"]
+    return hashed.select(*place, *least).select(*place, *bands)
 
 
-def _candidates(signatures: DataFrame) -> DataFrame:
-    """``(a, c)``: each line of a band's bucket with the bucket's least and greatest line.
+def _candidates(signed: DataFrame) -> DataFrame:
+    """``(a, c)``: each distinct line of a band's bucket with its least and greatest line.
 
     Two pairs per line and bucket, so a bucket may be of any size; buckets of
-    up to three lines give all their pairs.
+    up to three lines give all their pairs. Repeats of a line are one line
+    before anything else.
     """
-    entries = signatures.select(F.explode("bands").alias("k"), "a")
-    ends = (
-        entries.groupBy("k")
-        .agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-    )
+    keys = [f"k{i}" for i in range(BANDS)]
+    distinct = signed.groupBy("a", "b").agg(*[F.min(k).alias(k) for k in keys])
+    entries = distinct.select(F.explode(F.array(*keys)).alias("k"), "a")
+    ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo != hi")
     paired = entries.join(ends, "k").select("a", F.explode(F.array("lo", "hi")).alias("c"))
     return paired.filter("a != c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("c")).distinct()
 
 
-def _similar(lines: DataFrame, pairs: DataFrame, chars: int, similarity: float) -> DataFrame:
+def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
 
     Texts are dealt by their hash once; a pair meets its first text there, and
     takes that along to the second.
     """
-    texts = lines.select("a", "b", "l").distinct()
-    left = texts.toDF("a", "b1", "l1")
-    right = texts.toDF("c", "b2", "l2")
+    texts = lines.groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
+    left = texts.select("a", F.col("t").alias("t1"))
+    right = texts.select(F.col("a").alias("c"), F.col("t").alias("t2"))
     both = pairs.join(left, "a").join(right, "c")
-
-    def held(line: str) -> Column:
-        return F.array_distinct(F.transform(_shingles(line, chars), lambda g: F.xxhash64(g)))
-
-    sets = both.select("a", "b1", "c", "b2", held("l1").alias("g1"), held("l2").alias("g2"))
+    parts = both.select(
+        "a", F.col("t1.b").alias("b1"), F.col("t1.l").alias("l1"), "c", F.col("t2.b").alias("b2"), F.col("t2.l").alias("l2")
+    )
+    sets = parts.select(
+        "a", "b1", "c", "b2", F.array_distinct(shingles("l1")).alias("g1"), F.array_distinct(shingles("l2")).alias("g2")
+    )
     shared = F.size(F.array_intersect("g1", "g2"))
     return (
         sets.select("a", "b1", "c", "b2", shared.alias("n"), (F.size("g1") + F.size("g2")).alias("m"))
@@ -102,36 +115,26 @@ def _node(a: str, b: str) -> Column:
     return F.concat(F.hex(a), F.lit("."), F.hex(b))
 
 
-def line_classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    chars: int = CHARS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
+def line_classes(lines: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(a, b, root)`` of distinct lines that are near copies of others, by class."""
-    lines = _lines(docs, id_col, text_col)
-    pairs = written(_candidates(_signatures(lines, chars)), "line-pairs")
-    links = written(_similar(lines, pairs, chars, similarity), "line-links")
+    pairs = written(_candidates(signed), "line-pairs")
+    links = written(_similar(lines, pairs, similarity), "line-links")
     parts = F.split("id", r"\.")
     unhex = lambda c: F.conv(c, 16, -10).cast("bigint")
     return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
 
 
 def dropped_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    chars: int = CHARS,
-    similarity: float = SIMILARITY,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """``(d, s, gone)``: per id and text hash, the places of lines that a kept line stands for.
 
     The line of a class that is kept is the one with the least id, and the
     first one there. A class is lines of one normal form, or linked ones.
     """
-    near = line_classes(docs, id_col, text_col, chars, similarity)
-    lines = written(_lines(docs, id_col, text_col).select("d", "s", "p", "a", "b"), "line-places")
+    texts = _lines(docs, id_col, text_col)
+    lines = written(_signed(texts), "lines")
+    near = line_classes(texts, lines, similarity)
     again = (
         lines.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -152,26 +155,25 @@ def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chars: int = CHARS,
     similarity: float = SIMILARITY,
     counts: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``docs`` with one line of each class left, in ``text``; other columns stay as they are.
 
     Lines are compared in lower case and with single spaces. A line's shingles
-    are the ``chars`` characters from each word on; in scripts without spaces,
-    from each character on. Near copies share at least ``similarity`` of their
-    distinct shingles (Jaccard). Signatures of 21 least hashes in 7 bands find a
-    pair at the threshold with a chance of over 0.99; a bucket's lines are
-    verified exactly against two of its lines, and links are joined into
-    classes by a distributed union-find.
+    are the characters from the start of a word to the fourth of the next word;
+    in scripts without spaces each character counts as a word. Near copies share
+    at least ``similarity`` of their distinct shingles (Jaccard). Signatures of
+    21 least hashes in 7 bands find a pair at the threshold with a chance of
+    over 0.99; a bucket's lines are verified exactly against two of its lines,
+    and links are joined into classes by a distributed union-find.
 
     Blank lines always stay; a null text stays null. Rows of one id and one
     text count as one document. ``counts`` names two more columns, for the
     number of lines and of those that went. An empty table gives an empty one.
     """
     names = [free_name(docs.columns, n) for n in ("_id", "_hash", "_gone")]
-    gone = dropped_lines(docs, id_col, text_col, chars, similarity).toDF(*names)
+    gone = dropped_lines(docs, id_col, text_col, similarity).toDF(*names)
     text = F.coalesce(docs[text_col], F.lit(""))
     joined = docs.join(
         gone, docs[id_col].eqNullSafe(gone[names[0]]) & (F.xxhash64(text) == gone[names[1]]), "left"
