@@ -63,7 +63,7 @@ def test_amount_text(spark):
 def test_hour_bucket(spark):
     stamp = F.lit("2020-04-01T10:15:30").cast("timestamp")
     assert one(spark, hour_bucket(stamp)) == "2020-04-01T10:00:00"
-    with pytest.raises(ValueError, match="hour bucketing"):
+    with pytest.raises(ValueError, match="bucketed by hour"):
         hour_bucket(stamp, "day")
 
 

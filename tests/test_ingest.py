@@ -197,3 +197,116 @@ def test_landing_folder_is_loaded_incrementally(spark, landing, tmp_path):
     watch(spark, str(landing), root, state, loaded.append).awaitTermination(120)
     assert loaded == [["2017-01"], ["2019-01"]]
     assert read_trips(spark, root).count() == 6
+
+
+def empty_month(folder, key):
+    path = month_file(folder, key)
+    pq.write_table(pq.read_table(path).slice(0, 0), path)
+    return path
+
+
+def at(day):
+    return datetime(2024, 1, day, tzinfo=timezone.utc)
+
+
+def test_an_empty_reload_clears_the_month(spark, landing, tmp_path):
+    root = str(tmp_path / "lake")
+    paths = [month_file(landing, "2019-01"), month_file(landing, "2019-02", rows=4)]
+    ingest(spark, paths, root, RUN)
+    ingest(spark, [empty_month(landing, "2019-01")], root, at(2))
+    months = read_trips(spark, root).groupBy("data_month").count().collect()
+    assert [tuple(r) for r in months] == [(2, 4)]
+    assert verify(spark, root).filter("not is_match").count() == 0
+    assert log(spark, root)[-1]["row_count"] == 0
+
+
+def test_one_bad_file_fails_alone(spark, landing, tmp_path):
+    root = str(tmp_path / "lake")
+    good = month_file(landing, "2019-02")
+    bad = month_file(landing, "2019-03", drop=["extra"])
+    torn = landing / "yellow_tripdata_2019-04.parquet"
+    torn.write_bytes(b"PAR1 no footer")
+    with pytest.raises(ValueError, match="2 of 3 files were not loaded"):
+        ingest(spark, [good, bad, str(torn)], root, RUN, "run-1")
+    rows = {r["partition_key"]: r for r in log(spark, root)}
+    assert {k: r["status"] for k, r in rows.items()} == {"2019-02": "success", "2019-03": "failed", "2019-04": "failed"}
+    assert "extra" in rows["2019-03"]["error_message"] and rows["2019-02"]["error_message"] == ""
+    assert read_trips(spark, root).count() == 3
+    assert verify(spark, root).filter("not is_match").count() == 0
+
+
+def test_two_files_of_a_month_fail_and_others_load(spark, landing, tmp_path):
+    root, other = str(tmp_path / "lake"), tmp_path / "other"
+    other.mkdir()
+    paths = [month_file(landing, "2019-01"), month_file(other, "2019-01"), month_file(landing, "2019-02")]
+    ingest(spark, paths, root, RUN, strict=False)
+    assert sorted((r["partition_key"], r["status"]) for r in log(spark, root)) == [
+        ("2019-01", "failed"), ("2019-01", "failed"), ("2019-02", "success"),
+    ]
+
+
+def test_a_run_repeated_logs_nothing_twice(spark, landing, tmp_path):
+    root = str(tmp_path / "lake")
+    ingest(spark, [month_file(landing, "2017-01")], root, RUN, "run-0")
+    paths = [month_file(landing, "2019-01"), month_file(landing, "2019-02", drop=["extra"])]
+    for day in (2, 3):
+        ingest(spark, paths, root, at(day), "run-1", strict=False)
+    rows = log(spark, root)
+    assert [(r["run_id"], r["partition_key"], r["status"]) for r in rows if r["run_id"] == "run-1"] == [
+        ("run-1", "2019-01", "success"), ("run-1", "2019-02", "failed"),
+    ]
+    latest = evolution.latest_evolution(evolution.schema_evolution(tables.read(spark, f"{root}/lineage", LINEAGE_SCHEMA)))
+    assert {r["partition_key"]: r["is_schema_change"] for r in latest.collect()}["2019-01"]
+    assert verify(spark, root).filter("not is_match").count() == 0
+
+
+def test_many_files_add_no_expression_per_row(spark, landing, tmp_path):
+    from tripguard.sources.unify import file_schemas, read_months
+
+    paths = [month_file(landing, f"{y}-{m:02d}") for y in (2019, 2020) for m in range(1, 13)]
+    plans = []
+    for some in (paths[:2], paths):
+        schemas, bad = file_schemas(spark, some)
+        assert not bad
+        plans.append(read_months(spark, schemas, "2024-01-01")._jdf.queryExecution().optimizedPlan().toString())
+    assert plans[0].count("\n") == plans[1].count("\n")
+    root = str(tmp_path / "lake")
+    ingest(spark, paths, root, RUN)
+    assert {r["row_count"] for r in log(spark, root)} == {3}
+
+
+def test_the_newest_file_of_a_month_counts_in_any_batch(spark, landing, tmp_path):
+    import os
+    import time
+
+    from tripguard.streaming.landing import load_batch
+
+    folders = [landing / n for n in ("a", "b", "c")]
+    files = []
+    for rows, folder in zip((3, 7, 5), folders):
+        folder.mkdir()
+        files.append(month_file(folder, "2019-01", rows=rows))
+    now = time.time()
+    for path, age in zip(files, (300, 100, 200)):
+        os.utime(path, (now - age, now - age))
+    found = lambda *paths: spark.read.format("binaryFile").load(list(paths)).select("path", "modificationTime")
+    for name, batches in {"one": [files], "three": [files[1:2], files[:1], files[2:]]}.items():
+        root = str(tmp_path / name)
+        for i, batch in enumerate(batches):
+            for _ in range(2):  # each batch runs again, as after a failure
+                load_batch(root)(found(*batch), i)
+        assert read_trips(spark, root).count() == 7
+        rows = log(spark, root)
+        assert sorted((r["status"], r["row_count"]) for r in rows) == [("failed", 0), ("failed", 0), ("success", 7)]
+        assert all("newer file" in r["error_message"] for r in rows if r["status"] == "failed")
+        assert verify(spark, root).filter("not is_match").count() == 0
+
+
+def test_a_bad_file_does_not_stop_the_stream(spark, landing, tmp_path):
+    root, state, loaded = str(tmp_path / "lake"), str(tmp_path / "state"), []
+    month_file(landing, "2019-01", drop=["extra"])
+    month_file(landing, "2019-02")
+    (landing / "notes.parquet").write_bytes(b"no month")
+    watch(spark, str(landing), root, state, loaded.append).awaitTermination(120)
+    assert loaded == [["2019-02"]]
+    assert sorted(r["status"] for r in log(spark, root)) == ["failed", "failed", "success"]

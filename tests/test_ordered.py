@@ -37,21 +37,29 @@ def test_hot_keys_rank_as_the_window_does(spark, rows, monkeypatch):
     used = []
     spread = ordered._row_number_spread
     monkeypatch.setattr(ordered, "_row_number_spread", lambda *a: used.append(1) or spread(*a))
-    out = row_number_by(rows, ["k"], ["a", "b"], "n", hot_rows=500, small_input_bytes=0)
+    out = row_number_by(rows, ["k"], ["a", "b"], "n", hot_rows=500)
     assert ranked(out) == ranked(plain(rows))
     assert used
     assert sorted(map(repr, out.select(*rows.columns).collect())) == sorted(map(repr, rows.collect()))
 
 
 def test_all_rows_hot(spark, rows):
-    out = row_number_by(rows, ["k"], ["a", "b"], "n", hot_rows=1, small_input_bytes=0)
+    out = row_number_by(rows, ["k"], ["a", "b"], "n", hot_rows=1)
     assert ranked(out) == ranked(plain(rows))
 
 
-def test_nothing_hot_or_small_input(spark, rows):
-    for limits in ({"hot_rows": 10**6, "small_input_bytes": 0}, {}):
-        out = row_number_by(rows, ["k"], ["a", "b"], "n", **limits)
-        assert ranked(out) == ranked(plain(rows))
+def test_nothing_hot(spark, rows):
+    out = row_number_by(rows, ["k"], ["a", "b"], "n")
+    assert ranked(out) == ranked(plain(rows))
+
+
+def test_rows_keep_their_number_in_any_plan(spark, rows):
+    """Ties in the order go by all other columns, so number and whole row belong together."""
+    whole = lambda df: sorted(map(repr, (tuple(r) for r in df.select("k", "a", "b", "other", "n").collect())))
+    want = whole(row_number_by(rows, ["k"], ["a"], "n"))
+    for seed, hot in ((1, 10**6), (2, 500), (3, 1)):
+        shuffled = rows.orderBy(F.rand(seed)).repartition(5)
+        assert whole(row_number_by(shuffled, ["k"], ["a"], "n", hot_rows=hot)) == want
 
 
 def test_lag_across_buckets(spark):

@@ -8,14 +8,9 @@ from pyspark.sql import functions as F
 
 from tripguard.operators import consent, identity, marts, policy, requests, retention, risk
 
-SAMPLE = [
-    ("trip-001", "2020-04-01 08:15:00", 161, 230),
-    ("trip-002", "2020-04-01 08:20:00", 161, 230),
-    ("trip-003", "2020-04-01 08:35:00", 161, 230),
-    ("trip-004", "2020-04-01 08:40:00", 161, 230),
-    ("trip-005", "2020-04-01 08:55:00", 161, 230),
-    ("trip-006", "2020-04-01 23:10:00", 132, 148),
-]
+# Five trips between two zones within an hour of a Wednesday, and one apart.
+SAMPLE = [(f"together-{i}", f"2021-06-16 17:{7 * i:02d}:00", 44, 90) for i in range(5)]
+SAMPLE.append(("alone", "2021-06-16 04:31:00", 7, 12))
 
 
 @pytest.fixture(scope="module")
@@ -30,21 +25,22 @@ def by_id(df, *columns):
 
 def test_sample_trips(sample):
     got = by_id(risk.with_k(sample), "k_anonymity", "risk_level", "is_high_reidentification_risk")
-    assert got["trip-001"] == (5, "moderate", False)
-    assert got["trip-006"] == (1, "critical", True)
+    assert got["together-0"] == (5, "moderate", False)
+    assert got["alone"] == (1, "critical", True)
 
 
 def test_weekday_conventions(sample):
     row = sample.first()
-    assert (row["pickup_hour"], row["pickup_weekday"], row["pickup_day_of_week"]) == (8, 2, 4)
+    assert (row["pickup_hour"], row["pickup_weekday"], row["pickup_day_of_week"]) == (17, 2, 4)
 
 
 def test_threshold_of_two(spark):
-    rows = [("a", 1, 2, 9, 0), ("b", 1, 2, 9, 0), ("c", 9, 9, 23, 6)]
+    rows = [("p", 30, None, 6, 3), ("q", 30, None, 6, 3), ("r", 30, 31, 6, 3)]
     names = "trip_id string, " + ", ".join(f"{c} long" for c in risk.QUASI_IDENTIFIERS)
     scored = risk.with_k(spark.createDataFrame(rows, names), k=2, label=True)
     got = by_id(scored, "k_anonymity", "is_high_reidentification_risk", "equivalence_class")
-    assert got == {"a": (2, False, "1|2|9|0"), "b": (2, False, "1|2|9|0"), "c": (1, True, "9|9|23|6")}
+    pair = (2, False, "30|None|6|3")
+    assert got == {"p": pair, "q": pair, "r": (1, True, "30|31|6|3")}
 
 
 def test_summary(sample, spark):
@@ -55,8 +51,8 @@ def test_summary(sample, spark):
 
 def test_min_k_pivot(sample):
     rows = {r["pu_location_id"]: r for r in risk.min_k_pivot(risk.equivalence_classes(sample)).collect()}
-    assert rows[161]["hour_08"] == 5 and rows[132]["hour_23"] == 1
-    assert rows[161]["hour_23"] == 0
+    assert rows[44]["hour_17"] == 5 and rows[7]["hour_04"] == 1
+    assert rows[44]["hour_04"] == 0
 
 
 def test_generalisation_merges_classes(spark):
@@ -81,7 +77,7 @@ def test_k_equals_counting_window_on_random_rows(spark):
 
 
 def test_class_counts_of_months_add_up(sample):
-    parts = [sample.filter("trip_id < 'trip-003'"), sample.filter("trip_id >= 'trip-003'")]
+    parts = [sample.filter("trip_id < 'together-2'"), sample.filter("trip_id >= 'together-2'")]
     counts = risk.equivalence_classes(parts[0]).unionByName(risk.equivalence_classes(parts[1]))
     merged = risk.merge_class_counts(counts)
     assert sorted(map(repr, merged.collect())) == sorted(
@@ -106,10 +102,24 @@ def staged_copies(spark, copies):
 def test_ids_of_copies_are_distinct_and_stable(spark):
     trips = staged_copies(spark, 3000)
     plain = {r["trip_id"] for r in identity.with_trip_id(trips).collect()}
-    hot = identity.with_trip_id(trips.repartition(5), hot_rows=100, small_input_bytes=0)
+    hot = identity.with_trip_id(trips.repartition(5), hot_rows=100)
     assert len(plain) == 3000 and plain == {r["trip_id"] for r in hot.collect()}
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 2])
+def test_trips_keep_their_ids_when_loaded_again(spark, hot_rows):
+    """Trips alike in the key and the order columns differ in tips and places."""
+    trips = staged_copies(spark, 6).drop("passenger_count").selectExpr(
+        "*", "1L as passenger_count", "cast(row_number() over (order by uuid()) as double) as tip_amount",
+        "current_timestamp() as ingested_at",
+    )
+    tips = lambda df: {r["trip_id"]: r["tip_amount"] for r in identity.with_trip_id(df, hot_rows=hot_rows).collect()}
+    first = tips(trips.orderBy("tip_amount"))
+    assert len(first) == 6
+    again = trips.withColumn("ingested_at", F.expr("current_timestamp() - make_dt_interval(0, int(tip_amount))"))
+    assert first == tips(again.orderBy(F.desc("tip_amount")).repartition(3))
+
+
 def test_drawn_consent(spark):
     flags = consent.with_drawn_consent(spark.sql("select 'trip-1' as trip_id")).first()
     assert flags["consent_ml_training"] and flags["consent_operational"]

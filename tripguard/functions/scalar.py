@@ -76,7 +76,7 @@ def keyed_pseudonym(raw_id: Column, salt: str) -> Column:
 def hour_bucket(value: Column, bucket: str = "hour") -> Column:
     """Truncate a timestamp to the hour, as ISO text."""
     if bucket != "hour":
-        raise ValueError("Only hour bucketing is currently supported")
+        raise ValueError(f"times are bucketed by hour, not by {bucket}")
     return F.date_format(F.date_trunc("hour", value), "yyyy-MM-dd'T'HH:mm:ss")
 
 

@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripguard.operators.consent import DRAWN_SOURCE, TABLE_SOURCE
+
 # Values a column may take; null passes.
 RISK_LEVELS = ["critical", "high", "moderate", "low"]
 PII_TYPES = ["operational_identifier", "quasi_identifier", "location_trace", "financial_attribute"]
 HANDLINGS = ["pseudonymize", "generalize", "suppress", "aggregate"]
-CONSENT_SOURCES = ["synthetic_demo"]
+CONSENT_SOURCES = [DRAWN_SOURCE, TABLE_SOURCE]
 
 
 def not_null(column: str) -> tuple[str, str, Column]:
@@ -53,13 +55,25 @@ def check_table(df: DataFrame, table: str, checks: list[tuple[str, str, Column]]
     return counted.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
-def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    return unique_failures(df, column).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit("unique").alias("check_name"),
-        F.lit(column).alias("column_name"),
-        "failures",
+def check_keyed_table(
+    df: DataFrame, table: str, key: str, checks: list[tuple[str, str, Column]]
+) -> DataFrame:
+    """As ``check_table``, and that ``key`` is unique, in one scan and one shuffle."""
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(checks)]
+    )
+    again = F.count_if(F.col(key).isNotNull() & (F.col("n") > 1))
+    told = [*[(name, column, F.sum(f"c{i}")) for i, (name, column, _) in enumerate(checks)], ("unique", key, again)]
+    counted = per_key.agg(*[F.coalesce(n, F.lit(0)).alias(f"f{i}") for i, (_, _, n) in enumerate(told)])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), F.col(f"f{i}").alias("failures")
+            )
+            for i, (name, column, _) in enumerate(told)
+        ]
     )
+    return counted.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
 def checks_report(
@@ -97,8 +111,12 @@ def checks_report(
                 accepted_values("consent_source", CONSENT_SOURCES),
             ],
         ),
-        check_table(ml_mart, "mart_ml_safe", [not_null("trip_pseudonym"), not_null("k_anonymity")]),
-        check_unique(ml_mart, "mart_ml_safe", "trip_pseudonym"),
+        check_keyed_table(
+            ml_mart,
+            "mart_ml_safe",
+            "trip_pseudonym",
+            [not_null("trip_pseudonym"), not_null("k_anonymity")],
+        ),
         check_table(
             analytics_mart,
             "mart_analytics_safe",

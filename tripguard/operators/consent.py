@@ -12,6 +12,8 @@ OPT_IN_RATES = {"ml_training": 0.8, "analytics": 0.9, "operational": 1.0}
 DRAWN_SOURCE = "synthetic_demo"
 TABLE_SOURCE = "consent_table"
 CONSENT_COLUMNS = [f"consent_{category}" for category in OPT_IN_RATES]
+# What a ledger may say of a record beyond its status.
+LEDGER_COLUMNS = {"expires_at": "timestamp", "collection_source": "string", "audit_ref": "string"}
 
 
 def with_drawn_consent(trips: DataFrame) -> DataFrame:
@@ -26,25 +28,45 @@ def with_drawn_consent(trips: DataFrame) -> DataFrame:
 def latest_consent(records: DataFrame, as_of: str | None = None) -> DataFrame:
     """One row per subject with a flag per category, from a consent history.
 
-    ``records`` has trip_id, category, status (boolean) and effective_at. The
-    latest record in force counts; with equal times a refusal wins. A record is
-    one number, twice its time plus whether it refuses, so the latest is a plain
-    maximum: a subject with any number of records collapses before the shuffle.
+    ``records`` has trip_id, category, status (boolean), effective_at and, if
+    the ledger keeps them, expires_at, collection_source and audit_ref. Of the
+    records in effect at ``as_of`` the latest counts; with equal times a refusal
+    wins, and a consent that has expired by then is a refusal. Without ``as_of``
+    all records are in effect and none has expired. A record is one number,
+    twice its time plus whether it refuses, so the latest is a plain maximum: a
+    subject with any number of records collapses before the shuffle. The last
+    record of any category tells where it was collected and its audit event.
     """
+    records = records.withColumn("status", F.coalesce("status", F.lit(False)))
+    for name in LEDGER_COLUMNS:
+        if name not in records.columns:
+            records = records.withColumn(name, F.lit(None).cast(LEDGER_COLUMNS[name]))
+    holds = "status"
     if as_of is not None:
-        records = records.filter(F.col("effective_at") <= F.lit(as_of).try_cast("timestamp"))
-    record = "2 * unix_micros(cast(effective_at as timestamp)) + int(not status)"
-    return records.groupBy("trip_id").agg(
+        now = f"timestamp '{as_of}'"
+        records = records.filter(f"cast(effective_at as timestamp) <= {now}")
+        holds = f"status and (expires_at is null or cast(expires_at as timestamp) > {now})"
+    record = f"2 * unix_micros(cast(effective_at as timestamp)) + int(not ({holds}))"
+    last = F.max(F.struct("effective_at", "audit_ref", "collection_source")).alias("_last")
+    flags = records.groupBy("trip_id").agg(
         *[
             F.expr(f"pmod(max(if(category = '{c}', {record}, null)), 2) = 0 as consent_{c}")
             for c in OPT_IN_RATES
-        ]
+        ],
+        last,
+    )
+    return flags.select(
+        "trip_id",
+        *CONSENT_COLUMNS,
+        F.col("_last.collection_source").alias("consent_collection_source"),
+        F.col("_last.audit_ref").alias("consent_audit_ref"),
     )
 
 
 def with_consent_table(trips: DataFrame, records: DataFrame, as_of: str | None = None) -> DataFrame:
     """Flags from a consent history; without a record there is no consent,
-    except for operations, which need none to be recorded."""
+    except for operations, which need none to be recorded. A record without a
+    status counts as a refusal."""
     flags = latest_consent(records, as_of)
     default = {c: F.lit(c == "consent_operational") for c in CONSENT_COLUMNS}
     return trips.join(flags, "trip_id", "left").withColumns(

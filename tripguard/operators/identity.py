@@ -19,8 +19,10 @@ def with_trip_id(staged: DataFrame, **limits: int) -> DataFrame:
     """Add duplicate_ordinal, pickup_hour, pickup_day_of_week and trip_id.
 
     The ordinal counts within the *rendered* total, so two rows can never
-    render to the same id. Trips of a month only meet trips of that month: a
-    new month needs no other month's rows. ``limits`` go to ``row_number_by``.
+    render to the same id. Trips alike in ``DUPLICATE_ORDER`` are ordered by all
+    their other columns but the time of the load, so a trip keeps its id when it
+    is loaded again. Trips of a month only meet trips of that month: a new month
+    needs no other month's rows. ``limits`` go to ``row_number_by``.
     """
     keyed = staged.withColumn("_amount", canon_amount(F.col("total_amount")))
     ranked = row_number_by(
@@ -28,6 +30,7 @@ def with_trip_id(staged: DataFrame, **limits: int) -> DataFrame:
         ["source_file", "pickup_at", "dropoff_at", "_amount"],
         DUPLICATE_ORDER,
         "duplicate_ordinal",
+        ignored=("ingested_at",),
         **limits,
     )
     blank = F.lit("")

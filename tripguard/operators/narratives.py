@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripguard.operators import reports
-from tripguard.operators.staging import SAMPLE_COLUMNS
+from tripguard.operators.staging import SAMPLE_COLUMNS, SAMPLE_ORDER, sample_rows
 
 # Fields of a narrative by pain point.
 NARRATIVE_SHAPES = {
@@ -71,6 +71,18 @@ def parse_narratives(narratives: DataFrame, pain_point: str) -> DataFrame:
     )
 
 
+def parse_all(narratives: DataFrame) -> DataFrame:
+    """A typed column per pain point, null but in its own texts, in one scan."""
+    text = F.col("narrative_json")
+    typed = [
+        F.when(F.col("pain_point") == point, F.from_json(text, shape)).alias(point)
+        for point, shape in NARRATIVE_SHAPES.items()
+    ]
+    return narratives.select(
+        *narratives.columns, *typed, F.when(F.try_parse_json(text).isNull(), text).alias("raw")
+    )
+
+
 def narrative_headlines(narratives: DataFrame) -> DataFrame:
     """Of any pain point: headline and trust score if given, else the raw text."""
     text = F.col("narrative_json")
@@ -99,13 +111,18 @@ def _document(rows: DataFrame, by: list[Column], point: str, order: list[str], f
 
 
 def report_payloads(
-    scores: DataFrame, evolution: DataFrame, lineage: DataFrame, staged: DataFrame
+    scores: DataFrame,
+    evolution: DataFrame,
+    lineage: DataFrame,
+    staged: DataFrame,
+    rows_shown: int = ROWS_SHOWN,
 ) -> DataFrame:
     """The facts behind each narrative, one JSON document per point and year.
 
     Every document holds months, loads of a year's months, or the first few
     sample rows of a year, so none grows with the trips. The load log is split
-    by year of the month loaded.
+    by year of the month loaded. ``scores`` should be a table or checkpoint: it
+    has a row per month, seven documents read it, and its years are listed.
     """
     whole = [F.lit(None).cast("int").alias("data_year")]
     yearly = [F.col("data_year")]
@@ -118,15 +135,14 @@ def report_payloads(
     loads = lineage.withColumn("data_year", load_year)
     changes = evolution.withColumn("data_year", load_year)
 
-    # A rank filter this small is applied within each task before the shuffle.
-    order = ["pickup_at", "dropoff_at", "total_amount"]
-    order += [c for c in SAMPLE_COLUMNS if c not in order]
-    by_time = Window.partitionBy("data_year").orderBy(*order)
-    sample = (
-        staged.select("data_year", *SAMPLE_COLUMNS)
-        .withColumn("row_in_year", F.row_number().over(by_time))
-        .filter(F.col("row_in_year") <= ROWS_SHOWN)
-    )
+    # A sort with a limit per year keeps that many rows a task; no year is sorted.
+    years = sorted(r["data_year"] for r in scores.select("data_year").distinct().collect())
+    samples = [
+        sample_rows(staged, year, rows_shown).withColumn("data_year", F.lit(year)) for year in years
+    ]
+    sample = reduce(lambda a, b: a.unionByName(b), samples) if samples else staged.limit(0)
+    shown = _document(sample, yearly, "business_context", SAMPLE_ORDER, SAMPLE_COLUMNS)
+    points = F.explode(F.array(F.lit("business_context"), F.lit("coverage_gaps")))
     lineage_fields = [
         "partition_key", "schema_version", "source_format", "source_url", "row_count",
         "column_count", "columns_added", "columns_removed", "transformation_steps",
@@ -137,8 +153,7 @@ def report_payloads(
         _document(changes, yearly, "schema_evolution", ["ingested_at", "partition_key"],
                   [c for c in evolution.columns]),
         _document(first, yearly, "trust_score", ["data_month"], first.columns),
-        _document(sample, yearly, "business_context", ["row_in_year"], SAMPLE_COLUMNS),
-        _document(sample, yearly, "coverage_gaps", ["row_in_year"], SAMPLE_COLUMNS),
+        shown.select(points.alias("pain_point"), "data_year", "payload_json"),
         _document(trend, whole, "volume_trends", ["year", "month"], trend.columns),
         _document(shock, yearly, "covid_impact", ["month"], [c for c in shock.columns if c != "data_year"]),
         _document(fares, whole, "fare_evolution", ["year", "month"], fares.columns),

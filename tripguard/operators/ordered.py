@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripguard.session import ensure_checkpoint_dir
 
-# Rows a single task ranks without trouble, and input below which no group can
-# hold more than that.
+# Rows of one key that a single task ranks without trouble.
 HOT_ROWS = 2_000_000
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 KEY_BUCKETS = 1 << 20
 COPIES_PER_CHUNK = 1_000_000
 
@@ -52,48 +50,39 @@ def row_number_by(
     order: list[str],
     out: str,
     hot_rows: int = HOT_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
+    ignored: tuple[str, ...] = (),
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order nulls first)``.
 
-    A plain window, except for keys so frequent that one task could not rank
-    them: rows are counted per hash bucket of the key first (one narrow pass,
-    its result no larger than the number of buckets), and the rows of hot
-    buckets are ranked by ``_row_number_spread``. Both ways are exact; ties in
-    ``order`` are ranked arbitrarily, as by the window function.
+    Ties in ``order`` are broken by all other columns in order of their names,
+    except ``ignored`` ones, so the number of a row depends on rows alone and
+    not on layout or plan. A plain window ranks ordinary keys. Rows are counted
+    per hash bucket of the key first (a job over the key columns); buckets of
+    ``hot_rows`` and more, which one task should not rank, go through
+    ``_row_number_spread``. Both ways give each row the same number.
     """
-    within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    unordered = [c for c in ignored if c in df.columns]
+    rest = sorted(c for c in df.columns if c not in {*keys, *order, *ignored})
+    total = [*order, *rest]
+    within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in total])
     plain = F.row_number().over(within).cast("bigint")
-    if input_bytes(df) < small_input_bytes:
-        return df.withColumn(out, plain)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
-    hot = _hot_buckets(df, bucket, hot_rows)
-    if not hot:
-        return df.withColumn(out, plain)
-    is_hot = bucket.isin(hot)
-    spread = _row_number_spread(df.filter(is_hot), keys, order, out)
-    return df.filter(~is_hot).withColumn(out, plain).unionByName(spread)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of everything the plan reads, as its sources report it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(
-        int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())
+    hot = (
+        df.select(bucket.alias("_hot"))
+        .groupBy("_hot")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= hot_rows)
+        .select("_hot")
     )
-
-
-def _hot_buckets(df: DataFrame, bucket: Column, hot_rows: int) -> list[int]:
-    """Buckets with at least ``hot_rows`` rows that stand out from the rest."""
-    counts = df.select(bucket.alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    large = F.when(F.col("n") >= hot_rows, F.struct("b", "n"))
-    found = counts.agg(F.sum("n").alias("total"), F.collect_list(large).alias("large")).first()
-    limit = max(hot_rows, 8 * (found["total"] or 0) // KEY_BUCKETS)
-    return [row["b"] for row in found["large"] if row["n"] >= limit]
+    if hot.isEmpty():
+        return df.withColumn(out, plain)
+    same = bucket == F.col("_hot")
+    spread = _row_number_spread(df.join(hot, same, "left_semi"), keys, total, unordered, out)
+    return df.join(hot, same, "left_anti").withColumn(out, plain).unionByName(spread)
 
 
 def _row_number_spread(
-    hot: DataFrame, keys: list[str], order: list[str], out: str
+    hot: DataFrame, keys: list[str], order: list[str], ignored: list[str], out: str
 ) -> DataFrame:
     """Row numbers for keys too large for one task.
 
@@ -106,9 +95,8 @@ def _row_number_spread(
     """
     ensure_checkpoint_dir(hot.sparkSession)
     columns = hot.columns
-    rest = [c for c in columns if c not in keys and c not in order]
     copies = hot.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    sorting = [F.col(c).asc_nulls_first() for c in [*keys, *order, *rest]]
+    sorting = [F.col(c).asc_nulls_first() for c in [*keys, *order, *ignored]]
     spread = (
         copies.repartitionByRange(*sorting)
         .withColumn("_part", F.spark_partition_id())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripguard.functions import rnd
 from tripguard.operators.trust import confidence_label, risk_driver
 
+# Names of months as reports show them.
 MONTH_LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 # Limits below which a month counts as low, and the year whose
 # volumes say nothing about the seasons.
@@ -15,6 +16,7 @@ LOW_TRUST = 0.75
 LOW_VOLUME = 0.70
 SHOCK_YEAR = 2020
 
+# What a year's summary averages.
 YEAR_AVERAGES = [
     "trust_score", "completeness_score", "volume_anomaly_score", "validity_score",
     "consistency_score", "avg_fare_amount", "avg_trip_distance_miles",
@@ -46,8 +48,8 @@ def _weighted(column: str) -> str:
 
     Summed as decimals, so the order of the months cannot change the result.
     """
-    weight = "cast(coalesce(total_rows, 0) as decimal(12,0))"
-    weighted = f"sum(cast(coalesce({column}, 0.0D) as decimal(18,8)) * {weight})"
+    weight = "cast(coalesce(total_rows, 0) as decimal(16,0))"
+    weighted = f"sum(cast(coalesce({column}, 0.0D) as decimal(20,8)) * {weight})"
     total = f"nullif(cast(sum({weight}) as double), 0.0D)"
     return f"coalesce(cast({weighted} as double) / {total}, avg({column}), 0.0D) as {column}"
 

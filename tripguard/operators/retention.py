@@ -19,6 +19,11 @@ def _older(date: Column, as_of: str, days: int) -> Column:
     return F.datediff(F.lit(as_of).cast("date"), date) > days
 
 
+def past_raw_window(trips: DataFrame, as_of: str, days: int = RAW_DAYS) -> DataFrame:
+    """Trips that still show a precise time past the window."""
+    return trips.filter(_older(F.to_date("pickup_at"), as_of, days))
+
+
 def suppress_raw(trips: DataFrame, as_of: str, days: int = RAW_DAYS) -> DataFrame:
     """Null precise times and places of trips older than the window."""
     expired = _older(F.to_date("pickup_at"), as_of, days)

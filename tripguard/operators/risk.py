@@ -43,6 +43,15 @@ def merge_class_counts(counts: DataFrame, quasi_identifiers: list[str] | None =
     return counts.groupBy(*keys).agg(F.sum("k_anonymity").alias("k_anonymity"))
 
 
+def subtract_classes(
+    sizes: DataFrame, gone: DataFrame, quasi_identifiers: list[str] | None = None
+) -> DataFrame:
+    """Class sizes less those of rows that are gone; empty classes go as well."""
+    keys = quasi_identifiers or QUASI_IDENTIFIERS
+    less = gone.select(*keys, (-F.col("k_anonymity")).alias("k_anonymity"))
+    return merge_class_counts(sizes.unionByName(less), keys).filter("k_anonymity > 0")
+
+
 def risk_level(k: Column, threshold: int = K_THRESHOLD) -> Column:
     return (
         F.when(k < 2, F.lit("critical"))

@@ -60,6 +60,9 @@ SAMPLE_COLUMNS = [
     "airport_fee", "schema_version",
 ]
 
+_FIRST = ["pickup_at", "dropoff_at", "total_amount"]
+SAMPLE_ORDER = [*_FIRST, *[c for c in SAMPLE_COLUMNS if c not in _FIRST]]
+
 
 def sample_rows(staged: DataFrame, year: int, n: int = 500) -> DataFrame:
     """The first ``n`` rows of a year in time order.
@@ -67,12 +70,10 @@ def sample_rows(staged: DataFrame, year: int, n: int = 500) -> DataFrame:
     Ordered by every column, so the sample does not depend on file layout; a
     sort with a limit keeps n rows per task and never sorts the year.
     """
-    order = ["pickup_at", "dropoff_at", "total_amount"]
-    order += [c for c in SAMPLE_COLUMNS if c not in order]
     return (
         staged.filter(F.col("data_year") == year)
         .select(*SAMPLE_COLUMNS)
-        .orderBy(*order)
+        .orderBy(*SAMPLE_ORDER)
         .limit(n)
     )
 

@@ -85,7 +85,7 @@ def trust_scores(quality: DataFrame, evolution: DataFrame) -> DataFrame:
 
 
 def trust_for_year(scores: DataFrame, year: int | None = None) -> DataFrame:
-    """Scores of one year, or all, in month order."""
+    """Scores, or quality metrics, of one year or all, in month order."""
     if year is not None:
         scores = scores.filter(F.col("data_year") == year)
     return scores.orderBy("data_year", "data_month")

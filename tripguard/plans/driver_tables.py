@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from tripguard.operators import evolution
 from tripguard.operators.identity import with_trip_id
-from tripguard.operators.ordered import SMALL_INPUT_BYTES, input_bytes
 from tripguard.operators.staging import stage
-from tripguard.session import prepare
+from tripguard.session import ensure_checkpoint_dir, prepare
 from tripguard.sources.unify import unify
 
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -42,12 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A small table lies in one row group, which one task would read and then
-    work on alone; hand its rows to all cores. Large tables are left as read."""
-    if input_bytes(df) >= SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key that they are joined on next; the join of large
+    tables needs that exchange anyway, and a table in one row group gets tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A small frame that several branches of a plan read, computed once.
+
+    A checkpoint in the shared folder rather than a cache: it survives lost
+    executors, and it goes when nothing refers to it any more.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +62,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines of every hundredth order occur twice, so some trips are full copies.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = dealt(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     joined = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
         "*",
@@ -93,7 +100,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file of the last era would spell them: other types, no GPS."""
-    return spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "cast(user_id % 2 + 1 as string) as vendor_id",
         "ts as tpep_pickup_datetime",
         "ts + make_dt_interval(0, 0, cast(floor(value) as int)) as tpep_dropoff_datetime",
@@ -161,7 +168,7 @@ def loads(trips: DataFrame) -> DataFrame:
         " + make_dt_interval(0, data_year * 12 + data_month - 24181, a.minutes) as ingested_at",
     )
     # A row per load, read by several branches of the plans on top of it.
-    return log.persist()
+    return kept(log)
 
 
 def lineage(trips: DataFrame) -> DataFrame:
@@ -243,29 +250,43 @@ def consent_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("if(event_id % 2 = 0, 'ml_training', 'analytics')").alias("category"),
         (F.col("value") > 10.0).alias("status"),
         F.col("ts").alias("effective_at"),
+        F.expr("if(event_id % 5 = 0, ts + make_dt_interval(5), null)").alias("expires_at"),
+        F.expr("if(user_id % 3 = 0, 'desk', 'web')").alias("collection_source"),
+        F.expr("concat('event-', event_id)").alias("audit_ref"),
     )
 
 
+# A text per pain point; <u> stands for the user and <d> for the day.
+NARRATIVE_TEXTS = {
+    "lineage": '{"source_system": "depot <u>", "business_process": "rides", "ingestion_summary": "day <d>"}',
+    "business_context": '{"dataset_summary": "trips of <u>", "good_for": ["plans", "maps <d>"], "grain": "trip"}',
+    "trust_score": '{"trust_score": 0.<u>, "headline": "user <u>", "red_flags": ["late"],'
+    ' "score_breakdown": {"validity": "day <d>"}}',
+    "coverage_gaps": '{"headline": "user <u>", "gaps": [{"gap": "day <d>", "explanation": "closed"}]}',
+    "schema_evolution": '{"headline": "user <u>", "changes": [{"period": "2019-<d>", "what_changed": "fees"}]}',
+    "volume_trends": '{"headline": "user <u>", "peak": {"period": "2015-<d>", "trips": <u>},'
+    ' "covid_collapse": {"bottom_month": "2020-<d>", "bottom_trips": 7}}',
+    "covid_impact": '{"headline": "user <u>", "timeline": [{"month": 4, "trips": <u>, "story": "day <d>"}]}',
+    "fare_evolution": '{"headline": "user <u>", "fare_trend": "up since day <d>"}',
+    "seasonal_patterns": '{"headline": "user <u>", "peak_months": {"months": [<u>, 5], "explanation": "fair"},'
+    ' "slow_months": {"months": [1], "explanation": "cold since <d>"}}',
+}
+
+
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as narratives of five pain points; every seventh is not JSON."""
-    point = (
-        "case event_type when 'view' then 'lineage' when 'click' then 'coverage_gaps'"
-        " when 'purchase' then 'trust_score' when 'signup' then 'volume_trends'"
-        " else 'business_context' end"
-    )
-    score = "cast(user_id % 100 as double) / 100.0D"
-    text = (
-        "case when event_id % 7 = 0 then concat('no json: ', props)"
-        " when event_type = 'purchase' then concat('{\"trust_score\": ', " + score + ","
-        " ', \"headline\": \"user ', user_id, '\", \"red_flags\": [\"', event_type, '\", \"late\"],"
-        " \"score_breakdown\": {\"validity\": \"day ', day(ts), '\"}}')"
-        " else concat('{\"headline\": \"user ', user_id, '\", \"detail\": ', props, '}') end"
+    """Events as narratives of all pain points in turn; every seventh is not JSON."""
+    points = ", ".join(f"'{point}'" for point in NARRATIVE_TEXTS)
+    texts = ", ".join(f"'{text}'" for text in NARRATIVE_TEXTS.values())
+    turn = "cast(event_id % 9 as int) + 1"
+    filled = (
+        f"replace(replace(element_at(array({texts}), {turn}), '<u>', cast(user_id as string)),"
+        " '<d>', cast(day(ts) as string))"
     )
     return table(spark, sf_dir, "events").select(
-        F.expr(point).alias("pain_point"),
+        F.expr(f"element_at(array({points}), {turn})").alias("pain_point"),
         F.expr("2015 + user_id % 8").alias("data_year"),
         F.lit(None).cast("bigint").alias("data_month"),
-        F.expr(text).alias("narrative_json"),
+        F.expr(f"if(event_id % 7 = 0, concat('no json: ', props), {filled})").alias("narrative_json"),
         F.lit("writer-1").alias("model"),
         F.col("ts").alias("generated_at"),
         F.expr("100 + event_id % 50").alias("prompt_tokens"),

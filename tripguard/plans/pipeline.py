@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripguard.operators import (
     checks,
@@ -33,6 +34,16 @@ from tripguard.sources.ingest import Layout, read_trips
 
 REQUEST_COLUMNS = "seq long, trip_id string, kind string, category string, actor string, requested_at timestamp"
 IDENTIFIED = "identified_trips"
+# What an access request is told of a trip.
+RECORD_COLUMNS = ["data_year", "data_month", "fare_amount", "total_amount"]
+_MONTH_FIELDS = [T.StructField("data_year", T.IntegerType()), T.StructField("data_month", T.IntegerType())]
+MONTH_SCHEMA = T.StructType(_MONTH_FIELDS)
+PICKUP_SCHEMA = T.StructType([T.StructField("pickup_at", T.TimestampType()), *_MONTH_FIELDS])
+# What the tables made from consented trips need of a trip.
+CONSENTED_COLUMNS = [
+    "trip_id", "data_year", "data_month", "schema_version", *risk.QUASI_IDENTIFIERS, "vendor_id",
+    "passenger_count", "trip_distance_miles", "payment_type", "fare_amount", "total_amount",
+]
 
 
 def _in_months(df: DataFrame, months: list[str] | None) -> DataFrame:
@@ -43,16 +54,42 @@ def _in_months(df: DataFrame, months: list[str] | None) -> DataFrame:
     return df.filter(chosen)
 
 
-def update_months(spark: SparkSession, root: str, months: list[str] | None = None) -> None:
-    """Identify trips and count classes and quality, for the months given or all."""
+def _months_of(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+    """Months that a derived table has folders for; none if it was never written."""
+    return tables.months_in(tables.read(spark, path, MONTH_SCHEMA))
+
+
+def update_months(
+    spark: SparkSession, root: str, months: list[str] | None = None, as_of: str | None = None
+) -> None:
+    """Identify trips and count classes and quality, for the months given or all.
+
+    Counts need no ids, so they come from the staged trips, by a scan of a few
+    columns each. A month left without valid trips leaves all three tables.
+    With ``as_of``, precise times and places past the raw window are not kept.
+    """
     at = Layout(root)
-    trips = _in_months(read_trips(spark, root), months)
-    tables.overwrite_months(with_trip_id(stage(trips)), at.identified_trips, shuffled=True)
-    identified = _in_months(spark.read.parquet(at.identified_trips), months)
-    per_month = identified.groupBy("data_year", "data_month", *risk.QUASI_IDENTIFIERS)
-    counts = per_month.agg(F.count(F.lit(1)).alias("k_anonymity"))
-    tables.overwrite_months(counts, at.class_counts, shuffled=True)
-    tables.overwrite_months(quality.monthly_counts(identified), at.monthly_counts, shuffled=True)
+    staged = stage(_in_months(read_trips(spark, root), months))
+    present = tables.months_in(staged)
+    given = None if months is None else {tuple(map(int, m.split("-"))) for m in months}
+    identified = with_trip_id(staged)
+    if as_of is not None:
+        identified = retention.suppress_raw(identified, as_of)
+    per_month = risk.with_time_parts(staged).groupBy("data_year", "data_month", *risk.QUASI_IDENTIFIERS)
+    for rows, path in (
+        (identified, at.identified_trips),
+        (per_month.agg(F.count(F.lit(1)).alias("k_anonymity")), at.class_counts),
+        (quality.monthly_counts(staged), at.monthly_counts),
+    ):
+        wanted = _months_of(spark, path) if given is None else given
+        tables.overwrite_months(rows, path, shuffled=True, emptied=wanted - present)
+
+
+def expired_months(spark: SparkSession, root: str, as_of: str) -> list[str]:
+    """Months with precise times that are past the raw window by ``as_of``."""
+    trips = tables.read(spark, Layout(root).identified_trips, PICKUP_SCHEMA)
+    late = retention.past_raw_window(trips, as_of)
+    return sorted(f"{y}-{m:02d}" for y, m in tables.months_in(late))
 
 
 def score(spark: SparkSession, root: str, run_ts: str) -> None:
@@ -75,46 +112,61 @@ def consented_trips(
     root: str,
     asked: DataFrame | None = None,
     consents: DataFrame | None = None,
+    consents_as_of: str | None = None,
 ) -> DataFrame:
     """Identified trips with k, consent and privacy requests applied.
 
-    ``consents`` is a consent history; without it the flags are drawn.
+    ``consents`` is a consent history, of which records in effect by
+    ``consents_as_of`` count; without it the flags are drawn.
     """
     at = Layout(root)
-    trips = spark.read.parquet(at.identified_trips)
+    trips = spark.read.parquet(at.identified_trips).select(*CONSENTED_COLUMNS)
     scored = risk.with_k(trips, classes=spark.read.parquet(at.class_sizes))
     if asked is not None:
         scored = requests.exclude_erased(scored, asked)
     if consents is None:
         flagged = consent.with_drawn_consent(scored)
     else:
-        flagged = consent.with_consent_table(scored, consents)
+        flagged = consent.with_consent_table(scored, consents, consents_as_of)
     return flagged if asked is None else requests.apply_withdrawals(flagged, asked)
 
 
+def _class_sizes(spark: SparkSession, root: str, asked: DataFrame | None) -> DataFrame:
+    """Class sizes over all months, without trips that were erased."""
+    at = Layout(root)
+    sizes = risk.merge_class_counts(spark.read.parquet(at.class_counts))
+    if asked is None:
+        return sizes
+    erased = requests.first_erasures(asked).select("trip_id")
+    gone = spark.read.parquet(at.identified_trips).join(erased, "trip_id", "left_semi")
+    return risk.subtract_classes(sizes, risk.equivalence_classes(gone))
+
+
 def publish(
     spark: SparkSession,
     root: str,
     run_ts: str,
+    salt: str,
     asked: DataFrame | None = None,
     consents: DataFrame | None = None,
     as_of: str | None = None,
-    salt: str = marts.PSEUDONYM_SUFFIX,
-    keyed: bool = False,
+    keyed: bool = True,
 ) -> None:
-    """Risk table, PII inventory and both marts.
+    """Consented trips, risk table, PII inventory and both marts.
 
-    The class sizes are written first: their size on disk then decides
-    whether the join with the trips broadcasts them.
+    The class sizes are written first: their size on disk then decides whether
+    the join with the trips broadcasts them. Trips are joined once, into the
+    table of consented trips; risk table, marts and checks read that by month.
+    ``salt`` is a secret of the publisher; ``keyed`` uses it as an HMAC key.
     """
     at = Layout(root)
     now = F.lit(run_ts).cast("timestamp")
-    sizes = risk.merge_class_counts(spark.read.parquet(at.class_counts))
-    tables.replace(sizes, at.class_sizes)
-    trips = spark.read.parquet(at.identified_trips)
-    scored = risk.with_k(trips, classes=spark.read.parquet(at.class_sizes))
+    tables.replace(_class_sizes(spark, root, asked), at.class_sizes)
+    flagged = consented_trips(spark, root, asked, consents, run_ts)
+    tables.replace(flagged, at.consented_trips, monthly=True)
+    consented = tables.load(spark, at.consented_trips)
     tables.replace(
-        risk.risk_table(scored).withColumn("scored_at", now),
+        risk.risk_table(consented).withColumn("scored_at", now),
         at.reidentification_risk,
         monthly=True,
     )
@@ -123,7 +175,6 @@ def publish(
     )
     tables.replace(inventory.withColumn("inventoried_at", now), at.pii_inventory)
 
-    consented = consented_trips(spark, root, asked, consents)
     rows = marts.ml_safe(consented, salt, keyed)
     if as_of is not None:
         rows = retention.expire_features(rows, as_of)
@@ -145,21 +196,32 @@ def answer_requests(spark: SparkSession, root: str, asked: DataFrame, record: li
     return outcomes
 
 
-def apply_raw_retention(spark: SparkSession, root: str, as_of: str) -> DataFrame:
-    """Identified trips as the retention policy lets them be read."""
-    return retention.suppress_raw(spark.read.parquet(Layout(root).identified_trips), as_of)
+def archive_audit(spark: SparkSession, root: str, as_of: str) -> None:
+    """Copy audit events past their window to the archive, each once; none is deleted."""
+    at = Layout(root)
+    events = tables.read(spark, at.audit_log, AUDIT_SCHEMA)
+    old = retention.mark_archived(events, as_of).filter("is_archived")
+    there = tables.read(spark, at.audit_archive, AUDIT_SCHEMA).select("event_id")
+    tables.append(old.join(there, "event_id", "left_anti"), at.audit_archive, AUDIT_SCHEMA)
+
+
+def current_audit(spark: SparkSession, root: str) -> DataFrame:
+    """Audit events that are not in the archive."""
+    at = Layout(root)
+    there = tables.read(spark, at.audit_archive, AUDIT_SCHEMA).select("event_id")
+    return tables.read(spark, at.audit_log, AUDIT_SCHEMA).join(there, "event_id", "left_anti")
 
 
 def check(spark: SparkSession, root: str) -> DataFrame:
     """All data checks over the written tables."""
     at = Layout(root)
-    read = spark.read.parquet
-    marts.assert_no_forbidden_columns(read(at.mart_ml_safe))
+    read, mart = spark.read.parquet, tables.load(spark, at.mart_ml_safe)
+    marts.assert_no_forbidden_columns(mart)
     return checks.checks_report(
         read(at.pii_inventory),
-        consent.with_drawn_consent(read(at.reidentification_risk)),
-        read(at.mart_ml_safe),
-        read(at.mart_analytics_safe),
+        tables.load(spark, at.consented_trips),
+        mart,
+        tables.load(spark, at.mart_analytics_safe),
         read(at.quality_metrics),
         read(at.trust_scores),
     )
@@ -189,15 +251,30 @@ def run(
     spark: SparkSession,
     root: str,
     run_ts: str,
+    salt: str,
     months: list[str] | None = None,
     asked: DataFrame | None = None,
     consents: DataFrame | None = None,
     as_of: str | None = None,
+    keyed: bool = True,
 ) -> DataFrame:
-    """Everything after ingest; returns the checks report."""
+    """Everything after ingest; returns the checks report.
+
+    ``asked`` are privacy requests: they are answered and logged, and erasures
+    and withdrawals reach everything published. ``as_of`` applies the three
+    retention windows: months whose precise times have passed the raw window
+    since the last run are done again, old features leave the mart, and old
+    audit events go to the archive.
+    """
     prepare(spark)
-    update_months(spark, root, months)
+    if as_of is not None and months is not None:
+        months = sorted({*months, *expired_months(spark, root, as_of)})
+    update_months(spark, root, months, as_of)
     score(spark, root, run_ts)
-    publish(spark, root, run_ts, asked, consents, as_of)
+    if asked is not None:
+        tables.replace(answer_requests(spark, root, asked, RECORD_COLUMNS), Layout(root).request_outcomes)
+    publish(spark, root, run_ts, salt, asked, consents, as_of, keyed)
+    if as_of is not None:
+        archive_audit(spark, root, as_of)
     report(spark, root)
     return check(spark, root)

@@ -138,8 +138,13 @@ def consent_joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consent_table_joined(spark: SparkSession, sf: str) -> DataFrame:
-    joined = consent.with_consent_table(d.identified(spark, sf), d.consent_records(spark, sf))
-    return joined.select(*FLAGS, "consent_source")
+    """Flags from a ledger with records yet to come and consents that have expired."""
+    joined = consent.with_consent_table(
+        d.identified(spark, sf), d.consent_records(spark, sf), "2024-01-20"
+    )
+    return joined.select(
+        *FLAGS, "consent_source", "consent_collection_source", "consent_audit_ref"
+    )
 
 
 def privacy_transform(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,7 +201,7 @@ def dsr_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checks_report(spark: SparkSession, sf: str) -> DataFrame:
-    consented = _consented(spark, sf)
+    consented = d.kept(_consented(spark, sf))
     return checks.checks_report(
         _inventory(spark, sf),
         consented,
@@ -208,28 +213,45 @@ def checks_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    # A row per month and per load; kept so that nine documents scan once.
+    # A row per month; kept so that seven documents score once.
     trips = d.unified(spark, sf)
     staged = d.staged_of(trips)
     log = d.lineage(trips)
     changes = evolution.schema_evolution(log)
     last = evolution.latest_evolution(changes)
-    scores = trust.trust_scores(quality.quality_metrics(staged), last).persist()
+    scores = d.kept(trust.trust_scores(quality.quality_metrics(staged), last))
     return narratives.report_payloads(scores, changes, log, staged)
 
 
 def narratives_typed(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = narratives.parse_narratives(d.narratives(spark, sf), "trust_score")
+    """Texts of all nine shapes by what is typical of each."""
+    parsed = narratives.parse_all(d.narratives(spark, sf))
+    headlines = [f"{p}.headline" for p in narratives.NARRATIVE_SHAPES if p not in ("lineage", "business_context")]
+    numbers = [
+        "trust_score.trust_score", "volume_trends.peak.trips", "get(covid_impact.timeline, 0).trips",
+        "get(seasonal_patterns.peak_months.months, 0)",
+    ]
+    details = [
+        "lineage.source_system", "get(business_context.good_for, 1)", "trust_score.score_breakdown.validity",
+        "get(coverage_gaps.gaps, 0).gap", "get(schema_evolution.changes, 0).period",
+        "volume_trends.covid_collapse.bottom_month", "get(covid_impact.timeline, 0).story",
+        "fare_evolution.fare_trend", "seasonal_patterns.slow_months.explanation",
+    ]
     return parsed.select(
+        "pain_point",
         "generated_at",
-        "trust_score",
-        "headline",
-        F.col("score_breakdown.validity").alias("validity"),
-        F.size("red_flags").alias("red_flag_count"),
+        F.expr(f"coalesce({', '.join(headlines)})").alias("headline"),
+        F.expr(f"coalesce({', '.join(f'cast({n} as double)' for n in numbers)})").alias("number"),
+        F.expr(f"coalesce({', '.join(details)})").alias("detail"),
         "raw",
     )
 
 
+def narratives_selected(spark: SparkSession, sf: str) -> DataFrame:
+    chosen = narratives.select_narratives(d.narratives(spark, sf), "coverage_gaps", 2019)
+    return chosen.select("pain_point", "data_year", "generated_at", "narrative_json")
+
+
 def narratives_parsed(spark: SparkSession, sf: str) -> DataFrame:
     return narratives.narrative_headlines(d.narratives(spark, sf)).select(
         "pain_point", "data_year", "generated_at", "headline", "trust_score", "raw"
@@ -250,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "loaded_years": lambda s, sf: staging.loaded_years(d.unified(s, sf)),
     # quality and trust
     "quality_metrics": _quality,
+    "quality_for_year": lambda s, sf: trust.trust_for_year(_quality(s, sf), 2019),
     "schema_evolution": _evolution,
     "latest_evolution": lambda s, sf: evolution.latest_evolution(_evolution(s, sf)),
     "trust_scores": _trust,
@@ -259,7 +282,7 @@ QUERIES: dict[str, Query] = {
     # privacy
     "trip_identity": lambda s, sf: d.identified(s, sf).select(
         "trip_id", "source_file", "pickup_at", "dropoff_at", "total_amount", "fare_amount",
-        "duplicate_ordinal",
+        "tip_amount", *policy.PRECISE_LOCATION, "duplicate_ordinal",
     ),
     "equivalence_classes": _classes,
     "k_anonymity_param": k_anonymity_param,
@@ -302,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "latest_narratives": lambda s, sf: narratives.latest_narratives(d.narratives(s, sf)),
     "narratives_parsed": narratives_parsed,
     "narratives_typed": narratives_typed,
+    "narratives_selected": narratives_selected,
     # checks
     "checks_report": checks_report,
 }

@@ -16,22 +16,6 @@ ERA_LAST_YEAR = [(ERA_GPS, 2015), (ERA_ZONE, 2018), (ERA_ZONE_V2, 2021)]
 GPS_COLUMNS = ["pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude"]
 ZONE_COLUMNS = ["pu_location_id", "do_location_id"]
 
-# Columns expected in the files of each era.
-COMMON_COLUMNS = [
-    "vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime",
-    "passenger_count", "trip_distance", "rate_code_id", "store_and_fwd_flag",
-    "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount",
-    "tolls_amount", "total_amount",
-]
-ERA_COLUMNS = {
-    ERA_GPS: COMMON_COLUMNS + GPS_COLUMNS,
-    ERA_ZONE: COMMON_COLUMNS + ZONE_COLUMNS + ["improvement_surcharge"],
-    ERA_ZONE_V2: COMMON_COLUMNS + ZONE_COLUMNS
-    + ["improvement_surcharge", "congestion_surcharge"],
-    ERA_ZONE_V3: COMMON_COLUMNS + ZONE_COLUMNS
-    + ["improvement_surcharge", "congestion_surcharge", "airport_fee"],
-}
-
 # File spellings (lower case, names resolve without case) and
 # the unified name of each.
 COLUMN_RENAMES = {

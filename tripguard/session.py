@@ -29,6 +29,7 @@ def local_session(cores: str = "*", name: str = "tripguard") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     return prepare(builder.getOrCreate())
 

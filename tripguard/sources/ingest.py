@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +45,20 @@ def month_of(path: str) -> str:
     return f"{year}-{month:02d}"
 
 
+def _month_or_blank(path: str) -> str:
+    try:
+        return month_of(path)
+    except ValueError:
+        return ""
+
+
 def _load_times(paths: list[str], run_ts: datetime) -> dict[str, datetime]:
     """Months of a run count as loaded one after the other, a millisecond apart."""
-    ordered = sorted(paths, key=month_of)
+    ordered = sorted(paths, key=lambda p: (_month_or_blank(p), p))
     return {path: run_ts + timedelta(milliseconds=i) for i, path in enumerate(ordered)}
 
 
-def _log_rows(loads: DataFrame, run_id: str, table: str, steps: list[str], status: str, error: str) -> DataFrame:
+def _log_rows(loads: DataFrame, run_id: str, table: str, steps: list[str], status: str) -> DataFrame:
     ok = status == "success"
     return loads.select(
         F.lit(run_id).alias("run_id"),
@@ -68,7 +76,7 @@ def _log_rows(loads: DataFrame, run_id: str, table: str, steps: list[str], statu
         F.lit(PIPELINE_VERSION).alias("pipeline_version"),
         "ingested_at",
         F.lit(status).alias("status"),
-        F.lit(error).alias("error_message"),
+        F.col("error_message") if not ok else F.lit("").alias("error_message"),
     )
 
 
@@ -85,6 +93,43 @@ def _diffed(spark: SparkSession, lineage: DataFrame, rows: list[tuple]) -> DataF
     return evolution.schema_diff(loads).filter(F.col("partition_key") != "")
 
 
+def _append_new(rows: DataFrame, lineage: DataFrame, path: str) -> None:
+    """Log rows that the same run, repeated after a failure, has not logged yet."""
+    key = ["run_id", "partition_key", "source_url", "status"]
+    tables.append(rows.join(lineage.select(*key), key, "left_anti"), path, LINEAGE_SCHEMA)
+
+
+def log_failures(
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    errors: dict[str, str],
+    times: dict[str, datetime],
+    steps: list[str],
+) -> None:
+    """A failed load per file, with the reason."""
+    if not errors:
+        return
+    at = Layout(root)
+    rows = []
+    for path, error in errors.items():
+        month = _month_or_blank(path)
+        era = era_of_year(parse_name(path)[0]) if month else ""
+        rows.append((month, path, era, 0, [], times[path], error))
+    schema = T.StructType([*LOADS_SCHEMA.fields, T.StructField("error_message", T.StringType())])
+    failed = spark.createDataFrame(rows, schema).withColumns(
+        {"columns_added": F.lit(""), "columns_removed": F.lit("")}
+    )
+    lineage = tables.read(spark, at.lineage, LINEAGE_SCHEMA)
+    _append_new(_log_rows(failed, run_id, at.trips, steps, "failed"), lineage, at.lineage)
+
+
+def _file_rows(trips: DataFrame) -> dict[str, int]:
+    """Rows by file name; nothing else is read, so footers answer it."""
+    counts = trips.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {row["source_file"]: row["n"] for row in counts}
+
+
 def ingest(
     spark: SparkSession,
     paths: list[str],
@@ -92,68 +137,67 @@ def ingest(
     run_ts: datetime | None = None,
     run_id: str | None = None,
     diff_on: str = "raw",
+    strict: bool = True,
 ) -> None:
     """Load the files in one job and replace the months they hold.
 
     One plan reads all files and each task writes what it read, so nothing is
-    shuffled. Row counts per month are observed while writing. Every file gets
-    a row in the load log, failed runs included. ``diff_on`` chooses between
+    shuffled. A file without rows empties its month. Row counts come from the
+    footers. A file that cannot be read or unified, or shares its month with
+    another one, fails alone: it is logged with its reason, the others load,
+    and ``strict`` raises in the end. A run repeated under its id logs nothing
+    twice and is compared with the log before it. ``diff_on`` chooses between
     the columns of the files and the unified columns, which never differ, for
     the schema history.
     """
+    if diff_on not in ("raw", "unified"):
+        raise ValueError("diff_on is 'raw' or 'unified'")
     run_ts = run_ts or datetime.now(timezone.utc)
     run_id = run_id or f"run-{run_ts:%Y%m%dT%H%M%S%f}"
     at = Layout(root)
+    paths = list(dict.fromkeys(paths))
     times = _load_times(paths, run_ts)
-    lineage = tables.read(spark, at.lineage, LINEAGE_SCHEMA)
     steps: list[str] = []
-
-    def rows(counts: dict[str, int], columns: dict[str, list[str]]) -> list[tuple]:
-        return [
-            (
-                month_of(p), p, era_of_year(parse_name(p)[0]),
-                counts.get(month_of(p), 0), columns.get(p, []), times[p],
-            )
-            for p in times
-        ]
-
-    try:
-        if len({month_of(p) for p in paths}) < len(paths):
-            raise ValueError("two files of the same month in one run")
-        schemas = file_schemas(spark, paths)
+    schemas, errors = file_schemas(spark, paths)
+    shared = Counter(map(_month_or_blank, schemas))
+    for path in [p for p in schemas if shared[_month_or_blank(p)] > 1]:
+        errors[path] = "two files of the same month in one run"
+        del schemas[path]
+    log_failures(spark, root, run_id, errors, times, steps)
+    if schemas:
         steps.append(f"read_{FILE_FORMAT}")
-        trips = read_months(spark, schemas, run_ts.isoformat())
-        steps += ["normalize_schema", "add_pipeline_metadata"]
-        seen = Observation()
-        key = "concat(data_year, '-', lpad(data_month, 2, '0'))"
-        counters = [
-            F.expr(f"count_if({key} = '{month_of(p)}') as `{month_of(p)}`") for p in times
-        ]
-        tables.overwrite_months(trips.observe(seen, *counters), at.trips)
-        steps.append("write_table")
-    except Exception as error:
-        failed = spark.createDataFrame(rows({}, {}), LOADS_SCHEMA).withColumns(
-            {"columns_added": F.lit(""), "columns_removed": F.lit("")}
-        )
-        failed = failed.withColumn("columns", F.array().cast("array<string>"))
-        tables.append(
-            _log_rows(failed, run_id, at.trips, steps, "failed", str(error)),
-            at.lineage,
-            LINEAGE_SCHEMA,
-        )
-        raise
-    if diff_on == "raw":
-        columns = {
-            p: sorted({unified_name(c) for c in s.fieldNames()}) for p, s in schemas.items()
-        }
-    elif diff_on == "unified":
-        columns = {p: sorted(UNIFIED_COLUMNS) for p in paths}
-    else:
-        raise ValueError("diff_on is 'raw' or 'unified'")
-    done = _diffed(spark, lineage, rows(seen.get, columns))
-    tables.append(
-        _log_rows(done, run_id, at.trips, steps, "success", ""), at.lineage, LINEAGE_SCHEMA
-    )
+        try:
+            counts = _load(spark, schemas, at, run_ts, steps)
+        except Exception as error:
+            log_failures(spark, root, run_id, dict.fromkeys(schemas, str(error)), times, steps)
+            raise
+        rows = []
+        for path in sorted(schemas, key=times.get):
+            names = {unified_name(c) for c in schemas[path].fieldNames()}
+            columns = sorted(names if diff_on == "raw" else UNIFIED_COLUMNS)
+            era = era_of_year(parse_name(path)[0])
+            n = counts.get(path.rsplit("/", 1)[-1], 0)
+            rows.append((month_of(path), path, era, n, columns, times[path]))
+        lineage = tables.read(spark, at.lineage, LINEAGE_SCHEMA)
+        before = lineage.filter(F.col("run_id") != run_id)
+        done = _diffed(spark, before, rows)
+        _append_new(_log_rows(done, run_id, at.trips, steps, "success"), lineage, at.lineage)
+    if strict and errors:
+        told = "; ".join(f"{path}: {why}" for path, why in sorted(errors.items()))
+        raise ValueError(f"{len(errors)} of {len(paths)} files were not loaded: {told}")
+
+
+def _load(
+    spark: SparkSession, schemas: dict[str, T.StructType], at: Layout, run_ts: datetime, steps: list[str]
+) -> dict[str, int]:
+    """Write the files' months; rows by file name."""
+    trips = read_months(spark, schemas, run_ts.isoformat())
+    steps += ["normalize_schema", "add_pipeline_metadata"]
+    counts = _file_rows(trips)
+    emptied = [parse_name(p) for p in schemas if not counts.get(p.rsplit("/", 1)[-1])]
+    tables.overwrite_months(trips, at.trips, emptied=emptied)
+    steps.append("write_table")
+    return counts
 
 
 def read_trips(spark: SparkSession, root: str) -> DataFrame:

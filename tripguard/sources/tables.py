@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,10 @@ from tripguard.functions import sorted_json
 from tripguard.schemas import PARTITION_COLUMNS, UNIFIED_SCHEMA
 
 
+# Below a monthly table; readers skip names that begin with an underscore.
+SCHEMA_FOLDER = "_schema"
+
+
 def ensure_trip_table(spark: SparkSession, name: str, path: str) -> None:
     """Register the partitioned trip table at ``path`` unless it is there."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in UNIFIED_SCHEMA.fields)
@@ -36,12 +42,18 @@ def by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *PARTITION_COLUMNS)
 
 
-def overwrite_months(df: DataFrame, path: str, shuffled: bool = False) -> None:
-    """Replace exactly the months ``df`` holds; all others stay.
+def overwrite_months(
+    df: DataFrame,
+    path: str,
+    shuffled: bool = False,
+    emptied: Iterable[tuple[int, int]] = (),
+) -> None:
+    """Replace the months ``df`` holds and remove those ``emptied``; all others stay.
 
     Straight from a scan nothing is shuffled: each task writes the months it
-    read. A rerun replaces what the first run wrote, so the write can be
-    repeated after any failure.
+    read. ``emptied`` are (year, month) that are replaced by no rows at all; a
+    dynamic overwrite leaves such months as they are, so their folders go
+    afterwards. A rerun repeats both steps, after any failure.
     """
     (
         (by_month(df) if shuffled else df)
@@ -50,14 +62,42 @@ def overwrite_months(df: DataFrame, path: str, shuffled: bool = False) -> None:
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
+    remove_months(df.sparkSession, path, emptied)
+
+
+def remove_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> None:
+    """Delete the partition folders of these months, on any file system Spark knows."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    year, month = PARTITION_COLUMNS
+    for y, m in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{year}={y}/{month}={m}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def months_in(df: DataFrame) -> set[tuple[int, int]]:
+    """The months of a frame: a row each, so some hundreds reach the driver."""
+    return {tuple(row) for row in df.select(*PARTITION_COLUMNS).distinct().collect()}
 
 
 def replace(df: DataFrame, path: str, monthly: bool = False) -> None:
-    """Replace a whole derived table, partitioned by month if asked."""
-    if monthly:
-        by_month(df).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
-    else:
+    """Replace a whole derived table, partitioned by month if asked.
+
+    Static whatever the session says: a month without rows must not stay.
+    """
+    if not monthly:
         df.write.mode("overwrite").parquet(path)
+        return
+    by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *PARTITION_COLUMNS
+    ).parquet(path)
+    # A partitioned table without rows has no file that tells its columns.
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{path}/{SCHEMA_FOLDER}")
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """A monthly table written by ``replace``, which may be empty."""
+    schema = spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:

@@ -72,17 +72,28 @@ def unify(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def file_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
-    """Schema of each month file, from its footer only.
+def file_schemas(
+    spark: SparkSession, paths: list[str]
+) -> tuple[dict[str, T.StructType], dict[str, str]]:
+    """Schema of each month file that can be unified, and why the others cannot.
 
-    One short job per file, sixteen at a time; the files are months, so there
-    are some hundreds of them however many rows they hold.
+    From footers only: one short job per file, sixteen at a time. The files are
+    months, so there are some hundreds of them however many rows they hold.
     """
-    for path in paths:
-        parse_name(path)
+
+    def look(path: str) -> T.StructType | str:
+        try:
+            parse_name(path)
+            schema = spark.read.parquet(path).schema
+            resolve_columns(schema.fieldNames())
+        except Exception as error:  # a file of any kind of damage fails alone
+            return str(error) or type(error).__name__
+        return schema
+
     with ThreadPoolExecutor(16) as pool:
-        schemas = pool.map(lambda path: spark.read.parquet(path).schema, paths)
-    return dict(zip(paths, schemas))
+        found = dict(zip(paths, pool.map(look, paths)))
+    bad = {path: seen for path, seen in found.items() if isinstance(seen, str)}
+    return {path: seen for path, seen in found.items() if path not in bad}, bad
 
 
 def read_months(
