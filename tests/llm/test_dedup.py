@@ -82,7 +82,10 @@ def test_large_postings_are_exact(spark):
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 32, 30, dtype=np.uint64)
     flips = [np.uint64(sum(1 << int(b) for b in rng.choice(32, rng.integers(0, 4), replace=False))) for _ in range(300)]
-    prints = sorted({int((base[i % 30] ^ f).view(np.int64)) for i, f in enumerate(flips)} | {-(1 << 63) | 5, 5})
+    prints = {int((base[i % 30] ^ f).view(np.int64)) for i, f in enumerate(flips)}
+    # Four bits apart, two of them the highest: no link.
+    high = int(np.uint64(0xA5A5A5A5_00000001).view(np.int64))
+    prints = sorted(prints | {-(1 << 63) | 5, 5, high, high ^ 0b11_0000 ^ -(1 << 63) ^ (1 << 62)})
     nodes = spark.createDataFrame([(p,) for p in prints], "f bigint")
     got = cc.components(simhash.simhash_links(nodes, posting_rows=2)).collect()
     near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 3

@@ -155,7 +155,7 @@ def _link_large(members: DataFrame) -> DataFrame:
     """
     spark = members.sparkSession
     rows = [
-        (i, mask, int(mask).bit_count() <= 1 or mask == -(1 << 63))
+        (i, mask, (mask & (1 << 64) - 1).bit_count() <= 1)
         for i, plane in enumerate(PLANES)
         for mask in _flips(plane, 2)
     ]

@@ -202,6 +202,9 @@ def transactions(found: DataFrame) -> DataFrame:
     name it in WARC-Concurrent-To. Either may be missing and is null then; a
     second request or metadata record of one capture makes a second row.
     Requests without a response give no row. An empty archive gives no rows.
+
+    ``payload_digest`` and ``payload_bytes`` are taken from the payload of a
+    response where it is read; who needs no more than them moves no payload.
     """
     def of(kinds: list[str], name: str) -> DataFrame:
         rows = found.filter(F.col("type").isin(kinds))
@@ -211,11 +214,17 @@ def transactions(found: DataFrame) -> DataFrame:
     response = of(["response", "revisit"], "response").withColumn(
         "payload", F.when(F.col("response.type") == "response", _http_payload(F.col("response.block")))
     )
+    response = response.withColumns(
+        {
+            "payload_digest": base32_sha1(F.col("payload")),
+            "payload_bytes": F.octet_length("payload").cast("bigint"),
+        }
+    )
     request, metadata = of(["request"], "request"), of(["metadata"], "metadata")
     return (
         response.join(request, F.col("response.record_id") == F.col("request_to"), "left")
         .join(metadata, F.col("response.record_id") == F.col("metadata_to"), "left")
-        .select("response", "request", "metadata", "payload")
+        .select("response", "request", "metadata", "payload", "payload_digest", "payload_bytes")
     )
 
 
@@ -226,9 +235,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = transactions(read_records(spark, path))
     page = lambda c: F.regexp_extract(c, r":(-?\d+)>$", 1)
     told = F.regexp_extract("metadata.block", r"payloadBytes: (\d+)", 1).cast("bigint")
-    # A response's payload speaks for itself; a revisit has none, only its record.
-    digest = F.when(F.col("payload").isNotNull(), base32_sha1(F.col("payload"))).otherwise(F.col("response.digest"))
-    size = F.when(F.col("payload").isNotNull(), F.octet_length("payload").cast("bigint")).otherwise(told)
+    # A response's payload speaks for itself; a revisit has none, only its records.
+    digest = F.coalesce("payload_digest", "response.digest")
+    size = F.coalesce("payload_bytes", told)
     number = lambda c: F.when(c != "", c).cast("bigint")
     return rows.select(
         number(page(F.col("response.record_id"))).alias("page_id"),
