@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripguard.llm.common import free_name, table, written
 from tripguard.llm.components import components
 
-BANDS, ROWS = 7, 3
+# Orders of the hashes, with two bands each, and least hashes per band.
+ORDERS, ROWS = 4, 3
+BANDS = 2 * ORDERS
 SIMILARITY = 0.8
 # Characters of the next word that a shingle has besides its own word.
 LEAD = 4
 # Scripts that put no space between words: each character counts as a word.
 WIDE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]"
-# Every permutation is the shingle's hash with other bits turned over. These
-# multiples of one odd number lie evenly over all 64-bit numbers.
-TURNED = [k * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63) for k in range(BANDS * ROWS)]
+# An order sorts the shingles' hashes with these bits turned over. The least and
+# the greatest under each lie in eighths of the range of their own.
+TURNED = [0, 1 << 61, 1 << 62, 3 << 61]
 
 
 def normal_line(line: Column) -> Column:
@@ -39,37 +39,46 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
 
 
-def shingles(line: str) -> Column:
-    """Hashes of a line's character shingles, one from the start of each word.
-
-    A shingle is a word and the first ``LEAD`` characters of the next one.
-    """
+def words(line: str) -> Column:
+    """The words of a line in normal form."""
     l = F.col(line)
     apart = F.trim(F.regexp_replace(F.regexp_replace(l, f"({WIDE})", " $1 "), " +", " "))
     spaced = F.when(l.rlike(WIDE), apart).otherwise(l)
-    words = F.split(spaced, " ")
-    lead = lambda i: F.substring(F.get(words, i + 1), 1, LEAD)
-    return F.transform(words, lambda word, i: F.xxhash64(word, lead(i)))
+    return F.split(spaced, " ")
+
 
+def shingles(column: str) -> Column:
+    """Hashes of the character shingles of a column of words, one from each word's start.
+
+    A shingle is a word and the first ``LEAD`` characters of the next one. The
+    words are a column of their own, so they are made once and not per shingle.
+    """
+    lead = lambda i: F.substring(F.get(F.col(column), i + 1), 1, LEAD)
+    return F.transform(column, lambda word, i: F.xxhash64(word, lead(i)))
 
-def _turned(constant: int) -> Callable[[Column], Column]:
-    """The upper half of a hash under one permutation."""
-    return lambda h: F.shiftright(h.bitwiseXOR(F.lit(constant)), 32)
+
+def _sorted(constant: int) -> Column:
+    """The hashes ``h`` of a line in one of the orders."""
+    turned = F.transform("h", lambda h: h.bitwiseXOR(F.lit(constant))) if constant else F.col("h")
+    return F.sort_array(turned)
 
 
 def _signed(lines: DataFrame) -> DataFrame:
     """``(d, s, p, a, b, k0...)``: the lines with their band keys instead of their text.
 
-    A band's key stands for the least hashes of the shingles under three
-    permutations. All of it is array expressions within a row.
+    A band's key stands for the three least, or the three greatest, hashes of
+    the shingles in one order. All of it is array expressions within a row.
     """
-    hashed = lines.select("d", "s", "p", "a", "b", shingles("l").alias("h"))
-    least = [F.array_min(F.transform("h", _turned(c))).alias(f"m{i}") for i, c in enumerate(TURNED)]
-    bands = [
-        F.xxhash64(F.lit(i), *[f"m{i * ROWS + k}" for k in range(ROWS)]).alias(f"k{i}") for i in range(BANDS)
-    ]
     place = ["d", "s", "p", "a", "b"]
-    return hashed.select(*place, *least).select(*place, *bands)
+    split = lines.select(*place, words("l").alias("w"))
+    hashed = split.select(*place, F.array_distinct(shingles("w")).alias("h"))
+    ordered = hashed.select(*place, *[_sorted(c).alias(f"o{i}") for i, c in enumerate(TURNED)])
+    bands = []
+    for i in range(ORDERS):
+        for hashes in (F.col(f"o{i}"), F.reverse(f"o{i}")):
+            key = F.xxhash64(F.lit(len(bands)), F.slice(hashes, 1, ROWS))
+            bands.append(key.alias(f"k{len(bands)}"))
+    return ordered.select(*place, *bands)
 
 
 def _candidates(signed: DataFrame) -> DataFrame:
@@ -98,10 +107,10 @@ def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
     right = texts.select(F.col("a").alias("c"), F.col("t").alias("t2"))
     both = pairs.join(left, "a").join(right, "c")
     parts = both.select(
-        "a", F.col("t1.b").alias("b1"), F.col("t1.l").alias("l1"), "c", F.col("t2.b").alias("b2"), F.col("t2.l").alias("l2")
+        "a", F.col("t1.b").alias("b1"), words("t1.l").alias("w1"), "c", F.col("t2.b").alias("b2"), words("t2.l").alias("w2")
     )
     sets = parts.select(
-        "a", "b1", "c", "b2", F.array_distinct(shingles("l1")).alias("g1"), F.array_distinct(shingles("l2")).alias("g2")
+        "a", "b1", "c", "b2", F.array_distinct(shingles("w1")).alias("g1"), F.array_distinct(shingles("w2")).alias("g2")
     )
     shared = F.size(F.array_intersect("g1", "g2"))
     return (
@@ -163,10 +172,10 @@ def dedup_lines(
     Lines are compared in lower case and with single spaces. A line's shingles
     are the characters from the start of a word to the fourth of the next word;
     in scripts without spaces each character counts as a word. Near copies share
-    at least ``similarity`` of their distinct shingles (Jaccard). Signatures of
-    21 least hashes in 7 bands find a pair at the threshold with a chance of
-    over 0.99; a bucket's lines are verified exactly against two of its lines,
-    and links are joined into classes by a distributed union-find.
+    at least ``similarity`` of their distinct shingles (Jaccard). Eight bands of
+    three least hashes each find a pair at the threshold with a chance of over
+    0.99; a bucket's lines are verified exactly against two of its lines, and
+    links are joined into classes by a distributed union-find.
 
     Blank lines always stay; a null text stays null. Rows of one id and one
     text count as one document. ``counts`` names two more columns, for the
