@@ -100,7 +100,8 @@ def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
     """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
 
     Texts are dealt by their hash once; a pair meets its first text there, and
-    takes that along to the second.
+    takes that along to the second. The counts are written before they are
+    filtered by: a filter pushed below them would count again for each mention.
     """
     texts = lines.groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
     left = texts.select("a", F.col("t").alias("t1"))
@@ -113,10 +114,10 @@ def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
         "a", "b1", "c", "b2", F.array_distinct(shingles("w1")).alias("g1"), F.array_distinct(shingles("w2")).alias("g2")
     )
     shared = F.size(F.array_intersect("g1", "g2"))
-    return (
-        sets.select("a", "b1", "c", "b2", shared.alias("n"), (F.size("g1") + F.size("g2")).alias("m"))
-        .filter(F.col("n") >= similarity * (F.col("m") - F.col("n")))
-        .select(_node("a", "b1").alias("u"), _node("c", "b2").alias("v"))
+    total = F.size("g1") + F.size("g2")
+    counts = written(sets.select("a", "b1", "c", "b2", shared.alias("n"), total.alias("m")), "line-counts")
+    return counts.filter(F.col("n") >= similarity * (F.col("m") - F.col("n"))).select(
+        _node("a", "b1").alias("u"), _node("c", "b2").alias("v")
     )
 
 
@@ -127,7 +128,7 @@ def _node(a: str, b: str) -> Column:
 def line_classes(lines: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(a, b, root)`` of distinct lines that are near copies of others, by class."""
     pairs = written(_candidates(signed), "line-pairs")
-    links = written(_similar(lines, pairs, similarity), "line-links")
+    links = _similar(lines, pairs, similarity)
     parts = F.split("id", r"\.")
     unhex = lambda c: F.conv(c, 16, -10).cast("bigint")
     return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
