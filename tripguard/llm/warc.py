@@ -16,6 +16,8 @@ BETWEEN = "\n" + VERSION + "\r"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RECORDS_PER_FILE = 50_000
+# What a nested record tells of itself.
+RECORD_FIELDS = ["type", "record_id", "refers_to", "uri", "date", "digest", "length", "block"]
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -208,12 +210,13 @@ def transactions(found: DataFrame) -> DataFrame:
     """
     def of(kinds: list[str], name: str) -> DataFrame:
         rows = found.filter(F.col("type").isin(kinds))
-        fields = F.struct("type", "record_id", "refers_to", "uri", "date", "digest", "length", "block")
-        return rows.select(fields.alias(name), F.col("concurrent_to").alias(f"{name}_to"))
+        return rows.select(*[F.col(c).alias(f"{name}_{c}") for c in [*RECORD_FIELDS, "concurrent_to"]])
 
-    response = of(["response", "revisit"], "response").withColumn(
-        "payload", F.when(F.col("response.type") == "response", _http_payload(F.col("response.block")))
-    )
+    def nested(name: str) -> Column:
+        return F.struct(*[F.col(f"{name}_{c}").alias(c) for c in RECORD_FIELDS])
+
+    payload = F.when(F.col("response_type") == "response", _http_payload(F.col("response_block")))
+    response = of(["response", "revisit"], "response").withColumn("payload", payload)
     response = response.withColumns(
         {
             "payload_digest": base32_sha1(F.col("payload")),
@@ -221,10 +224,16 @@ def transactions(found: DataFrame) -> DataFrame:
         }
     )
     request, metadata = of(["request"], "request"), of(["metadata"], "metadata")
-    return (
-        response.join(request, F.col("response.record_id") == F.col("request_to"), "left")
-        .join(metadata, F.col("response.record_id") == F.col("metadata_to"), "left")
-        .select("response", "request", "metadata", "payload", "payload_digest", "payload_bytes")
+    # Records are nested after the joins, so that unused fields are not in them.
+    joined = response.join(request, F.col("response_record_id") == F.col("request_concurrent_to"), "left").join(
+        metadata, F.col("response_record_id") == F.col("metadata_concurrent_to"), "left"
+    )
+    return joined.select(
+        nested("response").alias("response"),
+        *[F.when(F.col(f"{n}_type").isNotNull(), nested(n)).alias(n) for n in ("request", "metadata")],
+        "payload",
+        "payload_digest",
+        "payload_bytes",
     )
 
 
