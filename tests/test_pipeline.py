@@ -251,3 +251,23 @@ def test_golden_load_log(spark):
     assert [r["columns_delta"] for r in found] == [18, -1, 1, 1, -2]
     latest = {r["partition_key"]: r["is_schema_change"] for r in evolution.latest_evolution(history).collect()}
     assert latest == {"2015-01": False, "2017-01": False, "2019-01": True, "2022-01": True}
+
+
+def test_narratives_are_appended_and_the_newest_is_read(spark, tmp_path):
+    from tripguard.operators import narratives
+    from tripguard.schemas import NARRATIVE_SCHEMA
+
+    root = str(tmp_path)
+    for day, text in ((1, '{"headline": "old"}'), (2, '{"headline": "new"}')):
+        texts = spark.sql(
+            f"select 'volume_trends' as pain_point, 2019L as data_year, '{text}' as narrative_json,"
+            f" 'writer-1' as model, timestamp '2024-01-0{day}' as generated_at"
+        )
+        for field in NARRATIVE_SCHEMA.fields:
+            if field.name not in texts.columns:
+                texts = texts.withColumn(field.name, F.lit(None).cast(field.dataType))
+        pipeline.append_narratives(spark, root, texts)
+    stored = tables.read(spark, f"{root}/narratives", NARRATIVE_SCHEMA)
+    assert stored.count() == 2
+    (last,) = narratives.narrative_headlines(narratives.latest_narratives(stored)).collect()
+    assert last["headline"] == "new"
