@@ -197,6 +197,28 @@ def test_scripts_without_spaces_are_shingled_by_character(spark):
     assert {r["doc_id"] for r in kept.collect() if r["text"]} == {1, 4, 5, 6, 7}
 
 
+def all_shingles(line, chars=8):
+    return {line[i : i + chars] for i in range(max(1, len(line) - chars + 1))}
+
+
+def test_line_classes_equal_brute_force_over_all_characters(spark):
+    """Short lines, lines without spaces, changed digits: shingles start at every character."""
+    rng = random.Random(21)
+    texts = ["x", "short", "https://b.example/" + "path/" * 9 + "index.html", "https://b.example/" + "path/" * 9 + "index.htm"]
+    for i in range(60):
+        words = sentence(rng, rng.choice((9, 17, 30))).split()
+        texts += [" ".join([*words, "2023"]), " ".join([*words, "2024"])]
+        code = "".join(rng.choice("0123456789abcdef/{}") for _ in range(90))
+        texts += [code, code[:40] + "#" + code[41:], code[:20] + "#" + code[21:50] + "#" + code[51:]]
+    sets = [all_shingles(t) for t in texts]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if near(sets[i], sets[j])]
+    top = union_find(range(len(texts)), links)
+    kept = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.filter("text != ''").collect()) == sorted(set(top.values()))
+    assert len(links) > 100
+
+
 def test_line_dedup_odd_tables(spark):
     docs = documents(spark, clash=True)
     kept = lines.dedup_lines(docs)

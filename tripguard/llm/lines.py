@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from tripguard.llm.common import free_name, table, written
 from tripguard.llm.components import components
 
-# Orders of the hashes, with two bands each, and least hashes per band.
-ORDERS, ROWS = 4, 3
-BANDS = 2 * ORDERS
+# Characters of a shingle; a shorter line is one shingle.
+CHARS = 8
+BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-# Characters of the next word that a shingle has besides its own word.
+# The older shingles, one per word, as the tests' word oracle has them.
 LEAD = 4
-# Scripts that put no space between words: each character counts as a word.
 WIDE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]"
-# An order sorts the shingles' hashes with these bits turned over. The least and
-# the greatest under each lie in eighths of the range of their own.
-TURNED = [0, 1 << 61, 1 << 62, 3 << 61]
+# A shingle's hash is 32 bits; with the bits of one of these turned over, the
+# least of a line's hashes is that next to one of as many spread-out places.
+TURNED = [i * 0x9E3779B1 % (1 << 32) for i in range(1, BANDS * ROWS + 1)]
 
 
 def normal_line(line: Column) -> Column:
@@ -39,58 +38,38 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
 
 
-def words(line: str) -> Column:
-    """The words of a line in normal form."""
-    l = F.col(line)
-    apart = F.trim(F.regexp_replace(F.regexp_replace(l, f"({WIDE})", " $1 "), " +", " "))
-    spaced = F.when(l.rlike(WIDE), apart).otherwise(l)
-    return F.split(spaced, " ")
+def _shingles(line: str) -> Column:
+    """The runs of ``CHARS`` characters of a line in normal form, one from each character."""
+    runs = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % CHARS), F.lit(1))
+    return F.when(F.char_length(line) < CHARS, F.array(line)).otherwise(runs)
 
 
-def shingles(column: str) -> Column:
-    """Hashes of the character shingles of a column of words, one from each word's start.
-
-    A shingle is a word and the first ``LEAD`` characters of the next one. The
-    words are a column of their own, so they are made once and not per shingle.
-    """
-    lead = lambda i: F.substring(F.get(F.col(column), i + 1), 1, LEAD)
-    return F.transform(column, lambda word, i: F.xxhash64(word, lead(i)))
-
-
-def _sorted(constant: int) -> Column:
-    """The hashes ``h`` of a line in one of the orders."""
-    turned = F.transform("h", lambda h: h.bitwiseXOR(F.lit(constant))) if constant else F.col("h")
-    return F.sort_array(turned)
+def _grams(line: str) -> Column:
+    return F.array_distinct(_shingles(line))
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """``(d, s, p, a, b, k0...)``: the lines with their band keys instead of their text.
+    """``(a, b, k0...)``: the distinct lines with their band keys instead of their text.
 
-    A band's key stands for the three least, or the three greatest, hashes of
-    the shingles in one order. All of it is array expressions within a row.
+    A band's key stands for three least hashes of the shingles. Repeats of a
+    line have the same, so one aggregate, with a partial step in the scan's
+    task, makes distinct lines and their signatures.
     """
-    place = ["d", "s", "p", "a", "b"]
-    split = lines.select(*place, words("l").alias("w"))
-    hashed = split.select(*place, F.array_distinct(shingles("w")).alias("h"))
-    ordered = hashed.select(*place, *[_sorted(c).alias(f"o{i}") for i, c in enumerate(TURNED)])
-    bands = []
-    for i in range(ORDERS):
-        for hashes in (F.col(f"o{i}"), F.reverse(f"o{i}")):
-            key = F.xxhash64(F.lit(len(bands)), F.slice(hashes, 1, ROWS))
-            bands.append(key.alias(f"k{len(bands)}"))
-    return ordered.select(*place, *bands)
+    rows = lines.select("a", "b", F.explode(_shingles("l")).alias("g"))
+    rows = rows.select("a", "b", F.xxhash64("g").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")).alias("h"))
+    least = [F.min(F.col("h").bitwiseXOR(F.lit(c).cast("bigint"))).alias(f"m{i}") for i, c in enumerate(TURNED)]
+    signed = rows.groupBy("a", "b").agg(*least)
+    keys = [F.xxhash64(F.lit(i), *[f"m{i * ROWS + j}" for j in range(ROWS)]).alias(f"k{i}") for i in range(BANDS)]
+    return signed.select("a", "b", *keys)
 
 
 def _candidates(signed: DataFrame) -> DataFrame:
     """``(a, c)``: each distinct line of a band's bucket with its least and greatest line.
 
     Two pairs per line and bucket, so a bucket may be of any size; buckets of
-    up to three lines give all their pairs. Repeats of a line are one line
-    before anything else.
+    up to three lines give all their pairs.
     """
-    keys = [f"k{i}" for i in range(BANDS)]
-    distinct = signed.groupBy("a", "b").agg(*[F.min(k).alias(k) for k in keys])
-    entries = distinct.select(F.explode(F.array(*keys)).alias("k"), "a")
+    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(BANDS)])).alias("k"), "a")
     ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo != hi")
     paired = entries.join(ends, "k").select("a", F.explode(F.array("lo", "hi")).alias("c"))
     return paired.filter("a != c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("c")).distinct()
@@ -107,11 +86,8 @@ def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
     left = texts.select("a", F.col("t").alias("t1"))
     right = texts.select(F.col("a").alias("c"), F.col("t").alias("t2"))
     both = pairs.join(left, "a").join(right, "c")
-    parts = both.select(
-        "a", F.col("t1.b").alias("b1"), words("t1.l").alias("w1"), "c", F.col("t2.b").alias("b2"), words("t2.l").alias("w2")
-    )
-    sets = parts.select(
-        "a", "b1", "c", "b2", F.array_distinct(shingles("w1")).alias("g1"), F.array_distinct(shingles("w2")).alias("g2")
+    sets = both.select(
+        "a", F.col("t1.b").alias("b1"), _grams("t1.l").alias("g1"), "c", F.col("t2.b").alias("b2"), _grams("t2.l").alias("g2")
     )
     shared = F.size(F.array_intersect("g1", "g2"))
     total = F.size("g1") + F.size("g2")
@@ -143,8 +119,8 @@ def dropped_lines(
     first one there. A class is lines of one normal form, or linked ones.
     """
     texts = _lines(docs, id_col, text_col)
-    lines = written(_signed(texts), "lines")
-    near = line_classes(texts, lines, similarity)
+    lines = written(texts.select("d", "s", "p", "a", "b"), "lines")
+    near = line_classes(texts, written(_signed(texts), "line-keys"), similarity)
     again = (
         lines.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -171,8 +147,7 @@ def dedup_lines(
     """``docs`` with one line of each class left, in ``text``; other columns stay as they are.
 
     Lines are compared in lower case and with single spaces. A line's shingles
-    are the characters from the start of a word to the fourth of the next word;
-    in scripts without spaces each character counts as a word. Near copies share
+    are its runs of ``CHARS`` characters, one from each character. Near copies share
     at least ``similarity`` of their distinct shingles (Jaccard). Eight bands of
     three least hashes each find a pair at the threshold with a chance of over
     0.99; a bucket's lines are verified exactly against two of its lines, and
