@@ -189,6 +189,19 @@ def test_line_classes_find_near_lines(spark):
     assert gone == want and len(want) > 30
 
 
+def test_lines_of_one_template_find_their_mates(spark):
+    """Thousands of lines share most shingles; each has one near copy, and is like no other."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    template = [word() for _ in range(20)]
+    rows = []
+    for i in range(1500):
+        own = template + [word() for _ in range(4)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own) + "s")]
+    kept = lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.filter("text != ''").collect()) == list(range(0, 3000, 2))
+
+
 def test_scripts_without_spaces_are_shingled_by_character(spark):
     text = "".join(chr(0x4E00 + 7 * i) for i in range(120))
     rows = [(1, text), (2, text[:20] + "一" + text[20:]), (3, text[:-1]), (4, text[::-1]), (5, text[:60] + text[::-1])]

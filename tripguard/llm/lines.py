@@ -63,18 +63,66 @@ def _signed(lines: DataFrame) -> DataFrame:
     return signed.select("a", "b", *keys)
 
 
-def _candidates(signed: DataFrame) -> DataFrame:
+def _shared_buckets(signed: DataFrame) -> DataFrame:
+    """``(k, a, lo, hi, n)``: entries of buckets of several lines, with the least and the greatest line and their number."""
+    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(BANDS)])).alias("k"), "a")
+    ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return entries.join(ends.filter("lo != hi"), "k")
+
+
+def _candidates(buckets: DataFrame) -> DataFrame:
     """``(a, c)``: each distinct line of a band's bucket with its least and greatest line.
 
     Two pairs per line and bucket, so a bucket may be of any size; buckets of
-    up to three lines give all their pairs.
+    up to three lines give all their pairs. ``_open`` finds what larger ones lack.
     """
-    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(BANDS)])).alias("k"), "a")
-    ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo != hi")
-    paired = entries.join(ends, "k").select("a", F.explode(F.array("lo", "hi")).alias("c"))
+    paired = buckets.select("a", F.explode(F.array("lo", "hi")).alias("c"))
     return paired.filter("a != c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("c")).distinct()
 
 
+def _open(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(a, r)``: lines of buckets of more than three lines that are not all of one class yet, with their class."""
+    known = classes.select(F.col("a").alias("a_"), "root")
+    large = buckets.filter("n > 3").select("k", "a").join(known, F.col("a") == F.col("a_"), "left")
+    large = large.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"))
+    mixed = large.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("k")
+    return large.join(mixed, "k", "left_semi").select("a", "r").distinct()
+
+
+def _prefix_pairs(lines: DataFrame, opened: DataFrame, similarity: float) -> DataFrame:
+    """``(a, c)``: all pairs of open lines of different classes that can be similar enough, by prefix filter.
+
+    A line's shingles are put in one order for all lines, the rarest first.
+    Sets of sizes n >= m that are similar share one of the first
+    n - ceil(s n) + 1 shingles of the larger and of the first
+    m - ceil(2 s m / (1 + s)) + 1 of the smaller (Xiao et al., 2008). What
+    lines of one template share comes last, so it makes no pairs.
+    """
+    least = lambda part, n: F.ceil(F.lit(part) * F.col(n) - 1e-9)
+    texts = lines.join(opened.select("a"), "a", "left_semi").groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
+    sets = texts.select("a", _grams("t.l").alias("g")).select("a", F.size("g").alias("n"), F.explode("g").alias("g"))
+    sets = written(sets.select("a", "n", F.xxhash64("g").alias("g")), "line-shingles")
+    often = sets.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+    ordered = sets.join(often, "g").groupBy("a", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
+    first = ordered.select("a", "n", F.slice("o", F.lit(1), (F.col("n") - least(similarity, "n") + 1).cast("int")).alias("o"))
+    posted = first.select("a", "n", F.posexplode("o").alias("i", "o")).filter("o.f > 1").select("a", "n", "i", F.col("o.g").alias("g"))
+    posted = posted.join(opened, "a")
+    # Shingles of one class alone link nothing.
+    mixed = posted.groupBy("g").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("g")
+    posted = written(posted.join(mixed, "g", "left_semi"), "line-prefixes")
+    held = F.col("i") < F.col("n") - least(2 * similarity / (1 + similarity), "n") + 1
+    small = posted.filter(held).toDF("g", *[f"{c}2" for c in posted.columns[1:]])
+    share = similarity / (1 + similarity) * (F.col("n") + F.col("n2")) - 1e-9
+    fits = (
+        (F.col("r") != F.col("r2"))
+        & (F.struct("n", "a") > F.struct("n2", "a2"))
+        & (F.col("n2") >= similarity * F.col("n") - 1e-9)
+        & (F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) >= share)
+    )
+    pairs = posted.join(small, "g").filter(fits)
+    return pairs.select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("c")).distinct()
+
+
 def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
 
@@ -101,15 +149,28 @@ def _node(a: str, b: str) -> Column:
     return F.concat(F.hex(a), F.lit("."), F.hex(b))
 
 
-def line_classes(lines: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(a, b, root)`` of distinct lines that are near copies of others, by class."""
-    pairs = written(_candidates(signed), "line-pairs")
-    links = _similar(lines, pairs, similarity)
+def _classes(links: DataFrame) -> DataFrame:
     parts = F.split("id", r"\.")
     unhex = lambda c: F.conv(c, 16, -10).cast("bigint")
     return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
 
 
+def line_classes(lines: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(a, b, root)`` of distinct lines that are near copies of others, by class.
+
+    A first pass compares the lines of a bucket with two of them. Lines of
+    large buckets that it leaves in different classes are then joined exactly.
+    """
+    buckets = written(_shared_buckets(signed), "line-buckets")
+    links = _similar(lines, written(_candidates(buckets), "line-pairs"), similarity)
+    classes = _classes(links)
+    opened = written(_open(buckets, classes), "line-open")
+    if opened.isEmpty():
+        return classes
+    pairs = written(_prefix_pairs(lines, opened, similarity), "line-pairs")
+    return _classes(links.union(_similar(lines, pairs, similarity)))
+
+
 def dropped_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -151,7 +212,8 @@ def dedup_lines(
     at least ``similarity`` of their distinct shingles (Jaccard). Eight bands of
     three least hashes each find a pair at the threshold with a chance of over
     0.99; a bucket's lines are verified exactly against two of its lines, and
-    links are joined into classes by a distributed union-find.
+    lines of large buckets that are in different classes then against all that
+    a prefix filter leaves; links are joined by a distributed union-find.
 
     Blank lines always stay; a null text stays null. Rows of one id and one
     text count as one document. ``counts`` names two more columns, for the
