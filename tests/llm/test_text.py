@@ -127,6 +127,30 @@ def test_licenses(spark, text, names):
     assert licenses.scan_licenses(docs).first()["licenses"] == names
 
 
+WRAPPED = [
+    ("This work is distributed under\nthe GPLv2.", "GPL-2.0-only"),
+    ("// Released under\n// CC0 1.0", "CC0-1.0"),
+    ("# Released under\n# CC0 1.0", "CC0-1.0"),
+    ("All rights\nreserved.", "all-rights-reserved"),
+    ("# All rights\n#\treserved.", "all-rights-reserved"),
+    ("Released under\tCC0.", "CC0-1.0"),
+    ("It went under\nthe bridge. Rights are reserved.", ""),
+]
+
+
+def test_wrapped_references_equal_sql(spark):
+    import duckdb
+
+    rows = [(i, t) for i, (t, _) in enumerate(WRAPPED)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = values(licenses.scan_licenses(docs), "doc_id", "licenses", "evidence")
+    assert [x[1] for x in got] == [names for _, names in WRAPPED]
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert sorted(db.execute(licenses.OP6_SQL).fetchall()) == got
+
+
 def test_licenses_odd_tables(spark):
     assert licenses.scan_licenses(documents(spark, clash=True)).count() == len(odd_rows())
     assert licenses.scan_licenses(empty(spark)).count() == 0

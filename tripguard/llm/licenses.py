@@ -145,9 +145,12 @@ RULES = [
     ("CC0-1.0", ["cc0-ref"]),
     ("all-rights-reserved", ["copyright?", "reserved"]),
 ]
-# Words of which every known sentence has one; texts without any are done.
+# Words of which every known sentence has one; texts without any are done. They
+# are looked for before sentences are normalised, so what parts words may be a
+# line's end, a tab or a comment's lead: whatever becomes a space.
 TRIGGERS = (
-    "licen[sc]e|licen[sc]ed|permission|copyright|warrant|redistribut|rights reserved|liable|under |spdx|gnu"
+    "licen[sc]e|licen[sc]ed|permission|copyright|warrant|redistribut|rights[^a-z0-9+]+reserved|liable"
+    "|under[^a-z0-9+]|spdx|gnu"
 )
 COMMENT_LEADS = r"(?m)^[ \t]*[#*;%/-]+[ \t]*"
 SENTENCE_ENDS = r"([.!?:;])\s+"
