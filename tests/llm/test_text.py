@@ -215,6 +215,26 @@ def test_surrogates_never_meet(spark, monkeypatch, bound):
     assert len({r["text"].split()[1] for r in rows}) == 1
 
 
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_persons_and_domains_never_meet(spark, bound):
+    """Hundreds of family names of both genders, short domains, one name under several titles."""
+    rng = random.Random(6)
+    names = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)).capitalize() for _ in range(600)})
+    names += ["Barbarbar", "Zanzanzan"]
+    texts = [f"{'Mr.' if i % 2 else 'Mrs.'} {n}" for i, n in enumerate(names)]
+    texts += [f"Write to joe@{a}{b}.example." for a in "abcdefghijklm" for b in "nopqrst"]
+    same = ["Dr. Jane Roe", "Ms. Jane Roe", "Prof. Jane Roe"]
+    docs = spark.createDataFrame(list(enumerate([*texts, *same])), "doc_id bigint, text string")
+    rows = dict(surrogates.replace_personal_data(docs, KEY, broadcast_retries=bound).select("doc_id", "text").collect())
+    new = [rows[i].split(" ", 1)[1] for i in range(len(names))]
+    assert len(set(new)) == len(names) and not set(new) & set(names)
+    domains = [rows[i].split("@")[1] for i in range(len(names), len(texts))]
+    real = {t.split("@")[1] for t in texts[len(names) :]}
+    assert len(set(domains)) == len(real) and not set(domains) & real
+    roes = {rows[len(texts) + i].split(" ", 1)[1] for i in range(3)}
+    assert len(roes) == 1 and roes.pop().split()[0] in surrogates.GIVEN_NAMES["latin", "f"]
+
+
 def test_surrogates_odd_tables(spark):
     docs = documents(spark, [*odd_rows(), *((50 + i, t, None, None, None) for i, t in enumerate(PRIVATE))], clash=True)
     got = surrogates.replace_personal_data(docs, KEY)

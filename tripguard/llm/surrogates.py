@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ from tripguard.session import ensure_checkpoint_dir
 
 # Entities of which the retries are broadcast; beyond it they are joined by text.
 BROADCAST_RETRIES = 100_000
+# A person of whom neither title nor given name nor another text tells the gender.
+DEFAULT_PERSON = "person-m"
 
 # Given names by script and gender, and titles that tell a gender.
 GIVEN_NAMES = {
@@ -86,7 +88,7 @@ class Entity:
 
 
 def _person(text: str, start: int, end: int) -> Entity | None:
-    """Capitalised names after a title; gender from the title, else from a known given name."""
+    """Capitalised names after a title; gender from the title, else from a known given name, else ``u``."""
     names = re.split(r"[ \u00a0]", text[start:end])
     held = 0
     while held < len(names) and names[held][0].isupper():
@@ -99,7 +101,7 @@ def _person(text: str, start: int, end: int) -> Entity | None:
     script = script_of(names[0])
     if not gender:
         known = [g for (s, g), given in GIVEN_NAMES.items() if s == script and names[0] in given]
-        gender = known[0] if known else "m"
+        gender = known[0] if known else "u"
     end = start + len(" ".join(names))
     return Entity(start, end, f"person-{gender}", " ".join(names))
 
@@ -174,14 +176,21 @@ def _like(value: str, draw: Draw) -> str:
     return "".join(out)
 
 
+def _more(draw: Draw, attempt: int) -> str:
+    """Letters to add when short names of one form run out."""
+    return "".join(chr(97 + draw.below(26)) for _ in range(attempt // 8))
+
+
 def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     """The canonical surrogate of an entity; another for every attempt."""
     draw = Draw(key, kind, canon, attempt)
     if kind == "email":
         # The domain is drawn from itself alone: one domain stays one domain.
         local, domain = canon.split("@", 1)
-        host, top = domain.rsplit(".", 1)
-        return f"{_like(local, draw)}@{_like(host, Draw(key, 'domain', domain, 0))}.{top}"
+        return f"{_like(local, draw)}{_more(draw, attempt)}@{surrogate(key, 'domain', domain, 0)}"
+    if kind == "domain":
+        host, top = canon.rsplit(".", 1)
+        return f"{_like(host, draw)}{_more(draw, attempt)}.{top}"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
@@ -208,6 +217,14 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     return _like(canon, draw)
 
 
+def in_domain(key: bytes, kind: str, canon: str, attempt: int, domain_attempt: int) -> str:
+    """``surrogate``, with the domain of an e-mail address at its own attempt."""
+    new = surrogate(key, kind, canon, attempt)
+    if kind != "email" or not domain_attempt:
+        return new
+    return f"{new.split('@', 1)[0]}@{surrogate(key, 'domain', canon.split('@', 1)[1], domain_attempt)}"
+
+
 def fit_format(canon: str, value: str, kind: str) -> str:
     """A canonical surrogate written the way the original stands in the text."""
     if kind in ("phone", "card", "ssn", "iban"):
@@ -240,50 +257,102 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(c.to_pylist() for c in batch.columns))
-            new = [surrogate(key, kind, canon, attempt) for kind, canon, attempt in rows]
+            new = [in_domain(key, *row) for row in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], [*batch.schema.names, "new"])
 
-    return entities.select("kind", "canon", "attempt").mapInArrow(
-        draw, "kind string, canon string, attempt int, new string"
+    return entities.select("kind", "canon", "attempt", "domain_attempt").mapInArrow(
+        draw, "kind string, canon string, attempt int, domain_attempt int, new string"
     )
 
 
-def retries(entities: DataFrame, key: bytes) -> DataFrame:
-    """``(kind, canon, attempt)`` of entities whose first surrogate is not theirs.
+def _family(kind: str) -> Column:
+    """Kinds whose surrogates must differ from each other: persons of both genders are one."""
+    return F.when(F.col(kind).startswith("person"), "person").otherwise(F.col(kind))
+
+
+def _settled(entities: DataFrame) -> DataFrame:
+    """``(kind, canon, as_kind)``: persons with their gender over the whole corpus.
+
+    A full name is one person: female if all that tells a gender says so, else
+    male. A family name alone has a surrogate for each gender that a title
+    tells; where none does, the corpus decides in the same way.
+    """
+    persons = entities.filter(F.col("kind").startswith("person"))
+    of = lambda k: F.max(F.col("kind") == f"person-{k}")
+    told = persons.groupBy(F.col("canon").alias("c")).agg((of("f") & ~of("m")).alias("f"))
+    gender = F.when(F.col("f"), "person-f").otherwise(F.lit("person-m"))
+    whole = F.contains(F.col("canon"), F.lit(" ")) | (F.col("kind") == "person-u")
+    named = persons.join(told, F.col("canon") == F.col("c")).select(
+        "kind", "canon", F.when(whole, gender).otherwise(F.col("kind")).alias("as_kind")
+    )
+    others = entities.filter(~F.col("kind").startswith("person"))
+    return named.union(others.select("kind", "canon", F.col("kind").alias("as_kind")))
+
+
+def _unmet(entities: DataFrame, key: bytes) -> DataFrame:
+    """``(kind, canon, attempt)`` of ``entities (kind, canon, domain_attempt)``.
 
     A surrogate belongs to the entity that draws it at the lowest attempt, of
     these to the least; it must not be an entity itself. All others draw again,
     until none is left. Only losers are carried on; groups are pre-aggregated.
     """
-    spark = entities.sparkSession
-    ensure_checkpoint_dir(spark)
     drawn = _drawn(entities.withColumn("attempt", F.lit(0)), key).checkpoint()
+    real = entities.select(_family("kind").alias("k"), F.col("canon").alias("c")).distinct()
     while True:
-        owner = drawn.groupBy("kind", "new").agg(
-            F.min(F.struct("attempt", "canon")).alias("o"), F.count(F.lit(1)).alias("n")
+        owner = drawn.groupBy(_family("kind").alias("family"), "new").agg(
+            F.min(F.struct("attempt", "canon", "kind")).alias("o"), F.count(F.lit(1)).alias("n")
         )
-        real = entities.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
         clash = (
-            owner.join(real, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("c")), "left")
+            owner.join(real, (F.col("family") == F.col("k")) & (F.col("new") == F.col("c")), "left")
             .filter("n > 1 or c is not null")
-            .select(F.col("kind").alias("k2"), F.col("new").alias("n2"), "o", F.col("c").isNotNull().alias("is_real"))
+            .select(F.col("family").alias("k2"), F.col("new").alias("n2"), "o", F.col("c").isNotNull().alias("is_real"))
         )
-        marked = drawn.join(clash, (F.col("kind") == F.col("k2")) & (F.col("new") == F.col("n2")), "left")
-        lost = F.col("o").isNotNull() & (F.col("is_real") | (F.col("canon") != F.col("o.canon")))
-        after = marked.select("kind", "canon", "attempt", "new", F.coalesce(lost, F.lit(False)).alias("lost")).checkpoint()
+        marked = drawn.join(clash, (_family("kind") == F.col("k2")) & (F.col("new") == F.col("n2")), "left")
+        other = (F.col("canon") != F.col("o.canon")) | (F.col("kind") != F.col("o.kind"))
+        lost = F.col("o").isNotNull() & (F.col("is_real") | other)
+        after = marked.select(*drawn.columns, F.coalesce(lost, F.lit(False)).alias("lost")).checkpoint()
         losers = after.filter("lost")
         if losers.isEmpty():
-            return after.filter("attempt > 0").select("kind", "canon", "attempt")
+            return after.select("kind", "canon", "attempt")
         again = _drawn(losers.withColumn("attempt", F.col("attempt") + 1), key)
         drawn = after.filter("not lost").drop("lost").union(again).checkpoint()
 
 
-def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
+def retries(entities: DataFrame, key: bytes) -> DataFrame:
+    """``(kind, canon, as_kind, attempt)`` of entities whose first surrogate is not theirs, or whose kind is not.
+
+    The domains of e-mail addresses are entities of their own, kind ``domain``,
+    and have their surrogates before the addresses have.
+    """
+    ensure_checkpoint_dir(entities.sparkSession)
+    settled = _settled(entities).checkpoint()
+    domain = F.substring_index("canon", "@", -1)
+    hosts = settled.filter("kind = 'email'").select(F.lit("domain").alias("kind"), domain.alias("canon")).distinct()
+    hosts = _unmet(hosts.withColumn("domain_attempt", F.lit(0)), key)
+    tries = hosts.filter("attempt > 0").select(F.col("canon").alias("host"), F.col("attempt").alias("host_attempt"))
+    things = settled.select(F.col("as_kind").alias("kind"), "canon").distinct()
+    held = things.join(tries, (F.col("kind") == "email") & (domain == F.col("host")), "left")
+    done = _unmet(held.select("kind", "canon", F.coalesce("host_attempt", F.lit(0)).alias("domain_attempt")).checkpoint(), key)
+    done = done.withColumnsRenamed({"kind": "as_kind", "canon": "as_canon"})
+    found = settled.withColumnsRenamed({"kind": "kind_", "as_kind": "as_"}).join(
+        done, (F.col("as_") == F.col("as_kind")) & (F.col("canon") == F.col("as_canon"))
+    )
+    first = F.when(F.col("kind_") == "person-u", DEFAULT_PERSON).otherwise(F.col("kind_"))
+    changed = found.filter((F.col("attempt") > 0) | (F.col("as_kind") != first))
+    return changed.select(F.col("kind_").alias("kind"), "canon", "as_kind", "attempt").union(
+        hosts.filter("attempt > 0").select("kind", "canon", F.col("kind").alias("as_kind"), "attempt")
+    )
+
+
+def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], tuple[str, int]]) -> tuple[str, int]:
     """The text with every entity replaced, and how many there were."""
     out, last = [], 0
     found = detect(text)
     for e in found:
-        new = surrogate(key, e.kind, e.canon, attempts.get((e.kind, e.canon), 0))
+        first = DEFAULT_PERSON if e.kind == "person-u" else e.kind
+        kind, attempt = attempts.get((e.kind, e.canon), (first, 0))
+        host = attempts.get(("domain", e.canon.split("@", 1)[1]), ("", 0))[1] if kind == "email" else 0
+        new = in_domain(key, kind, e.canon, attempt, host)
         out += [text[last : e.start], fit_format(new, text[e.start : e.end], e.kind)]
         last = e.end
     out.append(text[last:])
@@ -297,9 +366,10 @@ def _retries_by_text(docs: DataFrame, text_col: str, again: DataFrame) -> DataFr
         for batch in batches:
             for part in slices(batch, 0):
                 rows = [
-                    (h, e.kind, e.canon)
+                    (h, *thing)
                     for h, t in zip(part.column(1).to_pylist(), texts_of(part, 0))
                     for e in detect(t.decode())
+                    for thing in [(e.kind, e.canon), *([("domain", e.canon.split("@", 1)[1])] if e.kind == "email" else [])]
                 ]
                 columns = zip(*dict.fromkeys(rows)) if rows else ((), (), ())
                 kinds = (pa.int64(), pa.string(), pa.string())
@@ -311,7 +381,7 @@ def _retries_by_text(docs: DataFrame, text_col: str, again: DataFrame) -> DataFr
         find, "h bigint, kind string, canon string"
     )
     return held.join(again, ["kind", "canon"]).groupBy("h").agg(
-        F.collect_set(F.struct("kind", "canon", "attempt")).alias("again")
+        F.collect_set(F.struct("kind", "canon", "as_kind", "attempt")).alias("again")
     )
 
 
@@ -327,7 +397,7 @@ def replace_personal_data(
     Found are e-mail and IP addresses, phone, card, social security and bank
     account numbers, keys and passwords, and names after a title. A surrogate
     is drawn with ``key`` from the kind and the canonical value, so a thing has
-    one surrogate in all texts, and it keeps script, gender, length, classes of
+    one surrogate in all texts, a full name whatever its titles, and it keeps script, gender, length, classes of
     characters, separators and check digits. Two things never share one, and
     none is a value that occurs: collisions are found over the whole corpus and
     drawn again. The few redrawn ones reach the texts by a broadcast of at most
@@ -343,7 +413,9 @@ def replace_personal_data(
     out_names = [*names, count_col] if count_col else names
     if few:
         rows = again.collect()
-        shared = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["canon"]): r["attempt"] for r in rows})
+        shared = docs.sparkSession.sparkContext.broadcast(
+            {(r["kind"], r["canon"]): (r["as_kind"], r["attempt"]) for r in rows}
+        )
         source = docs
     else:
         shared = None
@@ -359,7 +431,7 @@ def replace_personal_data(
                     if few:
                         attempts = shared.value
                     else:
-                        attempts = {(x["kind"], x["canon"]): x["attempt"] for x in lists[row] or ()}
+                        attempts = {(x["kind"], x["canon"]): (x["as_kind"], x["attempt"]) for x in lists[row] or ()}
                     new, n = (None, 0) if text is None else replace_entities(text, key, attempts)
                     out.append(new)
                     counts.append(n)
