@@ -95,3 +95,19 @@ def test_odd_tables(spark, tmp_path):
     twice = [(1, "u", "x"), (1, "u", "x"), (None, None, None)]
     found = captured(spark, tmp_path / "b", rows=twice)
     assert values(found.groupBy("type").count(), "type", "count") == [("metadata", 3), ("request", 3), ("response", 3)]
+
+
+def test_repeated_ids_give_a_row_each(spark, tmp_path):
+    rows = [(1, "u", "x"), (1, "u", "x"), (1, "v", "y"), (2, "u", "x"), (3, "w", "y"), (3, "w", "y"), (None, "n", "z"), (None, "n", None)]
+    found = warc.transactions(captured(spark, tmp_path, rows=rows)).collect()
+    assert sorted(r["response"]["uri"] for r in found) == sorted(u for _, u, _ in rows)
+    ids = {r["response"]["record_id"]: r for r in found}
+    assert len(ids) == len(rows) and "<urn:capture:response:2>" in ids
+    for r in found:
+        assert r["request"]["uri"] == r["metadata"]["uri"] == r["response"]["uri"]
+        if r["response"]["type"] == "revisit":
+            first = ids[r["response"]["refers_to"]]["response"]
+            assert first["type"] == "response" and first["digest"] == r["response"]["digest"]
+    kinds = sorted((r["response"]["digest"], r["response"]["type"]) for r in found)
+    want = [(x, "response") for x in "xyyz"] + [("", "response")] + [("x", "revisit")] * 2 + [("y", "revisit")]
+    assert kinds == sorted((digest(x), kind) for x, kind in want)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import shared_folder, table
+from tripguard.llm.common import shared_folder, table, written
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -29,34 +29,50 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), HEX_DIGITS, BASE32_DIGITS)
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` and ``key``, which no other row has: the id, and a UUID where rows repeat it.
+
+    Rows that repeat an id are written with their UUID once, so that it is the
+    same wherever it is read, also when a task runs again.
+    """
+    rows = rows.withColumn("key", F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    again = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "warc-ids")
+    if again.isEmpty():
+        return rows
+    repeated = rows.join(again, "key", "left_semi").withColumn("key", F.concat("key", F.lit("#"), F.uuid()))
+    columns = ["id", "url", "payload", "key"]
+    repeated = written(repeated.select(*columns), "warc-repeated")
+    return rows.join(again, "key", "left_anti").select(*columns).union(repeated)
+
+
 def captures(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least_bytes: int) -> DataFrame:
-    """``(id, url, payload, digest, bytes, refers_to)``.
+    """``(key, url, payload, digest, bytes, refers_to)``, one row per page.
 
-    Of payloads that are equal, by SHA-1 and length, the largest id is the
-    response and ``refers_to`` names it in the others; digests alone are
-    grouped. Payloads under ``least_bytes`` are never revisits.
+    Of payloads that are equal, by SHA-1 and length, rows of the largest id are
+    responses and ``refers_to`` has the key of one in the others; digests alone
+    are grouped. Payloads under ``least_bytes`` are never revisits.
     """
     rows = pages.select(
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
     )
-    rows = rows.withColumns(
+    rows = _keyed(rows).withColumns(
         {
             "digest": base32_sha1(F.col("payload")),
             "bytes": F.octet_length("payload").cast("bigint"),
         }
     )
     first = (
-        rows.select("id", "digest", "bytes")
+        rows.select("id", "key", "digest", "bytes")
         .groupBy(F.col("digest").alias("g"), F.col("bytes").alias("b"))
-        .agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max(F.struct("id", "key")).alias("top"), F.count(F.lit(1)).alias("n"))
         .filter(f"n > 1 and b >= {int(least_bytes)}")
     )
     joined = rows.join(first, (F.col("digest") == F.col("g")) & (F.col("bytes") == F.col("b")), "left")
     return joined.select(
-        "id", "url", "payload", "digest", "bytes",
-        F.when(~F.col("id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"),
+        "key", "url", "payload", "digest", "bytes",
+        F.when(F.col("g").isNotNull() & ~F.col("id").eqNullSafe(F.col("top.id")), F.col("top.key")).alias("refers_to"),
     )
 
 
@@ -78,7 +94,7 @@ def records(rows: DataFrame, when: str) -> DataFrame:
     A payload that holds the bytes between two records goes in base64, under a
     Content-Transfer-Encoding header, so that files can be split anywhere.
     """
-    key = F.coalesce(F.col("id").cast("string"), F.lit("null"))
+    key = F.col("key")
     name = lambda kind: F.concat(F.lit(f"<urn:capture:{kind}:"), key, F.lit(">"))
     revisit = F.col("refers_to").isNotNull()
     url = F.when(F.col("url").isNotNull(), _one_line(F.col("url")))
@@ -97,7 +113,7 @@ def records(rows: DataFrame, when: str) -> DataFrame:
             *common,
             ("Content-Type", F.lit("application/http; msgtype=response")),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-            ("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:capture:response:"), F.col("refers_to").cast("string"), F.lit(">")))),
+            ("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:capture:response:"), F.col("refers_to"), F.lit(">")))),
             ("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
         ],
         F.concat(head, body),
@@ -242,7 +258,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), path)
     rows = transactions(read_records(spark, path))
-    page = lambda c: F.regexp_extract(c, r":(-?\d+)>$", 1)
+    page = lambda c: F.regexp_extract(c, r":(-?\d+)(?:#[0-9a-f-]+)?>$", 1)
     told = F.regexp_extract("metadata.block", r"payloadBytes: (\d+)", 1).cast("bigint")
     # A response's payload speaks for itself; a revisit has none, only its records.
     digest = F.coalesce("payload_digest", "response.digest")
