@@ -12,9 +12,6 @@ from tripguard.llm.components import components
 CHARS = 8
 BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-# The older shingles, one per word, as the tests' word oracle has them.
-LEAD = 4
-WIDE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]"
 # A shingle's hash is 32 bits; with the bits of one of these turned over, the
 # least of a line's hashes is that next to one of as many spread-out places.
 TURNED = [i * 0x9E3779B1 % (1 << 32) for i in range(1, BANDS * ROWS + 1)]
