@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripguard.session import ensure_checkpoint_dir
 
 # Bytes of text handled at once inside a task; one longer text is one slice.
 SLICE_BYTES = 4 << 20
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Bits of an array that tells tasks which of any number of keys may be there; a power of two.
+KEY_BITS = 1 << 24
 # Odd multiplier of the rolling hash, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -49,7 +52,41 @@ def written(df: DataFrame, what: str) -> DataFrame:
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing will read again."""
+    for df in frames:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def bits_of(df: DataFrame, *columns: str) -> Callable[[], bytes] | None:
+    """For tasks: a bit array in which the bits of all keys in ``columns`` are set; None without keys.
+
+    Its size is fixed, ``KEY_BITS``, and so is what reaches the driver and is
+    broadcast, whatever the number of keys. The more bits are set, the more
+    other keys find theirs set as well.
+    """
+    at = F.xxhash64(*columns).bitwiseAND(F.lit(KEY_BITS - 1))
+    words = df.select(at.alias("at")).selectExpr("at div 64 as w", "shiftleft(1L, cast(at % 64 as int)) as m")
+    found = words.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+    if not found.num_rows:
+        return None
+    array = np.zeros(KEY_BITS // 64, np.uint64)
+    array[found.column("w").to_numpy()] = found.column("m").to_numpy().view(np.uint64)
+    shared = df.sparkSession.sparkContext.broadcast(array.tobytes())
+    return lambda: shared.value
+
+
+def has_bit(array: bytes, key_hash: int) -> int:
+    """Whether the bit of a key with this XXH64 is set."""
+    at = key_hash % (8 * len(array))
+    return array[at >> 3] >> (at & 7) & 1
 
 
 def free_name(columns: list[str], base: str) -> str:
