@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pytest
 from corpora import documents, empty, odd_rows, same_schema
-from test_dedup import brute_print, grams, union_find
+from test_dedup import all_shingles, brute_print, union_find
 from test_text import brute_containment
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = {re.match(r"op\d+_", n)[0] for n in queries.QUERIES}
-    assert names == {f"op{i}_" for i in range(1, 11)}
+    assert names == {f"op{i}_" for i in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "packing"]
 
@@ -78,7 +78,7 @@ def test_lines_equal_brute_force(results):
     before, after = texts(results[1]), texts(results[2])
     places = [(i, p, plain_line(x)) for i, t in sorted(before.items()) for p, x in enumerate((t or "").split("\n"))]
     distinct = sorted({x for *_, x in places if x})
-    sets = {x: grams(x) for x in distinct}
+    sets = {x: all_shingles(x) for x in distinct}
     links = []
     for n, a in enumerate(distinct):
         for b in distinct[:n]:

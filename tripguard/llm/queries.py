@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripguard.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
     licenses,
     lines,
@@ -12,6 +13,8 @@ from tripguard.llm import (
     simhash,
     substring,
     surrogates,
+    urls,
+    variants,
     warc,
 )
 
@@ -26,10 +29,15 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_surrogates": surrogates.op9_surrogates,
     "op10_quality": quality.op10_quality,
+    "op11_urls": urls.op11_urls,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_variants": variants.op13_variants,
 }
 ORACLES = {
     "op2_substring": substring.OP2_SQL,
     "op6_licenses": licenses.OP6_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op8_warc": warc.OP8_SQL,
+    "op12_divergence": divergence.OP12_SQL,
+    "op13_variants": variants.OP13_SQL,
 }
