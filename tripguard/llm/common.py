@@ -97,10 +97,10 @@ def free_name(columns: list[str], base: str) -> str:
     return base
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``SLICE_BYTES`` of text each, in order."""
+def slices(batch: pa.RecordBatch, column: int, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``slice_bytes`` of text each, in order."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-    part = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
+    part = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // slice_bytes
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(edges, edges[1:]):
         if end > start:

@@ -2,36 +2,40 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import SLICE_BYTES, bits_of, has_bit, slices, table, texts_of, written
+from tripguard.llm.common import bits_of, has_bit, slices, table, written
 
 # A term is kept in a language if so many of its documents have it.
 LEAST_DOCUMENTS = 10
 # Bytes of the first prefixes; each level doubles them.
-FIRST_LEVEL = 4
+FIRST_LEVEL = 8
 # Terms and sources of a block that one task compares at a time.
 BLOCK_TERMS, TILE_SOURCES = 4096, 128
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 
+# Bytes of text that a task takes apart at once; a longer text goes by parts.
+PART_BYTES = 16 << 20
 # Letters and bytes of characters beyond ASCII make terms, A-Z in lower case.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_PLAIN_TABLE = np.frombuffer(_PLAIN, np.uint8)
 Batches = Iterator[pa.RecordBatch]
 
 
 def _pieces(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, some megabytes at a time."""
     plain, start = text.translate(_PLAIN), 0
-    while len(plain) - start > SLICE_BYTES:
-        end = plain.rfind(b" ", start, start + SLICE_BYTES)
+    while len(plain) - start > PART_BYTES:
+        end = plain.rfind(b" ", start, start + PART_BYTES)
         if end < 0:
             end = plain.find(b" ", start)
         if end < 0:
@@ -41,24 +45,37 @@ def _pieces(text: bytes) -> Iterator[list[bytes]]:
     yield plain[start:].split()
 
 
-def _by_language(part: pa.RecordBatch) -> dict[str, list[int]]:
-    rows = defaultdict(list)
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts, an empty one among them here and there, and how many are of each text."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+    plain = pa.StringArray.from_buffers(len(texts), pa.py_buffer((ends - ends[0]).astype(np.int32)), pa.py_buffer(_PLAIN_TABLE[held]))
+    words = pc.ascii_split_whitespace(plain)
+    return words.flatten(), words.value_lengths().to_numpy()
+
+
+def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[int]]]:
+    """Languages with their rows, those of very long texts apart."""
+    sizes = pc.binary_length(part.column(1)).to_numpy()
+    rows = defaultdict(lambda: ([], []))
     for row, lang in enumerate(part.column(0).to_pylist()):
-        rows[lang].append(row)
-    return rows
+        rows[lang][int(sizes[row] > PART_BYTES)].append(row)
+    for lang, (short, long) in rows.items():
+        yield lang, short, long
 
 
-def _coded(terms: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+def _coded(terms: pa.Array) -> tuple[list[bytes], np.ndarray]:
     """Distinct terms, and the number of each term among them."""
-    coded = pa.array(terms, pa.binary()).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    coded = terms.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def _prefix_counter(length: int, before: int, bits: Callable[[], bytes] | None) -> Callable[[Batches], Batches]:
     """Documents per prefix of ``length`` bytes, of terms whose prefix of ``before`` bytes is alive.
 
     A term of at most ``length`` bytes counts as a whole, with ``done``. No
-    document spans two slices, so counts of slices just add up.
+    document spans two parts, so counts of parts just add up.
     """
 
     def candidates(lang: str, terms: list[bytes]) -> tuple[dict, np.ndarray]:
@@ -66,43 +83,39 @@ def _prefix_counter(length: int, before: int, bits: Callable[[], bytes] | None)
         ids = np.full(len(terms), -1, np.int64)
         alive, seed = bits and bits(), xxhash.xxh64_intdigest(lang.encode(), 42)
         for i, term in enumerate(terms):
-            if alive is None or (len(term) > before and has_bit(alive, xxhash.xxh64_intdigest(term[:before], seed))):
+            if len(term) > before and (alive is None or has_bit(alive, xxhash.xxh64_intdigest(term[:before], seed))):
                 ids[i] = items.setdefault((term[:length], len(term) <= length), len(items))
         return items, ids
 
+    def counted(lang: str, terms: pa.Array, sizes: np.ndarray) -> Batches:
+        distinct, codes = _coded(terms)
+        items, ids = candidates(lang, distinct)
+        if items:
+            owner, chosen = np.repeat(np.arange(len(sizes)), sizes), ids[codes]
+            pairs = owner[chosen >= 0] * len(items) + chosen[chosen >= 0]
+            held = pa.array(pairs).unique().to_numpy() % len(items)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(items)),
+                    pa.array([p for p, _ in items], pa.binary()),
+                    pa.array([d for _, d in items]),
+                    pa.array(np.bincount(held, minlength=len(items))),
+                ],
+                ["lang", "prefix", "done", "docs"],
+            )
+
     def count(batches: Batches) -> Batches:
         for batch in batches:
-            for part in slices(batch, 1):
-                texts = texts_of(part, 1)
-                for lang, rows in _by_language(part).items():
-                    found = [_document_terms(texts[row]) for row in rows]
-                    owner = np.repeat(np.arange(len(rows)), [len(t) for t in found])
-                    distinct, codes = _coded([t for terms in found for t in terms])
-                    items, ids = candidates(lang, distinct)
-                    if not items:
-                        continue
-                    chosen = ids[codes]
-                    pairs = np.unique(owner[chosen >= 0] * len(items) + chosen[chosen >= 0])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(items)),
-                            pa.array([p for p, _ in items], pa.binary()),
-                            pa.array([d for _, d in items]),
-                            pa.array(np.bincount(pairs % len(items), minlength=len(items))),
-                        ],
-                        ["lang", "prefix", "done", "docs"],
-                    )
+            for part in slices(batch, 1, PART_BYTES):
+                for lang, short, long in _by_language(part):
+                    yield from counted(lang, *_split(part.column(1).take(pa.array(short, pa.int64()))))
+                    for row in long:
+                        terms = list(set().union(*_pieces(part.column(1)[row].as_buffer().to_pybytes())))
+                        yield from counted(lang, pa.array(terms, pa.binary()).cast(pa.string()), np.array([len(terms)]))
 
     return count
 
 
-def _document_terms(text: bytes) -> list[bytes]:
-    """The terms of a text; of a very long one each once."""
-    if len(text) <= SLICE_BYTES:
-        return text.translate(_PLAIN).split()
-    return list(set().union(*_pieces(text)))
-
-
 def kept_terms(rows: DataFrame, least: int = LEAST_DOCUMENTS, first: int = FIRST_LEVEL) -> DataFrame:
     """``(lang, term, docs)``: the terms that at least ``least`` documents of their language hold.
 
@@ -132,50 +145,37 @@ def kept_terms(rows: DataFrame, least: int = LEAST_DOCUMENTS, first: int = FIRST
 def _occurrences(bits: Callable[[], bytes] | None) -> Callable[[Batches], Batches]:
     """Occurrences by language, source and term, of terms that may be kept."""
 
-    def rows_of(lang: str, found: dict[tuple[str, bytes], int]) -> pa.RecordBatch:
-        seed, alive = xxhash.xxh64_intdigest(lang.encode(), 42), bits and bits()
-        told: dict[bytes, bool] = {}
-        keep = []
-        for key in found:
-            hit = told.get(key[1])
-            if hit is None:
-                hit = told[key[1]] = alive is not None and has_bit(alive, xxhash.xxh64_intdigest(key[1], seed))
-            if hit:
-                keep.append(key)
+    def counted(lang: str, terms: pa.Array, held: np.ndarray, sources: pa.Array) -> pa.RecordBatch:
+        alive, seed = bits and bits(), xxhash.xxh64_intdigest(lang.encode(), 42)
+        distinct, codes = _coded(terms)
+        hit = np.fromiter(
+            (alive is not None and t != b"" and has_bit(alive, xxhash.xxh64_intdigest(t, seed)) for t in distinct), bool, len(distinct)
+        )
+        there = hit[codes]
+        found = pa.array(held[there] * max(1, len(distinct)) + codes[there]).value_counts()
+        keys = found.field("values").to_numpy()
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([lang] * len(keep), pa.string()),
-                pa.array([s for s, _ in keep], pa.string()),
-                pa.array([t for _, t in keep], pa.binary()).cast(pa.string()),
-                pa.array([found[key] for key in keep], pa.int64()),
+                pa.array([lang] * len(keys), pa.string()),
+                sources.take(pa.array(keys // max(1, len(distinct)))),
+                pa.array(distinct, pa.binary()).cast(pa.string()).take(pa.array(keys % max(1, len(distinct)))),
+                found.field("counts"),
             ],
             ["lang", "source", "term", "n"],
         )
 
     def count(batches: Batches) -> Batches:
         for batch in batches:
-            for part in slices(batch, 1):
-                texts, sources = texts_of(part, 1), part.column(2).to_pylist()
-                for lang, rows in _by_language(part).items():
-                    terms, owner, names = [], [], {}
-                    for row in rows:
-                        if len(texts[row]) > SLICE_BYTES:
-                            for piece in _pieces(texts[row]):
-                                many = Counter(piece)
-                                yield rows_of(lang, {(sources[row], t): n for t, n in many.items()})
-                            continue
-                        split = texts[row].translate(_PLAIN).split()
-                        terms += split
-                        owner.append((names.setdefault(sources[row], len(names)), len(split)))
-                    distinct, codes = _coded(terms)
-                    held = np.repeat([o for o, _ in owner], [n for _, n in owner]).astype(np.int64)
-                    keys, times = np.unique(held * max(1, len(distinct)) + codes, return_counts=True)
-                    known = list(names)
-                    found = {
-                        (known[k // len(distinct)], distinct[k % len(distinct)]): n
-                        for k, n in zip(keys.tolist(), times.tolist())
-                    }
-                    yield rows_of(lang, found)
+            for part in slices(batch, 1, PART_BYTES):
+                for lang, short, long in _by_language(part):
+                    coded = part.column(2).take(pa.array(short, pa.int64())).dictionary_encode()
+                    terms, sizes = _split(part.column(1).take(pa.array(short, pa.int64())))
+                    held = np.repeat(coded.indices.to_numpy().astype(np.int64), sizes)
+                    yield counted(lang, terms, held, coded.dictionary)
+                    for row in long:
+                        for piece in _pieces(part.column(1)[row].as_buffer().to_pybytes()):
+                            terms = pa.array(piece, pa.binary()).cast(pa.string())
+                            yield counted(lang, terms, np.zeros(len(piece), np.int64), part.column(2).slice(row, 1))
 
     return count
 
@@ -293,15 +293,21 @@ def source_divergence(
     without terms has pairs; the only source of a language has none. An empty
     table gives an empty one.
     """
+    spark = docs.sparkSession
     rows = docs.select(*[
         F.coalesce(docs[c].cast("string"), F.lit("")).alias(n)
         for c, n in ((lang_col, "lang"), (text_col, "text"), (source_col, "source"))
     ])
     kept = kept_terms(rows, least)
     found = rows.mapInArrow(_occurrences(bits_of(kept, "lang", "term")), "lang string, source string, term string, n bigint")
-    counts = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    # The bit array lets a few other terms through; the join takes them out.
-    counts = written(counts.join(kept.select("lang", "term"), ["lang", "term"]), "term-counts")
+    # Dealt by language and term once, for the sums by source, the join and the
+    # sums of the language. The bit array lets a few other terms through; the
+    # join takes them out.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartition(parts, "lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    counts = dealt.join(kept.select("lang", "term"), ["lang", "term"])
+    whole = F.sum("n").over(Window.partitionBy("lang", "term")).alias("whole")
+    counts = written(counts.select("lang", "term", "source", "n", whole), "term-counts")
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = (
@@ -311,13 +317,12 @@ def source_divergence(
         .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept"))
     )
     groups = written(groups.withColumn("rest", _share("0L", "total", "kept")), "term-groups")
-    shares = counts.join(groups, ["lang", "source"]).select("lang", "source", "term", _share("n", "total", "kept").alias("p"))
+    by_lang = groups.groupBy("lang").agg(F.sum("total").alias("all"))
+    shares = counts.join(groups.join(by_lang, "lang"), ["lang", "source"]).select(
+        "lang", "source", "term", _share("n", "total", "kept").alias("p"), _share("whole", "all", "kept").alias("q")
+    )
     pairs = source_pairs(shares, groups).withColumn("part", F.lit("pair"))
-
-    by_lang = groups.groupBy("lang").agg(F.sum("total").alias("all"), F.max("kept").alias("kept"))
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(by_lang, "lang")
-    whole = whole.select("lang", "term", _share("n", "all", "kept").alias("q"))
-    own = shares.join(whole, ["lang", "term"]).filter("p > q")
+    own = shares.filter("p > q")
     own = own.select("lang", "source", F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value"), F.lit("term").alias("part"))
 
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
