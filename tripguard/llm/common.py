@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,20 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{what}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query run inside go when it is done."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage is cut there.
 
@@ -43,15 +58,8 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, what)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import shared_folder, table, written
+from tripguard.llm.common import shared_folder, shuffles_removed, table, written
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -159,11 +159,8 @@ def write_archive(
     """
     rows = records(captures(pages, id_col, url_col, payload_col, least_bytes), when)
     lines = rows.select(F.concat(F.lit(VERSION + CRLF), "record", F.lit(CRLF + "\r")).alias("value"))
-    (
-        lines.write.option("compression", compression)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .text(path)
-    )
+    with shuffles_removed(pages.sparkSession):
+        lines.write.option("compression", compression).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
