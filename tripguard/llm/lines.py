@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import free_name, table, written
+from tripguard.llm.common import discard, free_name, table, written
 from tripguard.llm.components import components
 
 # Characters of a shingle; a shorter line is one shingle.
 CHARS = 8
-BANDS, ROWS = 8, 3
+# Bands of least hashes for all lines, and for those of large buckets that are not all alike.
+BANDS, ROWS = 6, 3
+FINE_BANDS, FINE_ROWS = 24, 8
 SIMILARITY = 0.8
-# A shingle's hash is 32 bits; with the bits of one of these turned over, the
-# least of a line's hashes is that next to one of as many spread-out places.
-TURNED = [i * 0x9E3779B1 % (1 << 32) for i in range(1, BANDS * ROWS + 1)]
+# Lines of a bucket up to which all its pairs are compared.
+PAIRED = 16
+
+
+def turned(n: int) -> list[int]:
+    """A shingle's hash is 32 bits; with the bits of one of these turned over, the
+    least of a line's hashes is that next to one of as many spread-out places."""
+    return [i * 0x9E3779B1 % (1 << 32) for i in range(1, n + 1)]
 
 
 def normal_line(line: Column) -> Column:
@@ -35,58 +42,63 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
 
 
-def _shingles(line: str) -> Column:
-    """The runs of ``CHARS`` characters of a line in normal form, one from each character."""
-    runs = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % CHARS), F.lit(1))
-    return F.when(F.char_length(line) < CHARS, F.array(line)).otherwise(runs)
+# Four bytes a character, so that a shingle is cut out by its place alone.
+WIDE = "encode({0}, 'UTF-32')"
+PLACES = "sequence(0, greatest(char_length({0}) - %d, 0))" % CHARS
+SHINGLE = f"xxhash64(substring(w, 4 * i + 1, {4 * CHARS}))"
 
 
 def _grams(line: str) -> Column:
-    return F.array_distinct(_shingles(line))
+    """The distinct shingles of a line, one from each character, as 64-bit hashes."""
+    # The outer lambda holds the coded line, which the inner one would make anew for each place.
+    hashes = f"transform(array({WIDE}), w -> transform({PLACES}, i -> {SHINGLE}))[0]"
+    return F.array_distinct(F.expr(hashes.format(line)))
 
 
-def _signed(lines: DataFrame) -> DataFrame:
+def _signed(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(a, b, k0...)``: the distinct lines with their band keys instead of their text.
 
-    A band's key stands for three least hashes of the shingles. Repeats of a
+    A band's key stands for several least hashes of the shingles. Repeats of a
     line have the same, so one aggregate, with a partial step in the scan's
-    task, makes distinct lines and their signatures.
+    task, makes distinct lines and their signatures. No text is shuffled.
     """
-    rows = lines.select("a", "b", F.explode(_shingles("l")).alias("g"))
-    rows = rows.select("a", "b", F.xxhash64("g").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")).alias("h"))
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(c).cast("bigint"))).alias(f"m{i}") for i, c in enumerate(TURNED)]
-    signed = rows.groupBy("a", "b").agg(*least)
-    keys = [F.xxhash64(F.lit(i), *[f"m{i * ROWS + j}" for j in range(ROWS)]).alias(f"k{i}") for i in range(BANDS)]
+    coded = lines.selectExpr("a", "b", f"{WIDE} as w".format("l"), f"{PLACES} as at".format("l"))
+    hashes = coded.selectExpr("a", "b", "w", "explode(at) as i").selectExpr("a", "b", f"{SHINGLE} & 4294967295L as h")
+    least = [F.min(F.col("h").bitwiseXOR(F.lit(c).cast("bigint"))).alias(f"m{i}") for i, c in enumerate(turned(bands * rows))]
+    signed = hashes.groupBy("a", "b").agg(*least)
+    keys = [F.xxhash64(F.lit(i), *[f"m{i * rows + j}" for j in range(rows)]).alias(f"k{i}") for i in range(bands)]
     return signed.select("a", "b", *keys)
 
 
-def _shared_buckets(signed: DataFrame) -> DataFrame:
-    """``(k, a, lo, hi, n)``: entries of buckets of several lines, with the least and the greatest line and their number."""
-    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(BANDS)])).alias("k"), "a")
+def _shared_buckets(signed: DataFrame, bands: int = BANDS) -> DataFrame:
+    """``(k, a, lo, n)``: entries of buckets of several lines, with the least line and their number."""
+    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(bands)])).alias("k"), "a")
     ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return entries.join(ends.filter("lo != hi"), "k")
+    return entries.join(ends.filter("lo != hi").drop("hi"), "k")
 
 
-def _candidates(buckets: DataFrame) -> DataFrame:
-    """``(a, c)``: each distinct line of a band's bucket with its least and greatest line.
-
-    Two pairs per line and bucket, so a bucket may be of any size; buckets of
-    up to three lines give all their pairs. ``_open`` finds what larger ones lack.
-    """
-    paired = buckets.select("a", F.explode(F.array("lo", "hi")).alias("c"))
-    return paired.filter("a != c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("c")).distinct()
+def _star(buckets: DataFrame) -> DataFrame:
+    """``(a, c)``: each line of a bucket with its least one, so a bucket may be of any size."""
+    return buckets.filter("a != lo").select(F.col("lo").alias("a"), F.col("a").alias("c")).distinct()
 
 
-def _open(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(a, r)``: lines of buckets of more than three lines that are not all of one class yet, with their class."""
+def _mixed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(k, a, r, lo, n)``: entries of buckets whose lines are not all of one class yet, with their class."""
     known = classes.select(F.col("a").alias("a_"), "root")
-    large = buckets.filter("n > 3").select("k", "a").join(known, F.col("a") == F.col("a_"), "left")
-    large = large.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"))
-    mixed = large.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("k")
-    return large.join(mixed, "k", "left_semi").select("a", "r").distinct()
+    told = buckets.join(known, F.col("a") == F.col("a_"), "left")
+    told = told.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"), "lo", "n")
+    mixed = told.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("k")
+    return told.join(mixed, "k", "left_semi")
 
 
-def _prefix_pairs(lines: DataFrame, opened: DataFrame, similarity: float) -> DataFrame:
+def _across(mixed: DataFrame) -> DataFrame:
+    """``(a, c)``: the pairs of different classes in buckets of up to ``PAIRED`` lines."""
+    small = mixed.filter((F.col("n") > 2) & (F.col("n") <= PAIRED)).select("k", "a", "r")
+    other = small.toDF("k", "c", "r_")
+    return small.join(other, "k").filter("a < c and r != r_").select("a", "c").distinct()
+
+
+def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> DataFrame:
     """``(a, c)``: all pairs of open lines of different classes that can be similar enough, by prefix filter.
 
     A line's shingles are put in one order for all lines, the rarest first.
@@ -96,9 +108,9 @@ def _prefix_pairs(lines: DataFrame, opened: DataFrame, similarity: float) -> Dat
     lines of one template share comes last, so it makes no pairs.
     """
     least = lambda part, n: F.ceil(F.lit(part) * F.col(n) - 1e-9)
-    texts = lines.join(opened.select("a"), "a", "left_semi").groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
-    sets = texts.select("a", _grams("t.l").alias("g")).select("a", F.size("g").alias("n"), F.explode("g").alias("g"))
-    sets = written(sets.select("a", "n", F.xxhash64("g").alias("g")), "line-shingles")
+    lines = texts.join(opened.select("a").distinct(), "a", "left_semi")
+    sets = lines.select("a", _grams("l").alias("g")).select("a", F.size("g").alias("n"), F.explode("g").alias("g"))
+    sets = written(sets, "line-shingles")
     often = sets.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     ordered = sets.join(often, "g").groupBy("a", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
     first = ordered.select("a", "n", F.slice("o", F.lit(1), (F.col("n") - least(similarity, "n") + 1).cast("int")).alias("o"))
@@ -117,26 +129,24 @@ def _prefix_pairs(lines: DataFrame, opened: DataFrame, similarity: float) -> Dat
         & (F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) >= share)
     )
     pairs = posted.join(small, "g").filter(fits)
-    return pairs.select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("c")).distinct()
+    pairs = pairs.select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("c")).distinct()
+    out = written(pairs, "line-pairs")
+    discard(sets, posted)
+    return out
 
 
-def _similar(lines: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def _similar(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
 
-    Texts are dealt by their hash once; a pair meets its first text there, and
-    takes that along to the second. The counts are written before they are
-    filtered by: a filter pushed below them would count again for each mention.
+    A pair meets its first text, and takes that along to the second. The counts
+    are written before they are filtered by: a filter pushed below them would
+    count again for each mention.
     """
-    texts = lines.groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
-    left = texts.select("a", F.col("t").alias("t1"))
-    right = texts.select(F.col("a").alias("c"), F.col("t").alias("t2"))
-    both = pairs.join(left, "a").join(right, "c")
-    sets = both.select(
-        "a", F.col("t1.b").alias("b1"), _grams("t1.l").alias("g1"), "c", F.col("t2.b").alias("b2"), _grams("t2.l").alias("g2")
-    )
+    left = texts.select("a", F.col("b").alias("b1"), F.col("l").alias("l1"))
+    right = texts.select(F.col("a").alias("c"), F.col("b").alias("b2"), F.col("l").alias("l2"))
+    sets = pairs.join(left, "a").join(right, "c").select("a", "b1", _grams("l1").alias("g1"), "c", "b2", _grams("l2").alias("g2"))
     shared = F.size(F.array_intersect("g1", "g2"))
-    total = F.size("g1") + F.size("g2")
-    counts = written(sets.select("a", "b1", "c", "b2", shared.alias("n"), total.alias("m")), "line-counts")
+    counts = written(sets.select("a", "b1", "c", "b2", shared.alias("n"), (F.size("g1") + F.size("g2")).alias("m")), "line-counts")
     return counts.filter(F.col("n") >= similarity * (F.col("m") - F.col("n"))).select(
         _node("a", "b1").alias("u"), _node("c", "b2").alias("v")
     )
@@ -152,20 +162,48 @@ def _classes(links: DataFrame) -> DataFrame:
     return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
 
 
-def line_classes(lines: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def line_classes(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(a, b, root)`` of distinct lines that are near copies of others, by class.
 
-    A first pass compares the lines of a bucket with two of them. Lines of
-    large buckets that it leaves in different classes are then joined exactly.
+    Each line of a bucket is compared with its least one first. Buckets that
+    are still of several classes then compare all pairs across them, up to
+    ``PAIRED`` lines; larger ones are split by bands of more least hashes, which
+    lines of one template seldom share, and go the same way. What is of several
+    classes in a large bucket even then is joined by a prefix filter. Only the
+    texts of lines that share a bucket are moved, once.
     """
-    buckets = written(_shared_buckets(signed), "line-buckets")
-    links = _similar(lines, written(_candidates(buckets), "line-pairs"), similarity)
-    classes = _classes(links)
-    opened = written(_open(buckets, classes), "line-open")
-    if opened.isEmpty():
-        return classes
-    pairs = written(_prefix_pairs(lines, opened, similarity), "line-pairs")
-    return _classes(links.union(_similar(lines, pairs, similarity)))
+    keys = written(_signed(lines), "line-keys")
+    buckets = written(_shared_buckets(keys), "line-buckets")
+    discard(keys)
+    near = lines.join(buckets.select("a").distinct(), "a", "left_semi").groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
+    texts = written(near.select("a", "t.b", "t.l"), "line-texts")
+    links = _similar(texts, _star(buckets), similarity)
+    classes = written(_classes(links), "line-classes")
+    mixed = written(_mixed(buckets, classes), "line-mixed")
+    discard(buckets)
+    pairs = _across(mixed)
+    opened = mixed.filter(F.col("n") > PAIRED)
+    fine = None
+    if not opened.isEmpty():
+        keys = written(_signed(texts.join(opened.select("a").distinct(), "a", "left_semi"), FINE_BANDS, FINE_ROWS), "line-keys")
+        fine = written(_shared_buckets(keys, FINE_BANDS), "line-buckets")
+        discard(keys)
+        finer = _mixed(fine, classes)
+        pairs = pairs.union(_across(finer)).union(_star(finer.filter(F.col("n") > PAIRED)))
+        # Buckets of two lines are all star.
+        pairs = pairs.union(_star(finer.filter("n = 2"))).distinct()
+    pairs = written(pairs, "line-pairs")
+    if not pairs.isEmpty():
+        links = links.union(_similar(texts, pairs, similarity))
+        classes = written(_classes(links), "line-classes")
+        if fine is not None:
+            left = written(_mixed(fine.filter(F.col("n") > PAIRED), classes).select("a", "r").distinct(), "line-open")
+            if not left.isEmpty():
+                links = links.union(_similar(texts, _prefix_pairs(texts, left, similarity), similarity))
+                classes = written(_classes(links), "line-classes")
+            discard(left)
+    discard(texts, mixed, pairs, *([fine] if fine is not None else []))
+    return classes
 
 
 def dropped_lines(
@@ -178,7 +216,7 @@ def dropped_lines(
     """
     texts = _lines(docs, id_col, text_col)
     lines = written(texts.select("d", "s", "p", "a", "b"), "lines")
-    near = line_classes(texts, written(_signed(texts), "line-keys"), similarity)
+    near = line_classes(texts, similarity)
     again = (
         lines.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -206,11 +244,11 @@ def dedup_lines(
 
     Lines are compared in lower case and with single spaces. A line's shingles
     are its runs of ``CHARS`` characters, one from each character. Near copies share
-    at least ``similarity`` of their distinct shingles (Jaccard). Eight bands of
+    at least ``similarity`` of their distinct shingles (Jaccard). Six bands of
     three least hashes each find a pair at the threshold with a chance of over
-    0.99; a bucket's lines are verified exactly against two of its lines, and
-    lines of large buckets that are in different classes then against all that
-    a prefix filter leaves; links are joined by a distributed union-find.
+    0.98, a pair at 0.85 with one of over 0.99; ``line_classes`` says which lines
+    of a bucket are compared. All links are verified on the sets of shingles
+    and joined by a distributed union-find.
 
     Blank lines always stay; a null text stays null. Rows of one id and one
     text count as one document. ``counts`` names two more columns, for the
@@ -224,7 +262,9 @@ def dedup_lines(
     )
     split = F.split(text, "\n")
     place = gone[names[2]]
-    kept = F.array_join(F.filter(split, lambda line, i: ~F.array_contains(place, i)), "\n")
+    # A set's difference, since a look at all dropped lines for each line would square a long text.
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), place)
+    kept = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
     columns = [
         F.when(place.isNotNull(), kept).otherwise(docs[text_col]).alias(c) if c == text_col else docs[c]
         for c in docs.columns
