@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripguard.operators import reports
-from tripguard.operators.staging import SAMPLE_COLUMNS, SAMPLE_ORDER, sample_rows
+from tripguard.operators.staging import SAMPLE_COLUMNS, SAMPLE_ORDER, first_rows_by_year
 
 # Fields of a narrative by pain point.
 NARRATIVE_SHAPES = {
@@ -122,7 +122,7 @@ def report_payloads(
     Every document holds months, loads of a year's months, or the first few
     sample rows of a year, so none grows with the trips. The load log is split
     by year of the month loaded. ``scores`` should be a table or checkpoint: it
-    has a row per month, seven documents read it, and its years are listed.
+    has a row per month, and seven documents read it.
     """
     whole = [F.lit(None).cast("int").alias("data_year")]
     yearly = [F.col("data_year")]
@@ -135,12 +135,7 @@ def report_payloads(
     loads = lineage.withColumn("data_year", load_year)
     changes = evolution.withColumn("data_year", load_year)
 
-    # A sort with a limit per year keeps that many rows a task; no year is sorted.
-    years = sorted(r["data_year"] for r in scores.select("data_year").distinct().collect())
-    samples = [
-        sample_rows(staged, year, rows_shown).withColumn("data_year", F.lit(year)) for year in years
-    ]
-    sample = reduce(lambda a, b: a.unionByName(b), samples) if samples else staged.limit(0)
+    sample = first_rows_by_year(staged, rows_shown)
     shown = _document(sample, yearly, "business_context", SAMPLE_ORDER, SAMPLE_COLUMNS)
     points = F.explode(F.array(F.lit("business_context"), F.lit("coverage_gaps")))
     lineage_fields = [
