@@ -91,6 +91,40 @@ def test_requests_reach_the_mart(spark, lake):
     assert spark.read.parquet(f"{root}/audit_log").count() == 2
 
 
+def test_a_new_month_rewrites_only_what_it_changes(spark, lake):
+    """One month of 81 comes last; the tables are then those of a whole run."""
+    root, paths, _ = lake
+    last = max(p[-15:-8] for p in paths)
+    at = lambda t: spark.read.parquet(f"{root}/{t}")
+    late = tuple(map(int, last.split("-")))
+    sizes, months = f"{root}/class_sizes", len(paths)
+    try:
+        # As if the last month had never been there.
+        counts = at("class_counts").filter(~((F.col("data_year") == late[0]) & (F.col("data_month") == late[1])))
+        earlier = pipeline.risk.merge_class_counts(spark.createDataFrame(counts.collect(), counts.schema))
+        tables.replace(earlier, sizes)
+        trips = [f"{root}/{t}" for t in ("consented_trips", "reidentification_risk", "mart_ml_safe", "mart_analytics_safe")]
+        for path in trips:
+            tables.remove_months(spark, path, [late])
+        before = {p: set(at(p[len(root) + 1 :]).inputFiles()) for p in trips}
+        done = pipeline.publish(spark, root, "2024-06-01 00:00:00", SALT, keyed=False, months=[last])
+        assert last in done and len(done) < months
+        kept = {f for f in before[trips[0]] if f in set(at("consented_trips").inputFiles())}
+        assert {tuple(int(x.split("=")[1]) for x in f.split("/")[-3:-1]) for f in kept}.isdisjoint(
+            {tuple(map(int, m.split("-"))) for m in done}
+        ) and kept
+        now = at("class_sizes")
+        told = {t: rows(at(t), ("k_anonymity", "minimum_trip_k", "scored_at", "aggregated_at")) for t in map(lambda p: p.rsplit("/", 1)[1], trips)}
+        exact = rows(pipeline.risk.with_current_k(at("reidentification_risk"), now), ("scored_at",))
+        assert at("reidentification_risk").join(
+            pipeline.risk.with_current_k(at("reidentification_risk"), now).select("trip_id", F.col("k_anonymity").alias("now")), "trip_id"
+        ).filter("k_anonymity > now").isEmpty()
+    finally:
+        assert pipeline.publish(spark, root, "2024-06-01 00:00:00", SALT, keyed=False) is None
+    assert exact == rows(at("reidentification_risk"), ("scored_at",))
+    assert told == {t: rows(at(t), ("k_anonymity", "minimum_trip_k", "scored_at", "aggregated_at")) for t in told}
+
+
 @pytest.fixture
 def small_lake(spark, tmp_path):
     """Six trips in one class and one alone, of two months four years apart, and a month of none."""

@@ -113,15 +113,17 @@ def consented_trips(
     asked: DataFrame | None = None,
     consents: DataFrame | None = None,
     consents_as_of: str | None = None,
+    months: list[str] | None = None,
+    sizes: str | None = None,
 ) -> DataFrame:
-    """Identified trips with k, consent and privacy requests applied.
+    """Identified trips with k, consent and privacy requests applied, of the months given or all.
 
     ``consents`` is a consent history, of which records in effect by
     ``consents_as_of`` count; without it the flags are drawn.
     """
     at = Layout(root)
-    trips = spark.read.parquet(at.identified_trips).select(*CONSENTED_COLUMNS)
-    scored = risk.with_k(trips, classes=spark.read.parquet(at.class_sizes))
+    trips = _in_months(spark.read.parquet(at.identified_trips), months).select(*CONSENTED_COLUMNS)
+    scored = risk.with_k(trips, classes=spark.read.parquet(sizes or at.class_sizes))
     if asked is not None:
         scored = requests.exclude_erased(scored, asked)
     if consents is None:
@@ -142,6 +144,24 @@ def _class_sizes(spark: SparkSession, root: str, asked: DataFrame | None) -> Dat
     return risk.subtract_classes(sizes, risk.equivalence_classes(gone))
 
 
+def months_to_redo(spark: SparkSession, root: str, months: list[str], sizes: str) -> list[str]:
+    """``months``, and those with a trip of a class that the new sizes put at another risk level."""
+    at = Layout(root)
+    changed = risk.changed_classes(spark.read.parquet(at.class_sizes), spark.read.parquet(sizes))
+    counts = spark.read.parquet(at.class_counts).select("data_year", "data_month", *risk.QUASI_IDENTIFIERS)
+    touched = risk.join_classes(counts, changed, risk.QUASI_IDENTIFIERS, [])
+    return sorted({*months, *(f"{y}-{m:02d}" for y, m in tables.months_in(touched))})
+
+
+def _store(rows: DataFrame, path: str, months: list[str] | None) -> None:
+    """Replace a monthly table, or only these months of it."""
+    if months is None:
+        tables.replace(rows, path, monthly=True)
+        return
+    gone = {tuple(map(int, m.split("-"))) for m in months} - tables.months_in(rows)
+    tables.overwrite_months(rows, path, shuffled=True, emptied=gone)
+
+
 def publish(
     spark: SparkSession,
     root: str,
@@ -151,25 +171,40 @@ def publish(
     consents: DataFrame | None = None,
     as_of: str | None = None,
     keyed: bool = True,
-) -> None:
+    months: list[str] | None = None,
+) -> list[str] | None:
     """Consented trips, risk table, PII inventory and both marts.
 
     The class sizes are written first: their size on disk then decides whether
     the join with the trips broadcasts them. Trips are joined once, into the
     table of consented trips; risk table, marts and checks read that by month.
     ``salt`` is a secret of the publisher; ``keyed`` uses it as an HMAC key.
+
+    ``months`` are all that has changed since the last time with the same salt.
+    Only they, and the months with a trip of a class that has crossed a risk
+    level or lost a record, are then written again; they are returned. In all
+    others every row is where a whole run would put it, with the same flags and
+    level; ``k_anonymity`` there is the size when it was written, which is at
+    most the present one in ``class_sizes`` (``risk.with_current_k``). The new
+    sizes replace the old ones last, so a run that fails is repeated in full.
+    Requests, a consent ledger and retention reach any month: with one of them
+    everything is written.
     """
     at = Layout(root)
     now = F.lit(run_ts).cast("timestamp")
-    tables.replace(_class_sizes(spark, root, asked), at.class_sizes)
-    flagged = consented_trips(spark, root, asked, consents, run_ts)
-    tables.replace(flagged, at.consented_trips, monthly=True)
-    consented = tables.load(spark, at.consented_trips)
-    tables.replace(
-        risk.risk_table(consented).withColumn("scored_at", now),
-        at.reidentification_risk,
-        monthly=True,
-    )
+    sizes = _class_sizes(spark, root, asked)
+    whole = months is None or asked is not None or consents is not None or as_of is not None
+    if whole:
+        months, path = None, at.class_sizes
+        tables.replace(sizes, path)
+    else:
+        path = at.class_sizes_next
+        tables.replace(sizes, path)
+        months = months_to_redo(spark, root, months, path)
+    flagged = consented_trips(spark, root, asked, consents, run_ts, months, path)
+    _store(flagged, at.consented_trips, months)
+    consented = _in_months(tables.load(spark, at.consented_trips), months)
+    _store(risk.risk_table(consented).withColumn("scored_at", now), at.reidentification_risk, months)
     inventory = policy.pii_inventory(
         policy.columns_frame(spark, {IDENTIFIED: stage(read_trips(spark, root)).columns})
     )
@@ -179,11 +214,12 @@ def publish(
     if as_of is not None:
         rows = retention.expire_features(rows, as_of)
     marts.assert_no_forbidden_columns(rows)
-    tables.replace(rows, at.mart_ml_safe, monthly=True)
+    _store(rows, at.mart_ml_safe, months)
     cells = marts.analytics_safe(consented)
-    tables.replace(
-        cells.withColumn("aggregated_at", now), at.mart_analytics_safe, monthly=True
-    )
+    _store(cells.withColumn("aggregated_at", now), at.mart_analytics_safe, months)
+    if not whole:
+        tables.replace(spark.read.parquet(path), at.class_sizes)
+    return months
 
 
 def answer_requests(spark: SparkSession, root: str, asked: DataFrame, record: list[str]) -> DataFrame:
@@ -257,6 +293,7 @@ def run(
     consents: DataFrame | None = None,
     as_of: str | None = None,
     keyed: bool = True,
+    incremental: bool = False,
 ) -> DataFrame:
     """Everything after ingest; returns the checks report.
 
@@ -264,7 +301,8 @@ def run(
     and withdrawals reach everything published. ``as_of`` applies the three
     retention windows: months whose precise times have passed the raw window
     since the last run are done again, old features leave the mart, and old
-    audit events go to the archive.
+    audit events go to the archive. ``incremental`` publishes only what
+    ``months`` change (see ``publish``).
     """
     prepare(spark)
     if as_of is not None and months is not None:
@@ -273,7 +311,7 @@ def run(
     score(spark, root, run_ts)
     if asked is not None:
         tables.replace(answer_requests(spark, root, asked, RECORD_COLUMNS), Layout(root).request_outcomes)
-    publish(spark, root, run_ts, salt, asked, consents, as_of, keyed)
+    publish(spark, root, run_ts, salt, asked, consents, as_of, keyed, months if incremental else None)
     if as_of is not None:
         archive_audit(spark, root, as_of)
     report(spark, root)
