@@ -272,3 +272,62 @@ def test_a_class_with_a_third_of_all_rows_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+CLASS = "pu_location_id int, do_location_id int, pickup_hour long, pickup_day_of_week long"
+
+
+def test_changed_classes_are_those_that_cross_a_level_or_shrink(spark):
+    pairs = [(0, 1), (1, 1), (1, 2), (2, 4), (4, 5), (5, 14), (14, 15), (15, 99), (99, 98), (3, 0), (None, 6)]
+    old = [(i if i else None, 1, 8, 1, before) for i, (before, _) in enumerate(pairs) if before]
+    new = [(i if i else None, 1, 8, 1, after) for i, (_, after) in enumerate(pairs) if after]
+    frames = [spark.createDataFrame(x, f"{CLASS}, k_anonymity long") for x in (old, new)]
+    found = {r["pu_location_id"] for r in risk.changed_classes(*frames).collect()}
+    assert found == {2, 4, 6, 8, 9, 10}
+
+
+def test_least_generalisation_prunes_above_what_will_do(spark):
+    from itertools import product
+
+    def search(rows, **options):
+        classes = spark.createDataFrame(rows, f"{CLASS}, k_anonymity long")
+        return sorted(tuple(r) for r in risk.least_generalisation(classes, **options).collect())
+
+    large = [(z, z, h, 2, 9) for z in (1, 2, 30) for h in (1, 9)]
+    assert search(large) == [(0, 0, 0, 54, 6, 0, 9)]
+    # One trip alone: zones of three, or all hours, or neither but one class.
+    assert search([*large, (0, 0, 1, 2, 1)]) == [(1, 0, 0, 55, 4, 0, 9)]
+    assert search([*large, (0, 0, 1, 2, 1)], most_at_risk=0.5) == [(0, 0, 0, 55, 7, 1, 1)]
+    assert search([(None, None, 1, 1, 1), (None, 4, 2, 7, 3)]) == []
+    assert search([]) == []
+    rows = [(z, z + 1, h, w, 1 + (z * h + w) % 5) for z, h, w in product(range(4), range(0, 24, 5), range(1, 8, 2))]
+    nodes = {tuple(r[:3]) for r in search(rows, most_at_risk=0.1)}
+    assert nodes and not any(a != b and all(x <= y for x, y in zip(a, b)) for a, b in product(nodes, nodes))
+
+
+def test_class_diversity(spark):
+    import math
+
+    trips = [(1, 1, 8, 1, 1, 5.0)] * 3 + [(1, 1, 8, 1, 2, 5.0)] + [(2, 2, 8, 1, None, None)] * 4
+    frame = spark.createDataFrame(trips, f"{CLASS}, payment_type long, fare_amount double")
+    found = {r["pu_location_id"]: r for r in risk.class_diversity(risk.class_histograms(frame)).collect()}
+    one, two = found[1], found[2]
+    assert (one["k_anonymity"], one["distinct_values"], one["largest_value"]) == (4, 2, 3)
+    assert one["entropy_l"] == round(math.exp(-(0.75 * math.log(0.75) + 0.25 * math.log(0.25))), 6)
+    assert one["distance"] == two["distance"] == 0.5 and two["entropy_l"] == 1.0
+    assert risk.class_diversity(risk.class_histograms(frame.limit(0))).count() == 0
+
+
+def test_first_rows_of_each_year_equal_the_years_samples(spark):
+    from tripguard.plans import driver_tables
+    from tripguard.operators import staging
+
+    staged = driver_tables.kept(driver_tables.staged(spark, "/root/testdata/sf0.001"))
+    first = staging.first_rows_by_year(staged, 7)
+    years = [r["data_year"] for r in staging.loaded_years(staged).collect()]
+    assert len(years) == 8 and first.count() == 7 * len(years)
+    for year in years[:3]:
+        want = sorted(map(repr, staging.sample_rows(staged, year, 7).collect()))
+        assert sorted(map(repr, first.filter(f"data_year = {year}").select(*staging.SAMPLE_COLUMNS).collect())) == want
+    plan = staging.first_rows_by_year(driver_tables.staged(spark, "/root/testdata/sf0.001"), 7)._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2

@@ -128,6 +128,10 @@ def generalisation_impact(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def class_diversity(spark: SparkSession, sf: str) -> DataFrame:
+    return risk.class_diversity(risk.class_histograms(risk.with_time_parts(d.staged(spark, sf))))
+
+
 FLAGS = ["trip_id", *consent.CONSENT_COLUMNS]
 
 
@@ -201,14 +205,22 @@ def dsr_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checks_report(spark: SparkSession, sf: str) -> DataFrame:
-    consented = d.kept(_consented(spark, sf))
+    # Trips are unified once for the risk side and once for a row per month,
+    # which quality and trust share; only columns that are checked are kept.
+    consented = _consented(spark, sf)
+    checked = [*risk.RISK_COLUMNS, *consent.CONSENT_COLUMNS, "consent_source"]
+    blank = {c: F.lit(None).cast(t) for c, t in consented.dtypes if c not in checked}
+    narrow = d.kept(consented.select(*checked)).withColumns(blank)
+    trips = d.unified(spark, sf)
+    metrics = d.kept(quality.quality_metrics(d.staged_of(trips)))
+    last = evolution.latest_evolution(evolution.schema_evolution(d.lineage(trips)))
     return checks.checks_report(
         _inventory(spark, sf),
-        consented,
-        marts.ml_safe(consented),
-        marts.analytics_safe(consented),
-        _quality(spark, sf),
-        _trust(spark, sf),
+        narrow,
+        marts.ml_safe(narrow),
+        marts.analytics_safe(narrow),
+        metrics,
+        trust.trust_scores(metrics, last),
     )
 
 
@@ -291,6 +303,8 @@ QUERIES: dict[str, Query] = {
     "min_k_pivot": lambda s, sf: risk.min_k_pivot(_classes(s, sf)),
     "suppress_outliers": suppress_outliers,
     "generalisation_impact": generalisation_impact,
+    "least_generalisation": lambda s, sf: risk.least_generalisation(d.kept(_classes(s, sf))),
+    "class_diversity": class_diversity,
     "consent_flags": lambda s, sf: consent.with_drawn_consent(d.identified(s, sf)).select(
         *FLAGS, "consent_source"
     ),
