@@ -331,3 +331,37 @@ def test_first_rows_of_each_year_equal_the_years_samples(spark):
         assert sorted(map(repr, first.filter(f"data_year = {year}").select(*staging.SAMPLE_COLUMNS).collect())) == want
     plan = staging.first_rows_by_year(driver_tables.staged(spark, "/root/testdata/sf0.001"), 7)._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+@pytest.mark.parametrize("bucket", ["day", "hour", "year"])
+def test_consent_in_force_equals_a_look_through_each_history(spark, bucket):
+    """A third of all rows are of one subject; times tie, records expire, some rows have no subject or time."""
+    from datetime import datetime, timedelta
+
+    rng = random.Random(4)
+    who = lambda: rng.choice([0, 0, 0, rng.randrange(1, 9), rng.randrange(1, 9), None])
+    when = lambda: datetime(2024, 1, 1) + timedelta(hours=rng.randrange(0, 24 * 40, 6))
+    categories = ["ml_training", "analytics", "operational", "other"]
+    records = []
+    for _ in range(250):
+        start = when()
+        until = start + timedelta(hours=rng.randrange(200)) if rng.random() < 0.4 else None
+        records.append((who(), rng.choice(categories), rng.choice([True, True, False, None]), start, until))
+    trips = [(i, who(), when() if i % 11 else None) for i in range(300)]
+    ledger = spark.createDataFrame(records, "rider long, category string, status boolean, effective_at timestamp, expires_at timestamp")
+    frame = spark.createDataFrame(trips, "i long, rider long, t timestamp")
+    found = consent.consent_in_force(frame, ledger, "rider", "t", bucket)
+    want = []
+    for i, rider, t in trips:
+        flags = []
+        for c in categories[:3]:
+            known = [r for r in records if rider is not None and t and r[0] == rider and r[1] == c and r[3] <= t]
+            newest = max((r[3] for r in known), default=None)
+            last = [r for r in known if r[3] == newest]
+            flags.append(all(r[2] and (r[4] is None or r[4] > t) for r in last) if last else c == "operational")
+        want.append((i, rider, t, *flags))
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, want))
+    assert found.columns == ["i", "rider", "t", *consent.CONSENT_COLUMNS]
+    assert sum(f[3] for f in want) > 30
+    assert consent.consent_in_force(frame.limit(0), ledger, "rider", "t").count() == 0
+    assert consent.consent_in_force(frame, ledger.limit(0), "rider", "t").filter("consent_analytics").count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripguard.functions import unit_draw
@@ -75,3 +75,66 @@ def with_consent_table(trips: DataFrame, records: DataFrame, as_of: str | None =
             "consent_source": F.lit(TABLE_SOURCE),
         }
     )
+
+
+def consent_in_force(
+    trips: DataFrame, records: DataFrame, subject: str, at: str, bucket: str = "day"
+) -> DataFrame:
+    """Flags from a consent history as it stood at the time ``at`` of each trip.
+
+    ``records`` has the subject, category, status, effective_at and maybe
+    expires_at. Of a category's records in effect by then the latest counts;
+    with equal times a refusal wins, and one that has expired by then refuses.
+    Without a record, or a time, or a subject, there is no consent but to
+    operations.
+
+    A subject's history is cut into buckets of time. What a bucket begins with
+    comes from one row per subject and bucket; inside it, records and trips are
+    put in order. So a subject with any number of trips and records is spread
+    over as many groups as its history has days.
+    """
+    rows = trips.withColumn("_row", F.struct(*trips.columns)).select(
+        F.col(subject).alias("_s"), F.col(at).cast("timestamp").alias("_t"), "_row"
+    )
+    default = {c: F.lit(c == "operational") for c in OPT_IN_RATES}
+    dated = F.col("_s").isNotNull() & F.col("_t").isNotNull()
+    if "expires_at" not in records.columns:
+        records = records.withColumn("expires_at", F.lit(None).cast("timestamp"))
+    told = records.select(
+        F.col(subject).alias("_s"),
+        F.col("effective_at").cast("timestamp").alias("_t"),
+        "category",
+        F.coalesce("status", F.lit(False)).alias("ok"),
+        F.col("expires_at").cast("timestamp").alias("until"),
+    ).filter(dated & F.col("category").isin(list(OPT_IN_RATES)))
+    # Records of one moment are one: it refuses if any does, and ends with the first.
+    told = told.groupBy("_s", "_t", "category").agg(F.min("ok").alias("ok"), F.min("until").alias("until"))
+    state = F.struct("_t", "ok", "until")
+    states = told.groupBy("_s", "_t").agg(*[F.max(F.when(F.col("category") == c, state)).alias(c) for c in OPT_IN_RATES])
+    day = F.date_trunc(bucket, "_t").alias("_b")
+    states = states.select("_s", day, "_t", *OPT_IN_RATES)
+    nothing = [F.lit(None).cast(states.schema[c].dataType).alias(c) for c in OPT_IN_RATES]
+    there = rows.filter(dated).select("_s", day, "_t", "_row")
+
+    buckets = states.drop("_t").unionByName(there.select("_s", "_b", *nothing).distinct())
+    ends = buckets.groupBy("_s", "_b").agg(*[F.max(c).alias(c) for c in OPT_IN_RATES])
+    before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_s", "_b", *[F.max(c).over(before).alias(c) for c in OPT_IN_RATES])
+
+    blank = F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")
+    line = (
+        carried.select("_s", "_b", F.col("_b").alias("_t"), F.lit(0).alias("_k"), *OPT_IN_RATES, blank)
+        .unionByName(states.select("_s", "_b", "_t", F.lit(0).alias("_k"), *OPT_IN_RATES, blank))
+        .unionByName(there.select("_s", "_b", "_t", F.lit(1).alias("_k"), *nothing, "_row"))
+    )
+    upto = Window.partitionBy("_s", "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    known = line.select("_t", "_k", "_row", *[F.max(c).over(upto).alias(c) for c in OPT_IN_RATES]).filter("_k = 1")
+    flags = {
+        c: F.when(
+            F.col(c).isNotNull(), F.col(f"{c}.ok") & (F.col(f"{c}.until").isNull() | (F.col(f"{c}.until") > F.col("_t")))
+        ).otherwise(default[c])
+        for c in OPT_IN_RATES
+    }
+    with_history = known.select("_row.*", *[flag.alias(f"consent_{c}") for c, flag in flags.items()])
+    others = rows.filter(~dated).select("_row.*", *[default[c].alias(f"consent_{c}") for c in OPT_IN_RATES])
+    return with_history.unionByName(others)

@@ -256,6 +256,17 @@ def consent_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def consent_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of ``consent_records`` by user, for all trips of a user."""
+    return table(spark, sf_dir, "events").filter("event_type in ('signup', 'purchase')").selectExpr(
+        "user_id",
+        "if(event_id % 2 = 0, 'ml_training', 'analytics') as category",
+        "value > 10.0D as status",
+        "ts as effective_at",
+        "if(event_id % 5 = 0, ts + make_dt_interval(5), null) as expires_at",
+    )
+
+
 # A text per pain point; <u> stands for the user and <d> for the day.
 NARRATIVE_TEXTS = {
     "lineage": '{"source_system": "depot <u>", "business_process": "rides", "ingestion_summary": "day <d>"}',

@@ -695,6 +695,22 @@ both_k AS (
   FROM ident)
 SELECT *, {_level('k_before')} AS risk_before, {_level('k_after')} AS risk_after FROM both_k""",
     "consent_flags": CONSENT + "\nSELECT * FROM consent",
+    "consent_in_force": """
+WITH rec AS (
+  SELECT user_id, CASE WHEN event_id % 2 = 0 THEN 'ml_training' ELSE 'analytics' END AS category, ts AS since,
+    value > 10.0::DOUBLE AS ok, CASE WHEN event_id % 5 = 0 THEN ts + INTERVAL 5 DAY END AS until
+  FROM events WHERE event_type IN ('signup', 'purchase')),
+seen AS (
+  SELECT e.event_id, r.*, e.ts, max(since) OVER (PARTITION BY e.event_id, category) AS newest
+  FROM events e JOIN rec r ON r.user_id = e.user_id AND r.since <= e.ts),
+told AS (
+  SELECT event_id, category, bool_and(ok AND (until IS NULL OR until > ts)) AS ok
+  FROM seen WHERE since = newest GROUP BY event_id, category)
+SELECT e.event_id, e.user_id, e.ts,
+  coalesce((SELECT ok FROM told t WHERE t.event_id = e.event_id AND category = 'ml_training'), false) AS consent_ml_training,
+  coalesce((SELECT ok FROM told t WHERE t.event_id = e.event_id AND category = 'analytics'), false) AS consent_analytics,
+  true AS consent_operational
+FROM events e""",
     "consent_joined": CONSENT + "\nSELECT * FROM consented",
     "consent_table_joined": REQUESTS + """,
 records AS (

@@ -151,6 +151,12 @@ def consent_table_joined(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def consent_in_force(spark: SparkSession, sf: str) -> DataFrame:
+    """Users' trips, which are the events, with the consent of their time."""
+    trips = d.table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return consent.consent_in_force(trips, d.consent_history(spark, sf), "user_id", "ts")
+
+
 def privacy_transform(spark: SparkSession, sf: str) -> DataFrame:
     trips = d.identified(spark, sf).select(
         "trip_id", "source_file", "pickup_at", "dropoff_at", *policy.PRECISE_LOCATION,
@@ -310,6 +316,7 @@ QUERIES: dict[str, Query] = {
     ),
     "consent_joined": consent_joined,
     "consent_table_joined": consent_table_joined,
+    "consent_in_force": consent_in_force,
     "mart_ml_safe": lambda s, sf: marts.ml_safe(_consented(s, sf)),
     "mart_analytics_safe": lambda s, sf: marts.analytics_safe(_consented(s, sf)),
     "privacy_transform": privacy_transform,
