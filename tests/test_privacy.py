@@ -365,3 +365,41 @@ def test_consent_in_force_equals_a_look_through_each_history(spark, bucket):
     assert sum(f[3] for f in want) > 30
     assert consent.consent_in_force(frame.limit(0), ledger, "rider", "t").count() == 0
     assert consent.consent_in_force(frame, ledger.limit(0), "rider", "t").filter("consent_analytics").count() == 0
+
+
+def test_no_hidden_cell_can_be_subtracted_from_a_total(spark):
+    rng = random.Random(6)
+    rows = []
+    for month in (1, 2, 3):
+        for zone in [None, *range(4)]:
+            for other in range(4):
+                for hour in rng.sample(range(24), 3 if month < 3 else 1):
+                    rows.append((2024, month, zone, other, hour, rng.choice([1, 3, 4, 5, 8, 30, 60, 90])))
+    rows.append((2025, 1, 1, 1, 1, 2))
+    schema = "data_year int, data_month int, pickup_zone_id int, dropoff_zone_id int, pickup_hour long, trip_count long"
+    cells = spark.createDataFrame(rows, schema).withColumn("hidden", F.when(F.col("trip_count") < 5, "primary"))
+    assert marts.recoverable_cells(cells).count() > 5
+    kept = marts.protect_cells(cells)
+    found = {tuple(r)[:5]: r for r in kept.collect()}
+    assert len(found) == len(rows) and all((r["hidden"] == "primary") == (r["trip_count"] < 5) for r in found.values())
+    totals = {tuple(r)[:4]: r["trip_count"] for r in marts.line_totals(kept).collect()}
+    places = {"pickup_zone": 2, "dropoff_zone": 3, "hour": 4}
+    known = {c: r["trip_count"] for c, r in found.items() if r["hidden"] is None}
+    assert 0 < len(known) < sum(r[5] >= 5 for r in rows)
+    before = dict(known)
+    while True:  # what anyone can do with the published cells and totals
+        solved = {}
+        for (year, month, kind, key), total in totals.items():
+            line = [c for c in found if c[:2] == (year, month) and (None if c[places[kind]] is None else str(c[places[kind]])) == key]
+            open_ = [c for c in line if c not in known]
+            if total is not None and len(open_) == 1:
+                solved[open_[0]] = total - sum(known[c] for c in line if c in known)
+        if not solved:
+            break
+        known |= solved
+    assert known == before
+    for year, month, kind in {k[:3] for k in totals}:
+        line = [t for k, t in totals.items() if k[:3] == (year, month, kind)]
+        assert line.count(None) != 1 or len(line) == 1
+    assert totals[2025, 1, "hour", "1"] is None and any(t is not None for t in totals.values())
+    assert marts.protect_cells(cells.limit(0)).count() == 0

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripguard.functions import keyed_pseudonym, rnd
+from tripguard.session import ensure_checkpoint_dir
 
 MIN_CELL = 5
 # Suffix of the pseudonym, and columns no mart may show.
@@ -67,6 +68,83 @@ def analytics_safe(consented: DataFrame, min_cell: int = MIN_CELL) -> DataFrame:
     ).filter(F.col("trip_count") >= min_cell)
 
 
+CELL = ["data_year", "data_month", "pickup_zone_id", "dropoff_zone_id", "pickup_hour"]
+# Totals of a month that are published beside the cells: each is a line of cells.
+LINES = {"pickup_zone": "pickup_zone_id", "dropoff_zone": "dropoff_zone_id", "hour": "pickup_hour"}
+HIDDEN, PRIMARY, SECONDARY = "hidden", "primary", "secondary"
+
+
+def all_cells(consented: DataFrame, min_cell: int = MIN_CELL) -> DataFrame:
+    """Every cell of ``analytics_safe`` with its count, and why it is ``hidden``: too small, or null if it is not."""
+    allowed = F.col("consent_analytics") & ~F.col("is_high_reidentification_risk")
+    keys = {"pickup_zone_id": "pu_location_id", "dropoff_zone_id": "do_location_id"}
+    named = consented.filter(allowed).select(*[F.col(keys.get(c, c)).alias(c) for c in CELL])
+    counted = named.groupBy(*CELL).agg(F.count(F.lit(1)).alias("trip_count"))
+    return counted.withColumn(HIDDEN, F.when(F.col("trip_count") < min_cell, PRIMARY))
+
+
+def cell_lines(cells: DataFrame) -> DataFrame:
+    """A row per cell and line that it is in: the line's month, kind and key, and the cell."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("key")) for k, c in LINES.items()])
+    told = F.struct("trip_count", *CELL).alias("cell")
+    return cells.select("data_year", "data_month", F.explode(kinds).alias("l"), HIDDEN, told).select(
+        "data_year", "data_month", "l.kind", "l.key", HIDDEN, "cell"
+    )
+
+
+def _line_states(cells: DataFrame) -> DataFrame:
+    """Per line: its total, how many cells are hidden, and the least one that is not."""
+    return cell_lines(cells).groupBy("data_year", "data_month", "kind", "key").agg(
+        F.sum("cell.trip_count").alias("total"),
+        F.count(HIDDEN).alias("n_hidden"),
+        F.min(F.when(F.col(HIDDEN).isNull(), F.col("cell"))).alias("least"),
+        F.max(F.when(F.col(HIDDEN).isNotNull(), F.col("cell"))).alias("lone"),
+    )
+
+
+def recoverable_cells(cells: DataFrame) -> DataFrame:
+    """Hidden cells that a published total gives away: the line's only ones, by subtraction."""
+    lone = _line_states(cells).filter("n_hidden = 1")
+    return lone.select("data_year", "data_month", "kind", "key", *[f"lone.{c}" for c in CELL[2:]], "lone.trip_count")
+
+
+def protect_cells(cells: DataFrame) -> DataFrame:
+    """``cells`` with more of them hidden, so that no total of a line gives one away.
+
+    A line with one hidden cell hides its least other one too, which may leave
+    a crossing line with one; rounds go on until there is none. Each round is a
+    partial aggregate by line and a join, for all lines of all months at once.
+    A line that has no other cell has a total to withhold: see ``line_totals``.
+    """
+    ensure_checkpoint_dir(cells.sparkSession)
+    name = F.to_json(F.struct(*CELL), {"ignoreNullFields": "false"})
+    cells = cells.withColumn("_cell", name).checkpoint()
+    while True:
+        least = _line_states(cells).filter("n_hidden = 1 and least is not null").select("least.*")
+        more = least.select(name.alias("_cell")).distinct().withColumn("_more", F.lit(True)).checkpoint()
+        if more.isEmpty():
+            return cells.drop("_cell")
+        reason = F.coalesce(HIDDEN, F.when(F.col("_more"), SECONDARY))
+        cells = cells.join(more, "_cell", "left").withColumn(HIDDEN, reason).drop("_more").checkpoint()
+
+
+def line_totals(cells: DataFrame) -> DataFrame:
+    """Totals by month and line, null where the total is that of one hidden cell.
+
+    All kinds of lines sum up to the same month, so a kind that withholds one
+    total withholds its least other one too. A month has a line per zone or
+    hour, so what the window sees is few.
+    """
+    lines = _line_states(cells).select("data_year", "data_month", "kind", "key", F.col("total").alias("trip_count"), "n_hidden")
+    alone = F.col("n_hidden") == 1
+    month = Window.partitionBy("data_year", "data_month", "kind")
+    ranked = lines.withColumns(
+        {"_gone": F.count_if(alone).over(month), "_rank": F.row_number().over(month.orderBy(alone, "trip_count", "key"))}
+    )
+    withheld = alone | ((F.col("_gone") == 1) & (F.col("_rank") == 1))
+    return ranked.withColumn("trip_count", F.when(~withheld, F.col("trip_count"))).drop("_gone", "_rank")
+
+
 def assert_no_forbidden_columns(mart: DataFrame) -> None:
     shown = [c for c in mart.columns if c in FORBIDDEN_COLUMNS]
     if shown:

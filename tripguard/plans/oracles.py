@@ -751,6 +751,18 @@ SELECT {_hmac('vendor_id')} AS vendor_id, strftime(pickup_at, {_HOUR}) AS pickup
     "retention_applied": IDENTITY + "\nSELECT trip_id, " + ", ".join(
         f"CASE WHEN {_AGE} <= 365 THEN {c} END AS {c}" for c in _RAW
     ) + " FROM ident",
+    "recoverable_cells": MARTS + """,
+cells AS (
+  SELECT data_year, data_month, pu_location_id AS pickup_zone_id, do_location_id AS dropoff_zone_id, pickup_hour,
+    count(*) AS trip_count
+  FROM wide WHERE consent_analytics GROUP BY ALL),
+lines AS (
+  SELECT *, 'pickup_zone' AS kind, CAST(pickup_zone_id AS VARCHAR) AS key FROM cells
+  UNION ALL SELECT *, 'dropoff_zone', CAST(dropoff_zone_id AS VARCHAR) FROM cells
+  UNION ALL SELECT *, 'hour', CAST(pickup_hour AS VARCHAR) FROM cells),
+small AS (
+  SELECT *, count(*) OVER (PARTITION BY data_year, data_month, kind, key) AS n FROM lines WHERE trip_count < 5)
+SELECT data_year, data_month, kind, key, pickup_zone_id, dropoff_zone_id, pickup_hour, trip_count FROM small WHERE n = 1""",
     "retention_features": MARTS + """
 SELECT * FROM ml
 WHERE date_diff('day', last_day(make_date(data_year, data_month, 1)), DATE '2024-06-01') <= 730""",

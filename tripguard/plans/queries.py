@@ -319,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "consent_in_force": consent_in_force,
     "mart_ml_safe": lambda s, sf: marts.ml_safe(_consented(s, sf)),
     "mart_analytics_safe": lambda s, sf: marts.analytics_safe(_consented(s, sf)),
+    "recoverable_cells": lambda s, sf: marts.recoverable_cells(marts.all_cells(_consented(s, sf))),
     "privacy_transform": privacy_transform,
     "pii_inventory": _inventory,
     "pii_handling_counts": lambda s, sf: policy.handling_counts(_inventory(s, sf)),
