@@ -282,6 +282,7 @@ _FLAGS = f"""{_draw('ml_training')} <= 0.8::DOUBLE AS consent_ml_training,
     {_draw('operational')} <= 1.0::DOUBLE AS consent_operational,
     'synthetic_demo' AS consent_source"""
 CONSENT = RISK + f""",
+consent AS (SELECT trip_id, {_FLAGS} FROM risk),
 consented AS (SELECT *, {_FLAGS} FROM risk)"""
 
 # Trip columns are carried along instead of being joined again by trip id.
