@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import table
+from tripguard.llm.common import table, written
 
 # Pieces packed together on average; more make no fuller bins worth the memory.
 GROUP_PIECES = 4096
@@ -88,25 +88,33 @@ def pack(
 
     ``n_tokens`` is any expression over ``docs``. A document longer than the
     largest length becomes pieces of that length and a rest; no token is lost.
-    Pieces are dealt at random, by a hash of id and piece, to as many groups as
-    keep them at ``group_pieces`` on average, and each group is packed in one
-    task from numbers alone: its size is bounded whatever the ids, and bins of
-    a group of thousands are as full as those of one large group.
+    Pieces are dealt at random, by a hash of the row's number and the piece, to
+    as many groups as keep them at ``group_pieces`` on average, and each group
+    is packed in one task from numbers alone: rows of one id spread like any
+    others, and bins of a group of thousands are as full as those of one large
+    group. Sizes are computed once and written in between with the row's
+    number, so that a repeated task deals as the first one did. Which rows share
+    a bin depends on how the input lies in its files.
 
     Null or negative sizes count as zero; a document of zero tokens takes no
     room but has its row. Repeated rows are packed as often as they occur; rows
     with a null id are packed too. Extra columns are ignored.
     """
     top = max(lengths.capacities)
-    sized = docs.select(F.col(id_col).alias("d"), F.greatest(F.coalesce(n_tokens.cast("bigint"), F.lit(0)), F.lit(0)).alias("n"))
+    sized = docs.select(
+        F.col(id_col).alias("d"),
+        F.greatest(F.coalesce(n_tokens.cast("bigint"), F.lit(0)), F.lit(0)).alias("n"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     cut = sized.select(
         "d",
         "n",
+        "row",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"greatest(n - 1, 0) div {top}"))).alias("piece"),
-    ).select("d", "piece", (F.col("piece") * top).alias("start"), F.least(F.lit(top), F.expr(f"n - piece * {top}")).alias("n_tokens"))
+    ).select("d", "row", "piece", (F.col("piece") * top).alias("start"), F.least(F.lit(top), F.expr(f"n - piece * {top}")).alias("n_tokens"))
+    cut = written(cut, "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
-    # Rows that repeat an id differ by their place alone; copies spread as well.
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("d", "piece", F.spark_partition_id()), F.lit(groups)))
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)))
     names = ["group", "d", "piece", "start", "n_tokens"]
 
     def pack_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
