@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,9 @@ WORD_TERMS, SHAPE_TERMS, SIGN_TERMS = 1024, 1008, 16
 TERMS = WORD_TERMS + SHAPE_TERMS + SIGN_TERMS
 BLOCK_ROWS = 512
 CACHED_WORDS = 500_000
+# Unit vectors are kept in multiples of this. A product of two such has 40 bits
+# behind the point, so sums of products are exact and come out the same in any order.
+STEP = 2.0**-20
 
 # What a byte is to a word's shape: a capital, another letter, a digit, or itself.
 _CLASSES = bytes(
@@ -114,29 +118,53 @@ class Model:
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
         """Texts as unit vectors on the latent axes; zero for texts without words."""
-        found = weighted(counts, self.weights) @ self.axes
-        length = np.linalg.norm(found, axis=1, keepdims=True)
-        return found / np.where(length > 0, length, 1)
+        return unit_rows(weighted(counts, self.weights) @ in_steps(self.axes))
+
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Labelled vectors without repeats; how many rows each stands for, and the sum of their labels."""
+        vectors, of = np.unique(self.vectors, axis=0, return_inverse=True)
+        return vectors, np.bincount(of.ravel()), np.bincount(of.ravel(), weights=self.labels)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        """Mean label of the nearest labelled vectors, weighted by cosine."""
+        """Mean label of the nearest labelled rows, weighted by cosine.
+
+        They are the ``neighbours`` nearest and all as near as the last of
+        them. All sums are exact, so the score of a text depends neither on
+        the texts beside it nor on the order of the labelled rows.
+        """
         prior = float(self.labels.mean()) if len(self.labels) else 0.5
         if not len(self.labels):
             return np.full(len(counts), prior)
-        cosines = self.latent(counts) @ self.vectors.T
-        k = min(self.neighbours, cosines.shape[1])
+        vectors, rows, positive = self.distinct
+        cosines = self.latent(counts) @ vectors.T
+        k = min(self.neighbours, len(vectors))
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(cosines, near, axis=1), 0, None).astype(np.float64)
-        total = weight.sum(axis=1)
-        votes = (weight * self.labels[near]).sum(axis=1)
-        return np.where(total > 0, votes / np.where(total > 0, total, 1), prior)
+        values = np.take_along_axis(cosines, near, axis=1)
+        order = np.argsort(-values, axis=1)
+        held = np.cumsum(np.take_along_axis(rows[near], order, axis=1), axis=1)
+        # Where the rows so far reach the number wanted; the last place if all are fewer.
+        last = np.argmax(held >= min(self.neighbours, len(self.labels)), axis=1)
+        values = np.take_along_axis(values, order, axis=1)
+        least = np.maximum(values[np.arange(len(values)), last], 0)
+        weight = np.where(cosines >= least[:, None], cosines, 0)
+        total = weight @ rows.astype(np.float64)
+        return np.where(total > 0, (weight @ positive) / np.where(total > 0, total, 1), prior)
+
+
+def in_steps(values: np.ndarray) -> np.ndarray:
+    return np.rint(values.astype(np.float64) / STEP) * STEP
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one, in steps; zero rows stay zero."""
+    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return in_steps(rows / np.where(length > 0, length, 1))
 
 
 def weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Log counts times term weights, as unit rows."""
-    out = np.log1p(counts) * weights
-    length = np.linalg.norm(out, axis=1, keepdims=True)
-    return (out / np.where(length > 0, length, 1)).astype(np.float32)
+    return unit_rows(np.log1p(counts.astype(np.float64)) * weights)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], column: int):
@@ -224,10 +252,10 @@ def fit(
     seen, n = document_frequencies(docs, text_col)
     weights = np.log((1 + n) / (1 + seen)) + 0.1
     counts, y = labelled_counts(docs, labels, id_col, text_col, label_col, settings.sample_rows)
-    rows = weighted(counts, weights).astype(np.float64)
+    rows = weighted(counts, weights)
     _, vectors = np.linalg.eigh(rows.T @ rows)
     axes = vectors[:, ::-1][:, : settings.dimensions].astype(np.float32)
-    model = Model(weights, axes, np.zeros((0, axes.shape[1]), np.float32), y, settings.neighbours)
+    model = Model(weights, axes, np.zeros((0, axes.shape[1])), y, settings.neighbours)
     model.vectors = model.latent(counts)
     return model
 
@@ -237,7 +265,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     The model is broadcast; products are computed block by block, for every row
     and the whole text. Texts without words, null ones too, get the mean label
-    of the sample; without labelled rows every score is a half.
+    of the sample; without labelled rows every score is a half. Equal texts have
+    equal scores, wherever they stand: labelled rows as near as the last of the
+    nearest vote too, and equal ones count as often as they occur.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
