@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripguard.llm.common import slices, table, texts_of
+from tripguard.llm.common import discard, slices, table, texts_of, written
 from tripguard.session import ensure_checkpoint_dir
 
 # Entities of which the retries are broadcast; beyond it they are joined by text.
@@ -49,17 +50,18 @@ _TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 PATTERNS = [
     ("secret", re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\"']?\s*[:=]\s*[\"']?)([^\s\"',;]{6,})")),
     ("secret", re.compile(r"\b((?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,})\b")),
-    ("email", re.compile(r"([A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")),
+    ("email", re.compile(r"(@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")),
     ("iban", re.compile(r"\b([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")),
     ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)")),
     ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])")),
     ("card", re.compile(r"(?<![\w-])(\d(?:[ -]?\d){12,18})(?![\w-])")),
     ("phone", re.compile(r"(?<![\w.])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|0\d{2,4}[ /-]\d{3,}(?:[ -]?\d{2,})*)(?![\w])")),
-    ("person", re.compile(rf"\b(?:{_TITLE})\b\.?[ \u00a0]((?:{_NAME})(?:[ \u00a0]{_NAME}){{0,2}})")),
+    ("person", re.compile(rf"\b((?:(?:{_TITLE})\b\.?[ \u00a0]){{1,3}})((?!(?:{_TITLE})\b){_NAME}(?:[ \u00a0](?!(?:{_TITLE})\b){_NAME}){{0,2}})")),
 ]
 # A text without any of these has no entity of the kind.
 _NEEDED = {"secret": (":", "=", "AKIA", "ASIA", "gh", "sk-", "xox"), "person": tuple(TITLES)}
 _DIGIT = re.compile(r"\d")
+_WORD = re.compile(rf"\b{_NAME}")
 
 
 def luhn(digits: str) -> bool:
@@ -79,37 +81,139 @@ def script_of(name: str) -> str:
 
 @dataclass(frozen=True)
 class Entity:
-    """A detected place: ``canon`` is the same wherever the same thing is meant."""
+    """A detected place: ``canon`` is the same wherever the same thing is meant.
+
+    ``part`` is the number of the word of ``canon`` that stands there, if not all of it.
+    """
 
     start: int
     end: int
     kind: str
     canon: str
+    part: int | None = None
+
+
+class Places:
+    """Places of a text that entities have claimed; none overlaps another."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at == 0 or self.ends[at - 1] <= start
 
+    def claim(self, start: int, end: int) -> None:
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
 
-def _person(text: str, start: int, end: int) -> Entity | None:
-    """Capitalised names after a title; gender from the title, else from a known given name, else ``u``."""
-    names = re.split(r"[ \u00a0]", text[start:end])
-    held = 0
-    while held < len(names) and names[held][0].isupper():
-        held += 1
+
+def _bare(name: str) -> str:
+    """A name without the ending of a genitive."""
+    return name[:-2] if name[-2:] in ("'s", "’s") else name
+
+
+def _person(titles: str, names: str, start: int) -> Entity | None:
+    """The capitalised names after titles; gender from a title, else from a known given name, else ``u``."""
+    held = []
+    for name in re.split(r"[ \u00a0]", names):
+        if not name[0].isupper():
+            break
+        held.append(_bare(name))
+        if held[-1] != name:
+            break
     if not held:
         return None
-    names = names[:held]
-    title = re.search(rf"({_TITLE})\.?[ \u00a0]$", text[max(0, start - 12) : start])
-    gender = TITLES.get(title[1], "") if title else ""
-    script = script_of(names[0])
+    genders = [TITLES[t] for t in re.findall(_TITLE, titles) if TITLES[t]]
+    gender = genders[0] if genders else ""
+    script = script_of(held[0])
     if not gender:
-        known = [g for (s, g), given in GIVEN_NAMES.items() if s == script and names[0] in given]
+        known = [g for (s, g), given in GIVEN_NAMES.items() if s == script and held[0] in given]
         gender = known[0] if known else "u"
-    end = start + len(" ".join(names))
-    return Entity(start, end, f"person-{gender}", " ".join(names))
+    canon = " ".join(held)
+    return Entity(start, start + len(canon), f"person-{gender}", canon)
+
+
+def _persons(text: str, places: Places) -> list[Entity]:
+    """Names after titles, and all that the text then calls by the same names.
+
+    A family name alone, with or without a title, is the full name before it
+    that ends in it and is not of the other gender, else the first such after
+    it. A full name without a title, and a common given name of one of the
+    persons alone, are the person too.
+    """
+    titled, at = [], 0
+    pattern = dict(PATTERNS)["person"]
+    while m := pattern.search(text, at):
+        entity = _person(m[1], m[2], m.start(2))
+        at = entity.end if entity else m.start(2)
+        if entity and places.free(entity.start, entity.end):
+            titled.append(entity)
+            places.claim(entity.start, entity.end)
+    if not titled:
+        return []
+    heads: dict[str, dict[str, None]] = {}
+    called: dict[str, list[tuple[int, Entity, int]]] = {}
+    for e in titled:
+        words = e.canon.split(" ")
+        heads.setdefault(words[0], {})[e.canon] = None
+        for part, word in enumerate(words):
+            last = part == len(words) - 1
+            if last or any(word in given for given in GIVEN_NAMES.values()):
+                called.setdefault(word, []).append((e.start, e, part))
+    # Full names before single ones: "Roe" is "John Roe" wherever a text has both.
+    full = {w: [x for x in found if " " in x[1].canon] for w, found in called.items()}
+    whole = {e.canon: e for e in reversed(titled)}
+    out: list[Entity] = []
+
+    def meant(word: str, start: int, kind: str | None) -> tuple[Entity, int | None] | None:
+        found = full.get(word)
+        if found and kind is not None and kind != "person-u":
+            found = [x for x in found if x[1].kind in (kind, "person-u") and x[2] == x[1].canon.count(" ")]
+        if found:
+            before = bisect_left(found, start, key=lambda x: x[0])
+            _, e, part = found[max(0, before - 1)]
+            return e, part
+        return (whole[word], None) if kind is None and word in whole else None
+
+    for e in titled:
+        other = None if " " in e.canon else meant(e.canon, e.start, e.kind)
+        out.append(Entity(e.start, e.end, other[0].kind, other[0].canon, other[1]) if other else e)
+    for m in _WORD.finditer(text):
+        word, start = _bare(m[0]), m.start()
+        if word not in heads and word not in called:
+            continue
+        longest = [
+            c
+            for c in heads.get(word, ())
+            if " " in c
+            and text[start : start + len(c)].replace("\u00a0", " ") == c
+            and not text[start + len(c) : start + len(c) + 1].isalnum()
+        ]
+        if longest:
+            e, part = whole[max(longest, key=len)], None
+            end = start + len(e.canon)
+        else:
+            found = meant(word, start, None)
+            if found is None:
+                continue
+            (e, part), end = found, start + len(word)
+        if text[end : end + 1].isdigit() or text[end : end + 1] == "_" or not places.free(start, end):
+            continue
+        places.claim(start, end)
+        out.append(Entity(start, end, e.kind, e.canon, part))
+    return out
 
 
 def detect(text: str) -> list[Entity]:
-    """Entities of a text in order; where patterns overlap, the earlier kind has the place."""
+    """Entities of a text in order; where patterns overlap, the earlier kind has the place.
+
+    The time is in proportion to the text, whatever it holds.
+    """
     found: list[Entity] = []
-    taken: list[tuple[int, int]] = []
+    places = Places()
     digits = bool(_DIGIT.search(text))
     for kind, pattern in PATTERNS:
         if kind == "email" and "@" not in text:
@@ -118,30 +222,40 @@ def detect(text: str) -> list[Entity]:
             continue
         if kind in _NEEDED and not any(x in text for x in _NEEDED[kind]):
             continue
+        if kind == "person":
+            found += _persons(text, places)
+            continue
+        last = 0
         for m in pattern.finditer(text):
             start, end = m.span(1)
-            if any(start < b and a < end for a, b in taken):
+            if kind == "email":
+                # The local part is read backwards from its @, so that no letter is read twice.
+                at = start
+                while start > last and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+                    start -= 1
+                while start < at and not (text[start].isascii() and text[start].isalnum()):
+                    start += 1
+                last = end
+                if start == at:
+                    continue
+            if not places.free(start, end):
                 continue
-            value = m[1]
+            value = text[start:end]
             plain = re.sub(r"[^0-9A-Za-z]", "", value)
             if kind == "email":
-                entity = Entity(start, end, kind, value.lower())
+                canon = value.lower()
             elif kind == "card":
                 if not luhn(plain):
                     continue
-                entity = Entity(start, end, kind, plain)
+                canon = plain
             elif kind in ("phone", "ssn", "iban"):
                 if kind == "phone" and len(plain) < 7:
                     continue
-                entity = Entity(start, end, kind, plain)
-            elif kind == "person":
-                entity = _person(text, start, end)
-                if entity is None:
-                    continue
+                canon = plain
             else:
-                entity = Entity(start, end, kind, value)
-            found.append(entity)
-            taken.append((entity.start, entity.end))
+                canon = value
+            found.append(Entity(start, end, kind, canon))
+            places.claim(start, end)
     return sorted(found, key=lambda e: e.start)
 
 
@@ -353,6 +467,8 @@ def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], tupl
         kind, attempt = attempts.get((e.kind, e.canon), (first, 0))
         host = attempts.get(("domain", e.canon.split("@", 1)[1]), ("", 0))[1] if kind == "email" else 0
         new = in_domain(key, kind, e.canon, attempt, host)
+        if e.part is not None:
+            new = new.split(" ")[e.part]
         out += [text[last : e.start], fit_format(new, text[e.start : e.end], e.kind)]
         last = e.end
     out.append(text[last:])
@@ -395,7 +511,8 @@ def replace_personal_data(
     """``docs`` with personal data in the text replaced; other columns stay as they are.
 
     Found are e-mail and IP addresses, phone, card, social security and bank
-    account numbers, keys and passwords, and names after a title. A surrogate
+    account numbers, keys and passwords, and names after a title with all that
+    the text calls the same persons (see ``_persons``). A surrogate
     is drawn with ``key`` from the kind and the canonical value, so a thing has
     one surrogate in all texts, a full name whatever its titles, and it keeps script, gender, length, classes of
     characters, separators and check digits. Two things never share one, and
@@ -406,7 +523,9 @@ def replace_personal_data(
     A null text stays null, an empty one empty. Repeated rows give equal
     results. ``count_col`` names a column for the number of places replaced.
     """
-    again = retries(_entities(docs, text_col), key).checkpoint()
+    found = written(_entities(docs, text_col), "entities")
+    again = retries(found, key).checkpoint()
+    discard(found)
     few = again.count() <= broadcast_retries
     names = list(docs.columns)
     at, width = names.index(text_col), len(names)
