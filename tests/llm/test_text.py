@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -235,6 +236,111 @@ def test_persons_and_domains_never_meet(spark, bound):
     assert len(roes) == 1 and roes.pop().split()[0] in surrogates.GIVEN_NAMES["latin", "f"]
 
 
+@pytest.mark.parametrize(
+    ("text", "canons"),
+    [
+        ("Mr. Roe and Mr. John Roe met.", ["John Roe", "John Roe"]),
+        ("Dr. Jane Roe came. Jane Roe left. Roe said so.", ["Jane Roe"] * 3),
+        ("Mr. and Mrs. Smith's dog. Smith barked, Smithson did not.", ["Smith"] * 2),
+        ("Mr. John Roe and Mrs. Anna Roe. Roe spoke, John too. Mr. Roe left.", ["John Roe", "Anna Roe", "Anna Roe", "John Roe", "John Roe"]),
+        ("Mrs. Roe met Mr. John Roe.", ["Roe", "John Roe"]),
+        ("Herr Dr. Max Müller kam. Müller ging.", ["Max Müller"] * 2),
+        ("г-н Иван Петров и Петров.", ["Иван Петров"] * 2),
+        ("Jane Roe came without a title.", []),
+        ("see -bob@x.com, ..a.b@c.org; @home.com", ["bob@x.com", "a.b@c.org"]),
+    ],
+)
+def test_one_person_has_one_name_in_a_text(text, canons):
+    found = surrogates.detect(text)
+    assert [e.canon for e in found] == canons
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))
+    new, _ = surrogates.replace_entities(text, KEY, {})
+    for e in found:
+        if e.kind.startswith("person"):
+            assert not re.search(rf"\b{e.canon.split(' ')[-1]}\b", new)
+    shift = 0
+    for e in found:
+        whole = surrogates.surrogate(KEY, "person-m" if e.kind == "person-u" else e.kind, e.canon, 0)
+        want = whole if e.part is None else whole.split(" ")[e.part]
+        assert new[e.start + shift : e.start + shift + len(want)] == want
+        shift += len(want) - (e.end - e.start)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a" * 1_000_000 + " x@y.com",
+        "a@" * 300_000,
+        "a." * 300_000 + "@",
+        "@a" + ".a" * 300_000,
+        " ".join(f"p{i}@q.rs" for i in range(20_000)),
+        "Mr. " * 200_000,
+        "Mr. John Roe said Roe. " * 10_000,
+    ],
+    ids=["letters", "ats", "dots", "labels", "addresses", "titles", "names"],
+)
+def test_long_texts_take_time_in_proportion(text):
+    def seconds(t):
+        start = time.process_time()
+        surrogates.detect(t)
+        return time.process_time() - start
+
+    assert seconds(text) < 5
+    # A quadratic search would take sixteen times as long for four times the text.
+    assert seconds(text) < 9 * seconds(text[: len(text) // 4]) + 0.5
+
+
+def plain_attempts(things, key):
+    """Which attempt each (kind, canon) gets, one round after the other."""
+    family = lambda x: "person" if x[0].startswith("person") else x[0]
+    attempt, real = dict.fromkeys(things, 0), {(family(x), x[1]) for x in things}
+    while True:
+        new = {x: (family(x), surrogates.in_domain(key, *x, attempt[x], things[x])) for x in things}
+        owner = {}
+        for x in sorted(things, key=lambda x: (attempt[x], x[1], x[0])):
+            owner.setdefault(new[x], x)
+        losers = [x for x in things if new[x] in real or owner[new[x]] != x]
+        if not losers:
+            return attempt
+        for x in losers:
+            attempt[x] += 1
+
+
+def plain_surrogates(texts, key):
+    found = {(e.kind, e.canon) for t in texts for e in surrogates.detect(t)}
+    settled = {}
+    for kind, canon in found:
+        settled[kind, canon] = kind
+        if kind.startswith("person") and (" " in canon or kind == "person-u"):
+            female = ("person-f", canon) in found and ("person-m", canon) not in found
+            settled[kind, canon] = "person-f" if female else "person-m"
+    hosts = plain_attempts({("domain", c.split("@")[1]): 0 for k, c in found if k == "email"}, key)
+    host = lambda k, c: hosts["domain", c.split("@")[1]] if k == "email" else 0
+    attempts = plain_attempts({(settled[x], x[1]): host(*x) for x in found}, key)
+    assert max(attempts.values()) > 1 and max(hosts.values()) > 0
+    out = []
+    for text in texts:
+        for e in reversed(surrogates.detect(text)):
+            kind = settled[e.kind, e.canon]
+            new = surrogates.in_domain(key, kind, e.canon, attempts[kind, e.canon], host(kind, e.canon))
+            new = new if e.part is None else new.split(" ")[e.part]
+            text = text[: e.start] + surrogates.fit_format(new, text[e.start : e.end], kind) + text[e.end :]
+        out.append(text)
+    return out
+
+
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_surrogates_equal_brute_force(spark, bound):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [*PRIVATE, "", "Dr. Jane Roe, Ms. Jane Roe.", "Prof. Jane Roe. Roe.", "Dr. Lee Poe and Poe", "Mr. Poe"]
+    texts += [f"{rng.choice(letters)}@{rng.choice(letters)}.com or {rng.choice(letters)}@Q.rs" for _ in range(80)]
+    texts += [f"Call +1 {rng.randrange(100)} {rng.randrange(10_000):04d}, Mrs. {rng.choice(['Anna ', ''])}Bar{x}" for x in letters]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = dict(surrogates.replace_personal_data(docs, KEY, broadcast_retries=bound).collect())
+    assert [got[i] for i in range(len(texts))] == plain_surrogates(texts, KEY)
+
+
 def test_surrogates_odd_tables(spark):
     docs = documents(spark, [*odd_rows(), *((50 + i, t, None, None, None) for i, t in enumerate(PRIVATE))], clash=True)
     got = surrogates.replace_personal_data(docs, KEY)
@@ -273,6 +379,31 @@ def test_scores_are_exact_votes():
         assert score == pytest.approx(sum(max(0, c) * y for c, y in cosines) / weight if weight else labels.mean(), abs=1e-5)
 
 
+def test_one_score_per_text_in_any_block_and_order():
+    """Many equal labelled rows, more of them than neighbours; scores are compared bit by bit."""
+    rng = np.random.default_rng(2)
+    base = rng.poisson(0.05, (600, quality.TERMS)).astype(np.float32)
+    at = np.concatenate([np.arange(60), np.full(31, 7), np.full(9, 11)])
+    labels = rng.integers(0, 2, len(at)).astype(float)
+    base[300:500] = base[rng.integers(0, 20, 200)]
+    axes = np.linalg.qr(rng.normal(size=(quality.TERMS, 12)))[0].astype(np.float32)
+
+    def scores(order, block):
+        model = quality.Model(np.linspace(0.1, 5, quality.TERMS), axes, None, labels[order], 15)
+        model.vectors = model.latent(base[at[order]])
+        return np.concatenate([model.score(base[i : i + block]) for i in range(0, len(base), block)])
+
+    first = scores(np.arange(len(at)), 600)
+    for block in (1, 7, 512):
+        assert np.array_equal(first, scores(rng.permutation(len(at)), block))
+    model = quality.Model(np.linspace(0.1, 5, quality.TERMS), axes, None, labels, 15)
+    cosines = model.latent(base) @ model.latent(base[at]).T
+    for row, score in zip(cosines, first):
+        least = max(0, sorted(row)[-15])
+        near = np.where(row >= least, row, 0)
+        assert score == pytest.approx((near * labels).sum() / near.sum(), abs=1e-12)
+
+
 def test_quality_odd_tables(spark):
     docs = documents(spark, clash=True)
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 18)] + [(None, 1), (5, None)], "doc_id bigint, quality int")
@@ -320,6 +451,15 @@ def test_packing_loses_nothing(spark):
     assert total / room > 0.97
 
 
+def test_rows_of_one_id_spread_over_groups(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"))
+    sizes = packing.pack(docs, F.lit(5), group_pieces=2500).groupBy("group").count().collect()
+    assert len(sizes) == 24 and sum(r["count"] for r in sizes) == 60_000
+    assert max(r["count"] for r in sizes) < 5000
+
+
 def brute_best_fit(sizes, lengths):
     """The same rule with a plain search over all open bins."""
     caps = sorted(lengths.capacities)
