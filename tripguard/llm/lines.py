@@ -1,11 +1,21 @@
-"""Near-duplicate lines by MinHash over character shingles, in DataFrame operations."""
+"""Near-duplicate lines by MinHash over character shingles.
+
+Signatures and shared shingles are counted with numpy on Arrow batches; all that
+brings rows together is joins and aggregates.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripguard.llm.common import discard, free_name, table, written
+from tripguard.llm.common import BASE, bits_of, discard, free_name, has_bit, mixed, slices, table, written
 from tripguard.llm.components import components
 
 # Characters of a shingle; a shorter line is one shingle.
@@ -16,6 +26,10 @@ FINE_BANDS, FINE_ROWS = 24, 8
 SIMILARITY = 0.8
 # Lines of a bucket up to which all its pairs are compared.
 PAIRED = 16
+# Characters whose shingles are hashed at once; one longer line is hashed whole.
+BLOCK_CHARS = 1 << 18
+# Bytes of lines whose pairs are verified at once.
+PAIR_BYTES = 1 << 18
 
 
 def turned(n: int) -> list[int]:
@@ -24,22 +38,140 @@ def turned(n: int) -> list[int]:
     return [i * 0x9E3779B1 % (1 << 32) for i in range(1, n + 1)]
 
 
-def normal_line(line: Column) -> Column:
-    """Lower-cased, with white space at the ends gone and single inside."""
-    odd = F.contains(line, F.lit("  "))
-    for space in "\t\r\f\x0b":
-        odd = odd | F.contains(line, F.lit(space))
-    single = F.when(odd, F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")).otherwise(line)
-    return F.trim(F.lower(single))
+_SPACES = re.compile(r"[ \t\r\f\x0B]+")
+
+
+def normal_lines(text: str) -> list[str]:
+    """A text's lines lower-cased, with white space at the ends gone and single inside."""
+    lower = text.lower()
+    if any(x in lower for x in ("  ", "\t", "\r", "\f", "\x0b")):
+        return [_SPACES.sub(" ", x).strip(" ") for x in lower.split("\n")]
+    return [x.strip(" ") for x in lower.split("\n")]
+
+
+def line_hashes(lines: list[str]) -> np.ndarray:
+    """A row of two 64-bit halves per line."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.encode()) for x in lines), np.int64).reshape(-1, 2)
+
+
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles from every character, and where those of each line begin and end.
+
+    Lines have ``CHARS`` characters at least.
+    """
+    codes = "".join(lines).encode("utf-32-le")
+    found, width, base = np.frombuffer(codes, np.uint32).astype(np.uint64), 1, BASE
+    while width < CHARS:
+        longer = found.copy()
+        longer[:-width] += found[width:] * np.uint64(base)
+        found, width, base = longer, 2 * width, base * base % (1 << 64)
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    return mixed(found), starts, ends - CHARS + 1
+
+
+def _blocks(lines: list[str]) -> Iterator[list[str]]:
+    held, size = [], 0
+    for line in lines:
+        if held and size + len(line) > BLOCK_CHARS:
+            yield held
+            held, size = [], 0
+        held.append(line)
+        size += len(line)
+    if held:
+        yield held
+
+
+def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
+    """A row of keys per line of ``CHARS`` characters at least: a band's key stands for several least hashes."""
+    out = [np.zeros((0, bands), np.uint64)]
+    for block in _blocks(lines):
+        hashes, starts, ends = shingle_hashes(block)
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
+        # Every other segment is what lies between the shingles of two lines.
+        edges = np.stack([starts, ends], axis=1).ravel()
+        least = [np.minimum.reduceat(short ^ np.uint32(c), edges)[::2].astype(np.uint64) for c in turned(bands * rows)]
+        keys = np.zeros((len(block), bands), np.uint64)
+        for band in range(bands):
+            key = np.full(len(block), band, np.uint64)
+            for found in least[band * rows : (band + 1) * rows]:
+                key = mixed(key * np.uint64(BASE) + found, 1)
+            keys[:, band] = key
+        out.append(keys)
+    return np.concatenate(out).view(np.int64)
+
+
+def _key_columns(bands: int) -> str:
+    return ", ".join(f"k{i} bigint" for i in range(bands))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(d, s, p, l, a, b)``: id, hash of the text, place and normal form of each line that isn't blank, and its 128-bit hash."""
-    texts = docs.select(F.col(id_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    split = texts.select("d", F.xxhash64("t").alias("s"), F.split("t", "\n").alias("raw"))
-    rows = split.select("d", "s", F.posexplode("raw").alias("p", "raw"))
-    rows = rows.select("d", "s", "p", normal_line(F.col("raw")).alias("l")).filter("l != ''")
-    return rows.withColumns({"a": F.xxhash64("l"), "b": F.xxhash64(F.lit(1), "l")})
+    """``(d, s, p, a, b, k0...)``: id, hash of the text, place and 128-bit hash of each line that isn't blank.
+
+    The band keys stand where the line is met first in a batch. A line shorter
+    than a shingle has none: it is like no other line.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("s"), text.alias("t"))
+    kind = source.schema["d"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                owners, places, numbers = [], [], []
+                known: dict[str, int] = {}
+                for owner, text in enumerate(part.column(2).to_pylist()):
+                    for place, line in enumerate(normal_lines(text)):
+                        if line:
+                            owners.append(owner)
+                            places.append(place)
+                            numbers.append(known.setdefault(line, len(known)))
+                lines = list(known)
+                long = np.array([len(x) >= CHARS for x in lines], bool)
+                keys = np.zeros((len(lines), BANDS), np.int64)
+                keys[long] = band_keys([x for x in lines if len(x) >= CHARS], BANDS, ROWS)
+                at = np.array(numbers, np.int64)
+                first = np.zeros(len(at), bool)
+                first[np.unique(at, return_index=True)[1]] = True
+                bare = ~(first & long[at])
+                halves, owner = line_hashes(lines)[at], pa.array(owners, pa.int64())
+                columns = [
+                    part.column(0).take(owner),
+                    part.column(1).take(owner),
+                    pa.array(places, pa.int32()),
+                    pa.array(halves[:, 0]),
+                    pa.array(halves[:, 1]),
+                    *[pa.array(k, mask=bare) for k in keys[at].T.copy()],
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["d", "s", "p", "a", "b", *[f"k{i}" for i in range(BANDS)]])
+
+    return source.mapInArrow(find, f"d {kind}, s bigint, p int, a bigint, b bigint, {_key_columns(BANDS)}")
+
+
+def _texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``(a, b, l)``: the normal forms of the lines with the ``a`` of ``wanted``, once each.
+
+    Lines whose bit is not set stay where they are; an exact join takes the rest.
+    """
+    wanted = wanted.select("a").distinct()
+    bits = bits_of(wanted, "a")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        array = bits()
+        for batch in batches:
+            for part in slices(batch, 0):
+                lines = list(dict.fromkeys(x for t in part.column(0).to_pylist() for x in normal_lines(t) if len(x) >= CHARS))
+                halves = line_hashes(lines)
+                held = [i for i, a in enumerate(halves[:, 0]) if has_bit(array, xxhash.xxh64_intdigest(a.tobytes(), 42))]
+                columns = [pa.array(halves[held, 0]), pa.array(halves[held, 1]), pa.array([lines[i] for i in held], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "l"])
+
+    schema = "a bigint, b bigint, l string"
+    if bits is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    found = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(find, schema)
+    near = found.join(wanted, "a", "left_semi").groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
+    return near.select("a", "t.b", "t.l")
 
 
 # Four bytes a character, so that a shingle is cut out by its place alone.
@@ -55,19 +187,17 @@ def _grams(line: str) -> Column:
     return F.array_distinct(F.expr(hashes.format(line)))
 
 
-def _signed(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(a, b, k0...)``: the distinct lines with their band keys instead of their text.
+def _signed(texts: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``(a, b, k0...)``: lines with their band keys instead of their text."""
 
-    A band's key stands for several least hashes of the shingles. Repeats of a
-    line have the same, so one aggregate, with a partial step in the scan's
-    task, makes distinct lines and their signatures. No text is shuffled.
-    """
-    coded = lines.selectExpr("a", "b", f"{WIDE} as w".format("l"), f"{PLACES} as at".format("l"))
-    hashes = coded.selectExpr("a", "b", "w", "explode(at) as i").selectExpr("a", "b", f"{SHINGLE} & 4294967295L as h")
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(c).cast("bigint"))).alias(f"m{i}") for i, c in enumerate(turned(bands * rows))]
-    signed = hashes.groupBy("a", "b").agg(*least)
-    keys = [F.xxhash64(F.lit(i), *[f"m{i * rows + j}" for j in range(rows)]).alias(f"k{i}") for i in range(bands)]
-    return signed.select("a", "b", *keys)
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                keys = band_keys(part.column(2).to_pylist(), bands, rows)
+                names = ["a", "b", *[f"k{i}" for i in range(bands)]]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *map(pa.array, keys.T.copy())], names)
+
+    return texts.select("a", "b", "l").mapInArrow(sign, f"a bigint, b bigint, {_key_columns(bands)}")
 
 
 def _shared_buckets(signed: DataFrame, bands: int = BANDS) -> DataFrame:
@@ -138,18 +268,35 @@ def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> Dat
 def _similar(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Links ``(u, v)`` of pairs whose sets of shingles are similar enough.
 
-    A pair meets its first text, and takes that along to the second. The counts
-    are written before they are filtered by: a filter pushed below them would
-    count again for each mention.
+    A pair meets its first text, and takes that along to the second.
     """
     left = texts.select("a", F.col("b").alias("b1"), F.col("l").alias("l1"))
     right = texts.select(F.col("a").alias("c"), F.col("b").alias("b2"), F.col("l").alias("l2"))
-    sets = pairs.join(left, "a").join(right, "c").select("a", "b1", _grams("l1").alias("g1"), "c", "b2", _grams("l2").alias("g2"))
-    shared = F.size(F.array_intersect("g1", "g2"))
-    counts = written(sets.select("a", "b1", "c", "b2", shared.alias("n"), (F.size("g1") + F.size("g2")).alias("m")), "line-counts")
-    return counts.filter(F.col("n") >= similarity * (F.col("m") - F.col("n"))).select(
-        _node("a", "b1").alias("u"), _node("c", "b2").alias("v")
-    )
+    both = pairs.join(left, "a").join(right, "c").select("a", "b1", "c", "b2", "l1", "l2")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 4, PAIR_BYTES):
+                sides = part.column(4).to_pylist(), part.column(5).to_pylist()
+                sets: dict[str, np.ndarray] = {}
+                for block in _blocks(list(dict.fromkeys([*sides[0], *sides[1]]))):
+                    hashes, starts, ends = shingle_hashes(block)
+                    sets.update((x, np.unique(hashes[i:j])) for x, i, j in zip(block, starts, ends))
+                near = [_alike(sets[x], sets[y], similarity) for x, y in zip(*sides)]
+                yield part.select(["a", "b1", "c", "b2"]).filter(pa.array(near, pa.bool_()))
+
+    links = written(both.mapInArrow(verify, "a bigint, b1 bigint, c bigint, b2 bigint"), "line-links")
+    return links.select(_node("a", "b1").alias("u"), _node("c", "b2").alias("v"))
+
+
+def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sets, each sorted, have this Jaccard similarity."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = np.concatenate((x, y))
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared >= similarity * (len(both) - shared)
 
 
 def _node(a: str, b: str) -> Column:
@@ -162,7 +309,7 @@ def _classes(links: DataFrame) -> DataFrame:
     return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
 
 
-def line_classes(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(a, b, root)`` of distinct lines that are near copies of others, by class.
 
     Each line of a bucket is compared with its least one first. Buckets that
@@ -172,11 +319,11 @@ def line_classes(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     classes in a large bucket even then is joined by a prefix filter. Only the
     texts of lines that share a bucket are moved, once.
     """
-    keys = written(_signed(lines), "line-keys")
+    keys = lines.filter("k0 is not null").select("a", "b", *[f"k{i}" for i in range(BANDS)])
+    keys = written(keys.distinct(), "line-keys")
     buckets = written(_shared_buckets(keys), "line-buckets")
     discard(keys)
-    near = lines.join(buckets.select("a").distinct(), "a", "left_semi").groupBy("a").agg(F.min(F.struct("b", "l")).alias("t"))
-    texts = written(near.select("a", "t.b", "t.l"), "line-texts")
+    texts = written(_texts(docs, text_col, buckets), "line-texts")
     links = _similar(texts, _star(buckets), similarity)
     classes = written(_classes(links), "line-classes")
     mixed = written(_mixed(buckets, classes), "line-mixed")
@@ -214,9 +361,8 @@ def dropped_lines(
     The line of a class that is kept is the one with the least id, and the
     first one there. A class is lines of one normal form, or linked ones.
     """
-    texts = _lines(docs, id_col, text_col)
-    lines = written(texts.select("d", "s", "p", "a", "b"), "lines")
-    near = line_classes(texts, similarity)
+    lines = written(_lines(docs, id_col, text_col), "lines")
+    near = line_classes(docs, text_col, lines, similarity)
     again = (
         lines.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
