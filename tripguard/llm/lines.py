@@ -174,17 +174,30 @@ def _texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     return near.select("a", "t.b", "t.l")
 
 
-# Four bytes a character, so that a shingle is cut out by its place alone.
-WIDE = "encode({0}, 'UTF-32')"
-PLACES = "sequence(0, greatest(char_length({0}) - %d, 0))" % CHARS
-SHINGLE = f"xxhash64(substring(w, 4 * i + 1, {4 * CHARS}))"
+def shingle_set(hashes: np.ndarray) -> np.ndarray:
+    """Distinct hashes in order."""
+    found = np.sort(hashes)
+    first = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=first[1:])
+    return found if first.all() else found[first]
 
 
-def _grams(line: str) -> Column:
-    """The distinct shingles of a line, one from each character, as 64-bit hashes."""
-    # The outer lambda holds the coded line, which the inner one would make anew for each place.
-    hashes = f"transform(array({WIDE}), w -> transform({PLACES}, i -> {SHINGLE}))[0]"
-    return F.array_distinct(F.expr(hashes.format(line)))
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """``(a, n, g)``: each distinct shingle of a line with their number."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1, PAIR_BYTES):
+                names = iter(part.column(0).to_pylist())
+                for block in _blocks(part.column(1).to_pylist()):
+                    hashes, starts, ends = shingle_hashes(block)
+                    sets = [shingle_set(hashes[i:j]) for i, j in zip(starts, ends)]
+                    sizes = np.array([len(x) for x in sets], np.int64)
+                    owner = np.array([next(names) for _ in block], np.int64)
+                    columns = [np.repeat(owner, sizes), np.repeat(sizes, sizes), np.concatenate(sets).view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "n", "g"])
+
+    return texts.select("a", "l").mapInArrow(find, "a bigint, n bigint, g bigint")
 
 
 def _signed(texts: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -239,8 +252,7 @@ def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> Dat
     """
     least = lambda part, n: F.ceil(F.lit(part) * F.col(n) - 1e-9)
     lines = texts.join(opened.select("a").distinct(), "a", "left_semi")
-    sets = lines.select("a", _grams("l").alias("g")).select("a", F.size("g").alias("n"), F.explode("g").alias("g"))
-    sets = written(sets, "line-shingles")
+    sets = written(_shingle_rows(lines), "line-shingles")
     often = sets.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     ordered = sets.join(often, "g").groupBy("a", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
     first = ordered.select("a", "n", F.slice("o", F.lit(1), (F.col("n") - least(similarity, "n") + 1).cast("int")).alias("o"))
@@ -281,7 +293,7 @@ def _similar(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
                 sets: dict[str, np.ndarray] = {}
                 for block in _blocks(list(dict.fromkeys([*sides[0], *sides[1]]))):
                     hashes, starts, ends = shingle_hashes(block)
-                    sets.update((x, np.unique(hashes[i:j])) for x, i, j in zip(block, starts, ends))
+                    sets.update((x, shingle_set(hashes[i:j])) for x, i, j in zip(block, starts, ends))
                 near = [_alike(sets[x], sets[y], similarity) for x, y in zip(*sides)]
                 yield part.select(["a", "b1", "c", "b2"]).filter(pa.array(near, pa.bool_()))
 
@@ -410,7 +422,9 @@ def dedup_lines(
     place = gone[names[2]]
     # A set's difference, since a look at all dropped lines for each line would square a long text.
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), place)
-    kept = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
+    # The outer lambda holds the split text, which the inner one would split anew for each line.
+    held = F.transform(F.array(split), lambda lines: F.transform(left, lambda i: F.get(lines, i)))
+    kept = F.array_join(F.get(held, F.lit(0)), "\n")
     columns = [
         F.when(place.isNotNull(), kept).otherwise(docs[text_col]).alias(c) if c == text_col else docs[c]
         for c in docs.columns
