@@ -214,10 +214,14 @@ def _signed(texts: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _shared_buckets(signed: DataFrame, bands: int = BANDS) -> DataFrame:
-    """``(k, a, lo, n)``: entries of buckets of several lines, with the least line and their number."""
+    """``(k, a, lo)``: entries of buckets of several lines, with the least line.
+
+    A line may be signed in several rows. Few lines share a bucket, so repeats
+    are taken out of those alone.
+    """
     entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(bands)])).alias("k"), "a")
-    ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return entries.join(ends.filter("lo != hi").drop("hi"), "k")
+    ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
+    return entries.join(ends.filter("lo != hi").drop("hi"), "k").distinct()
 
 
 def _star(buckets: DataFrame) -> DataFrame:
@@ -226,12 +230,12 @@ def _star(buckets: DataFrame) -> DataFrame:
 
 
 def _mixed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(k, a, r, lo, n)``: entries of buckets whose lines are not all of one class yet, with their class."""
+    """``(k, a, r, lo, n)``: entries of buckets whose lines are not all of one class yet, with class and bucket's size."""
     known = classes.select(F.col("a").alias("a_"), "root")
     told = buckets.join(known, F.col("a") == F.col("a_"), "left")
-    told = told.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"), "lo", "n")
-    mixed = told.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("k")
-    return told.join(mixed, "k", "left_semi")
+    told = told.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"), "lo")
+    sizes = told.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2"), F.count(F.lit(1)).alias("n"))
+    return told.join(sizes.filter("r1 != r2").select("k", "n"), "k")
 
 
 def _across(mixed: DataFrame) -> DataFrame:
@@ -331,10 +335,7 @@ def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: f
     classes in a large bucket even then is joined by a prefix filter. Only the
     texts of lines that share a bucket are moved, once.
     """
-    keys = lines.filter("k0 is not null").select("a", "b", *[f"k{i}" for i in range(BANDS)])
-    keys = written(keys.distinct(), "line-keys")
-    buckets = written(_shared_buckets(keys), "line-buckets")
-    discard(keys)
+    buckets = written(_shared_buckets(lines.filter("k0 is not null")), "line-buckets")
     texts = written(_texts(docs, text_col, buckets), "line-texts")
     links = _similar(texts, _star(buckets), similarity)
     classes = written(_classes(links), "line-classes")
@@ -356,7 +357,7 @@ def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: f
         links = links.union(_similar(texts, pairs, similarity))
         classes = written(_classes(links), "line-classes")
         if fine is not None:
-            left = written(_mixed(fine.filter(F.col("n") > PAIRED), classes).select("a", "r").distinct(), "line-open")
+            left = written(_mixed(fine, classes).filter(F.col("n") > PAIRED).select("a", "r").distinct(), "line-open")
             if not left.isEmpty():
                 links = links.union(_similar(texts, _prefix_pairs(texts, left, similarity), similarity))
                 classes = written(_classes(links), "line-classes")
