@@ -149,3 +149,46 @@ def assert_no_forbidden_columns(mart: DataFrame) -> None:
     shown = [c for c in mart.columns if c in FORBIDDEN_COLUMNS]
     if shown:
         raise ValueError(f"mart shows {', '.join(shown)}")
+
+
+# What a row of ``ml_safe`` can be recognised by.
+SHOWN = ["pickup_zone_id", "dropoff_zone_id", "pickup_hour", "pickup_day_of_week"]
+FIRST, SECOND = 1, 2
+
+
+def candidates_left(
+    released: DataFrame, id_col: str = "trip_pseudonym", keys: list[str] | None = None, k: int = MIN_CELL
+) -> DataFrame:
+    """How many rows are left for one who holds two releases and knows what each shows of a subject.
+
+    ``released`` has a row per row of either release, told apart by ``release``
+    (1 or 2). Pseudonyms that do not change link the rows, so the candidates
+    are those with one class in the first release and one in the second, or
+    with none in either. Per such pair: the classes, their sizes in each
+    release, and ``k_left``. ``is_exposed`` marks pairs of fewer than ``k``
+    rows whose classes are of ``k`` or more wherever they were released.
+
+    One shuffle by id, which no id can weigh down, and counts by class. An id
+    that a release repeats counts once, with the largest of its classes; rows
+    without an id link to nothing and are left out. Nulls in keys are values.
+    """
+    keys = keys or SHOWN
+    sides = {"first": FIRST, "second": SECOND}
+    told = F.struct(*keys)
+    linked = released.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        *[F.max(F.when(F.col("release") == number, told)).alias(side) for side, number in sides.items()]
+    )
+    cells = linked.groupBy(*sides).agg(F.count(F.lit(1)).alias("k_left")).filter("first is not null or second is not null")
+    out = cells
+    for side in sides:
+        sizes = cells.filter(F.col(side).isNotNull()).groupBy(F.col(side).alias("_class"))
+        sizes = sizes.agg(F.sum("k_left").alias(f"k_{side}"))
+        out = out.join(sizes, F.col(side) == F.col("_class"), "left").drop("_class")
+    published = F.least("k_first", "k_second")
+    return out.select(
+        *[F.col(side).isNotNull().alias(f"in_{side}") for side in sides],
+        *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in sides for c in keys],
+        *[f"k_{side}" for side in sides],
+        "k_left",
+        ((F.col("k_left") < k) & (published >= k)).alias("is_exposed"),
+    )

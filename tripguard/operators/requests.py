@@ -21,6 +21,9 @@ GDPR_ARTICLES = {
 CCPA_SECTIONS = {ERASURE: "CCPA Section 1798.105"}
 ERASURE_ACTION = "exclude_from_privacy_marts"
 
+# Ids up to which a scan is told what it is looked through for.
+LISTED_IDS = 200
+
 
 def _by_kind(values: dict[str, str]) -> Column:
     chain = F
@@ -38,6 +41,20 @@ def first_erasures(requests: DataFrame) -> DataFrame:
     )
 
 
+def trips_of(trips: DataFrame, asked: DataFrame, listed: int = LISTED_IDS) -> DataFrame:
+    """The rows of ``trips`` with a ``trip_id`` of ``asked``.
+
+    Up to ``listed`` ids become a filter of the scan, and the Bloom filters of
+    ``tables.overwrite_months`` skip row groups without any of them. More ids
+    are joined. Both give the same rows.
+    """
+    ids = asked.filter(F.col("trip_id").isNotNull()).select("trip_id").distinct()
+    few = [row[0] for row in ids.limit(listed + 1).collect()]
+    if len(few) > listed:
+        return trips.join(ids, "trip_id", "left_semi")
+    return trips.filter(F.col("trip_id").isin(few))
+
+
 def request_outcomes(requests: DataFrame, trips: DataFrame, record: list[str]) -> DataFrame:
     """Answer every request against ``trips`` (one row per trip_id).
 

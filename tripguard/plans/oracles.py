@@ -736,6 +736,24 @@ LEFT JOIN current_status m ON m.trip_id = i.trip_id AND m.category = 'ml_trainin
 LEFT JOIN current_status a ON a.trip_id = i.trip_id AND a.category = 'analytics'""",
     "mart_ml_safe": MARTS + "\nSELECT * FROM ml",
     "mart_analytics_safe": MARTS + "\nSELECT * FROM analytics",
+    "release_candidates": MARTS + """,
+sized AS (
+  SELECT pickup_zone_id, dropoff_zone_id, pickup_hour, pickup_day_of_week,
+    count(*) FILTER (WHERE data_year < 2020) AS old, count(*) FILTER (WHERE data_year >= 2020) AS new
+  FROM ml GROUP BY ALL),
+pairs AS (
+  SELECT *, true AS in_first, old AS k_first, old AS k_left FROM sized WHERE old > 0
+  UNION ALL SELECT *, false, NULL, new FROM sized WHERE new > 0)
+SELECT in_first, true AS in_second,
+  CASE WHEN in_first THEN pickup_zone_id END AS first_pickup_zone_id,
+  CASE WHEN in_first THEN dropoff_zone_id END AS first_dropoff_zone_id,
+  CASE WHEN in_first THEN pickup_hour END AS first_pickup_hour,
+  CASE WHEN in_first THEN pickup_day_of_week END AS first_pickup_day_of_week,
+  pickup_zone_id AS second_pickup_zone_id, dropoff_zone_id AS second_dropoff_zone_id,
+  pickup_hour AS second_pickup_hour, pickup_day_of_week AS second_pickup_day_of_week,
+  k_first, old + new AS k_second, k_left,
+  k_left < 5 AND old + new >= 5 AND (k_first IS NULL OR k_first >= 5) AS is_exposed
+FROM pairs""",
     "privacy_transform": IDENTITY + f"""
 SELECT source_file, pu_location_id, do_location_id, fare_amount, {_hmac('trip_id')} AS trip_pseudonym,
   strftime(pickup_at, {_HOUR}) AS pickup_hour, strftime(dropoff_at, {_HOUR}) AS dropoff_hour

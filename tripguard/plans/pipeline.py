@@ -82,7 +82,8 @@ def update_months(
         (quality.monthly_counts(staged), at.monthly_counts),
     ):
         wanted = _months_of(spark, path) if given is None else given
-        tables.overwrite_months(rows, path, shuffled=True, emptied=wanted - present)
+        lookup = "trip_id" if rows is identified else None
+        tables.overwrite_months(rows, path, shuffled=True, emptied=wanted - present, lookup=lookup)
 
 
 def expired_months(spark: SparkSession, root: str, as_of: str) -> list[str]:
@@ -140,7 +141,7 @@ def _class_sizes(spark: SparkSession, root: str, asked: DataFrame | None) -> Dat
     if asked is None:
         return sizes
     erased = requests.first_erasures(asked).select("trip_id")
-    gone = spark.read.parquet(at.identified_trips).join(erased, "trip_id", "left_semi")
+    gone = requests.trips_of(spark.read.parquet(at.identified_trips), erased)
     return risk.subtract_classes(sizes, risk.equivalence_classes(gone))
 
 
@@ -225,7 +226,9 @@ def publish(
 def answer_requests(spark: SparkSession, root: str, asked: DataFrame, record: list[str]) -> DataFrame:
     """Outcomes of all requests; their audit events are appended once each."""
     at = Layout(root)
-    outcomes = requests.request_outcomes(asked, spark.read.parquet(at.identified_trips), record)
+    wanted = asked.filter(F.col("kind") != requests.WITHDRAWAL)
+    trips = requests.trips_of(spark.read.parquet(at.identified_trips), wanted)
+    outcomes = requests.request_outcomes(asked, trips, record)
     known = tables.read(spark, at.audit_log, AUDIT_SCHEMA).select("event_id")
     new = requests.audit_events(outcomes).join(known, "event_id", "left_anti")
     tables.append(new, at.audit_log, AUDIT_SCHEMA)

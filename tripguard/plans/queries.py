@@ -157,6 +157,14 @@ def consent_in_force(spark: SparkSession, sf: str) -> DataFrame:
     return consent.consent_in_force(trips, d.consent_history(spark, sf), "user_id", "ts")
 
 
+def release_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart as released after 2019, and as released with all months."""
+    mart = marts.ml_safe(_consented(spark, sf)).select("trip_pseudonym", *marts.SHOWN, "data_year")
+    both = F.array(F.lit(marts.FIRST), F.lit(marts.SECOND))
+    numbers = F.when(F.col("data_year") < 2020, both).otherwise(F.array(F.lit(marts.SECOND)))
+    return marts.candidates_left(mart.withColumn("release", F.explode(numbers)))
+
+
 def privacy_transform(spark: SparkSession, sf: str) -> DataFrame:
     trips = d.identified(spark, sf).select(
         "trip_id", "source_file", "pickup_at", "dropoff_at", *policy.PRECISE_LOCATION,
@@ -320,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "mart_ml_safe": lambda s, sf: marts.ml_safe(_consented(s, sf)),
     "mart_analytics_safe": lambda s, sf: marts.analytics_safe(_consented(s, sf)),
     "recoverable_cells": lambda s, sf: marts.recoverable_cells(marts.all_cells(_consented(s, sf))),
+    "release_candidates": release_candidates,
     "privacy_transform": privacy_transform,
     "pii_inventory": _inventory,
     "pii_handling_counts": lambda s, sf: policy.handling_counts(_inventory(s, sf)),

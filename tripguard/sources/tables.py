@@ -15,6 +15,8 @@ from tripguard.schemas import PARTITION_COLUMNS, UNIFIED_SCHEMA
 
 # Below a monthly table; readers skip names that begin with an underscore.
 SCHEMA_FOLDER = "_schema"
+# Rows of a row group, and so of a Bloom filter, in tables that are looked through for few ids.
+GROUP_ROWS = 100_000
 
 
 def ensure_trip_table(spark: SparkSession, name: str, path: str) -> None:
@@ -47,6 +49,8 @@ def overwrite_months(
     path: str,
     shuffled: bool = False,
     emptied: Iterable[tuple[int, int]] = (),
+    lookup: str | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> None:
     """Replace the months ``df`` holds and remove those ``emptied``; all others stay.
 
@@ -54,14 +58,22 @@ def overwrite_months(
     read. ``emptied`` are (year, month) that are replaced by no rows at all; a
     dynamic overwrite leaves such months as they are, so their folders go
     afterwards. A rerun repeats both steps, after any failure.
+
+    ``lookup`` names a column by which few rows will be looked for: it gets a
+    Bloom filter per row group, which are of ``group_rows`` at most.
     """
-    (
-        (by_month(df) if shuffled else df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+    options = {"partitionOverwriteMode": "dynamic"}
+    if lookup is not None:
+        options |= {
+            f"parquet.bloom.filter.enabled#{lookup}": "true",
+            # Without a number each filter is of 1 MB.
+            f"parquet.bloom.filter.expected.ndv#{lookup}": str(group_rows),
+            # Some hundreds of values may be looked for at once.
+            f"parquet.bloom.filter.fpp#{lookup}": "0.0001",
+            "parquet.block.row.count.limit": str(group_rows),
+        }
+    rows = by_month(df) if shuffled else df
+    rows.write.mode("overwrite").options(**options).partitionBy(*PARTITION_COLUMNS).parquet(path)
     remove_months(df.sparkSession, path, emptied)
 
 
