@@ -62,6 +62,17 @@ def test_rows_keep_their_number_in_any_plan(spark, rows):
         assert whole(row_number_by(shuffled, ["k"], ["a"], "n", hot_rows=hot)) == want
 
 
+def test_rows_counted_by_some_of_the_keys(spark, rows, monkeypatch):
+    """A key with few rows may then count as hot; a hot one is never missed."""
+    used = []
+    spread = ordered._row_number_spread
+    monkeypatch.setattr(ordered, "_row_number_spread", lambda *a: used.append(a[0].count()) or spread(*a))
+    out = row_number_by(rows, ["k", "a"], ["b"], "n", hot_rows=500, counted=("k",))
+    keys = Window.partitionBy("k", "a").orderBy(F.col("b").asc_nulls_first())
+    assert ranked(out) == ranked(rows.withColumn("n", F.row_number().over(keys)))
+    assert used and used[0] >= rows.filter("k = 'hot'").count()
+
+
 def test_lag_across_buckets(spark):
     random.seed(3)
     data = [(i, i // 7 * (i % 2 + 1) // 3, random.choice([None, "x", "y"])) for i in range(200)]

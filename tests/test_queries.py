@@ -28,6 +28,27 @@ def test_query_equals_sql(spark, connection, name):
     assert difference(QUERIES[name](spark, SF), connection, ORACLES[name]) is None
 
 
+RISK_QUERIES = {
+    "reid_risk": 13, "suppress_outliers": 13, "consent_joined": 13, "generalisation_impact": 10,
+    "consent_table_joined": 4, "mart_ml_safe": 28, "mart_analytics_safe": 28, "release_candidates": 13,
+    "trip_identity": 28,
+}
+
+
+@pytest.mark.parametrize("name", sorted(RISK_QUERIES))
+def test_trips_are_joined_once_and_few_columns_of_them_moved(spark, name):
+    """The trips are read as a table, and those that are ranked have no more columns than ids and result need."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan()
+    assert "l_orderkey" not in plan.toString()
+    windows, nodes = [], [plan]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Window" and "source_file" in node.toString():
+            windows.append(node.children().head().output().size())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert windows and max(windows) <= RISK_QUERIES[name]
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 81
 
