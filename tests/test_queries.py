@@ -49,6 +49,12 @@ def test_trips_are_joined_once_and_few_columns_of_them_moved(spark, name):
     assert windows and max(windows) <= RISK_QUERIES[name]
 
 
+def test_checks_read_stored_trips(spark):
+    """Six sides of the report look at the trips; none of them joins order lines again."""
+    plan = QUERIES["checks_report"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "source_file" in plan
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 81
 
