@@ -111,3 +111,13 @@ def test_repeated_ids_give_a_row_each(spark, tmp_path):
     kinds = sorted((r["response"]["digest"], r["response"]["type"]) for r in found)
     want = [(x, "response") for x in "xyyz"] + [("", "response")] + [("x", "revisit")] * 2 + [("y", "revisit")]
     assert kinds == sorted((digest(x), kind) for x, kind in want)
+
+
+def test_archives_of_the_query_take_less_disk_than_the_pages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "shared_folder", lambda spark, what: f"file://{tmp_path}/{what}")
+    found = warc.op8_warc(spark, "/root/testdata/sf0.01")
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    payloads = sum(len((r["html"] or "").encode()) for r in pages.select("html").collect())
+    files = list((tmp_path / "warc").glob("part-*"))
+    assert found.count() == pages.count()
+    assert files and sum(f.stat().st_size for f in files) < payloads / 2

@@ -163,6 +163,12 @@ def write_archive(
         lines.write.option("compression", compression).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
+def _after(text: Column, head: Column) -> Column:
+    """What follows ``head`` and an empty line in ``text``; null if there is no empty line."""
+    there = F.octet_length(text) > F.octet_length(head)
+    return F.when(there, F.substr(text, F.char_length(head) + 2 * len(CRLF) + 1))
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """``(type, record_id, concurrent_to, refers_to, uri, date, digest, length, block)``, a row per record.
 
@@ -171,10 +177,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     the archive is cut off or was not made by ``write_archive``, stops the read.
     """
     raw = spark.read.option("lineSep", BETWEEN).text(path)
+    # Only the head, which is short, meets regular expressions.
+    head = F.substring_index("value", CRLF + CRLF, 1)
     # The first record of a file still has its version line, the others a line feed.
-    whole = F.regexp_replace("value", rf"\A(?:{VERSION}\r)?\n", "")
-    split = raw.select(F.split(whole, CRLF + CRLF, 2).alias("r")).select(
-        F.concat(F.lit(CRLF), F.col("r")[0], F.lit(CRLF)).alias("head"), F.get("r", F.lit(1)).alias("rest")
+    fields = F.regexp_replace(head, rf"\A(?:{VERSION}\r)?\n", "")
+    split = raw.select(
+        F.concat(F.lit(CRLF), fields, F.lit(CRLF)).alias("head"), _after(F.col("value"), head).alias("rest")
     )
 
     def field(name: str) -> Column:
@@ -205,9 +213,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def _http_payload(block: Column) -> Column:
     """The payload of an HTTP message, decoded as its header says."""
-    cut = F.split(block, CRLF + CRLF, 2)
-    coded = cut[0].contains("Content-Transfer-Encoding: base64")
-    return F.when(coded, F.decode(F.unbase64(F.get(cut, F.lit(1))), "UTF-8")).otherwise(F.get(cut, F.lit(1)))
+    head = F.substring_index(block, CRLF + CRLF, 1)
+    payload = _after(block, head)
+    coded = head.contains("Content-Transfer-Encoding: base64")
+    return F.when(coded, F.decode(F.unbase64(payload), "UTF-8")).otherwise(payload)
 
 
 def transactions(found: DataFrame) -> DataFrame:
@@ -253,7 +262,7 @@ def transactions(found: DataFrame) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write an archive of all pages, read it back, and tell what each capture is."""
     path = shared_folder(spark, "warc")
-    write_archive(table(spark, sf_dir, "pages"), path)
+    write_archive(table(spark, sf_dir, "pages"), path, compression="gzip")
     rows = transactions(read_records(spark, path))
     page = lambda c: F.regexp_extract(c, r":(-?\d+)(?:#[0-9a-f-]+)?>$", 1)
     told = F.regexp_extract("metadata.block", r"payloadBytes: (\d+)", 1).cast("bigint")
