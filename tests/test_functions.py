@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripguard.functions import (
     canon_amount,
+    drawn,
     hour_bucket,
     int64_sql,
     keyed_pseudonym,
@@ -70,3 +71,15 @@ def test_hour_bucket(spark):
 def test_json_keys_are_sorted(spark):
     row = "select 2 as b, cast(null as int) as c, 1 as a"
     assert one(spark, sorted_json("b", "c", "a"), row) == '{"a":1,"b":2,"c":null}'
+
+
+def test_draws_by_digits_equal_draws_by_number(spark):
+    ids = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("i"))
+    ids = ids.union(spark.createDataFrame([(None,)], "i string"))
+    for rate in (-0.1, 0.0, 1e-9, 0.5, 0.8, 0.9, 1 - 2.0**-40, 1.0):
+        number = unit_draw("ml_training", F.col("i")) <= F.lit(rate)
+        assert ids.filter(~drawn("ml_training", F.col("i"), rate).eqNullSafe(number)).count() == 0
+    # The last digits that are drawn, to either side of a draw.
+    draw = int(hashlib.sha256(b"ml_training:x").hexdigest()[:8], 16)
+    for rate, want in ((draw / 4294967295.0, True), ((draw - 1) / 4294967295.0, False)):
+        assert one(spark, drawn("ml_training", F.lit("x"), rate)) is want

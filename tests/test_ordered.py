@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripguard.operators import ordered
 from tripguard.operators.ordered import lag_in_order, row_number_by
+from tripguard.plans import driver_tables
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +81,18 @@ def test_lag_across_buckets(spark):
     got = lag_in_order(df, ["v"], ["t"], "bucket").orderBy("t").collect()
     want = df.withColumn("p", F.lag("v").over(Window.orderBy("t"))).orderBy("t").collect()
     assert [(r["t"], r["prev_v"]) for r in got] == [(r["t"], r["p"]) for r in want]
+
+
+def test_small_partitions_are_not_merged_before_rows_are_ranked(spark):
+    """What follows the numbers is costly, and cores would idle."""
+    rows = spark.range(64).selectExpr("id % 40 as k", "id as v")
+    ranked = row_number_by(rows, ["k"], ["v"], "n")
+    assert ranked.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_count_of_hot_keys_sends_a_bounded_number_of_buckets():
+    assert ordered.KEY_BUCKETS <= 1 << 16
+
+
+def test_events_of_one_row_group_are_several_tasks(spark):
+    assert driver_tables.event_trips(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() > 1

@@ -3,6 +3,7 @@
 from tripguard.functions.scalar import (  # noqa: F401
     canon_amount,
     canon_ts,
+    drawn,
     hex_to_unit,
     hmac_sha256_hex,
     hour_bucket,
