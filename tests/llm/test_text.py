@@ -417,6 +417,29 @@ def test_quality_odd_tables(spark):
     assert len(one.labels) == 3
 
 
+def test_fit_holds_a_block_of_rows_and_equals_that_of_all_rows():
+    """Memory of the driver does not hold the spread-out rows of the sample at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    packed, rows = [], np.zeros((3000, quality.TERMS), np.float32)
+    for row in rows:
+        at = np.sort(rng.choice(quality.TERMS, 60, replace=False)).astype(np.int32)
+        row[at] = rng.integers(1, 9, 60)
+        packed.append((at.tobytes(), row[at].tobytes()))
+    sample, weights = quality.Labelled(packed, np.zeros(len(packed))), np.linspace(0.1, 5, quality.TERMS)
+    whole = quality.weighted(rows, weights)
+    _, vectors = np.linalg.eigh(whole.T @ whole)
+    want = vectors[:, ::-1][:, :48].astype(np.float32)
+    tracemalloc.start()
+    got = quality._axes(sample, weights, 48)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, want)
+    # Products of terms, a copy and their vectors; rows in doubles, several times over, are more.
+    assert most < 5 * 8 * quality.TERMS**2
+
+
 def test_packing_loses_nothing(spark):
     from pyspark.sql import functions as F
 

@@ -204,9 +204,30 @@ def held_out(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string")) % 3 == 1
 
 
+@dataclass
+class Labelled:
+    """Term counts and labels of the rows that are fitted.
+
+    Few of a text's counts are not zero, and only those are held: the rows are
+    spread out a block at a time, so that the driver never holds them all.
+    """
+
+    packed: list[tuple[bytes, bytes]]  # the terms of a row, and their counts
+    labels: np.ndarray
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        """The rows in order, as ``TERMS`` counts each."""
+        for start in range(0, len(self.packed), BLOCK_ROWS):
+            part = self.packed[start : start + BLOCK_ROWS]
+            out = np.zeros((len(part), TERMS), np.float32)
+            for row, (at, n) in zip(out, part):
+                row[np.frombuffer(at, np.int32)] = np.frombuffer(n, np.float32)
+            yield out
+
+
 def labelled_counts(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int
-) -> tuple[np.ndarray, np.ndarray]:
+) -> Labelled:
     """Term counts and labels of at most ``rows`` labelled rows that are not held out.
 
     They are those with the least hash of the id, so any order of the input
@@ -234,10 +255,7 @@ def labelled_counts(
     found = joined.mapInArrow(count, f"i {kind}, y int, at binary, n binary")
     # A repeated id counts once, and the bound holds for the collected rows too.
     one = found.groupBy("i").agg(F.max(F.struct("y", "at", "n")).alias("r")).orderBy("i").select("r.*").collect()
-    matrix = np.zeros((len(one), TERMS), np.float32)
-    for row, x in zip(matrix, one):
-        row[np.frombuffer(x["at"], np.int32)] = np.frombuffer(x["n"], np.float32)
-    return matrix, np.array([x["y"] for x in one], np.float64)
+    return Labelled([(x["at"], x["n"]) for x in one], np.array([x["y"] for x in one], np.float64))
 
 
 def fit(
@@ -248,18 +266,31 @@ def fit(
     label_col: str = "quality",
     settings: Settings = Settings(),
 ) -> Model:
-    """Term weights from all documents, axes and vectors from a bounded labelled sample."""
+    """Term weights from all documents, axes and vectors from a bounded labelled sample.
+
+    The products of terms are summed by blocks of rows. Sums are exact, so they
+    are those of all rows at once.
+    """
     seen, n = document_frequencies(docs, text_col)
     weights = np.log((1 + n) / (1 + seen)) + 0.1
-    counts, y = labelled_counts(docs, labels, id_col, text_col, label_col, settings.sample_rows)
-    rows = weighted(counts, weights)
-    _, vectors = np.linalg.eigh(rows.T @ rows)
-    axes = vectors[:, ::-1][:, : settings.dimensions].astype(np.float32)
-    model = Model(weights, axes, np.zeros((0, axes.shape[1])), y, settings.neighbours)
-    model.vectors = model.latent(counts)
+    sample = labelled_counts(docs, labels, id_col, text_col, label_col, settings.sample_rows)
+    axes = _axes(sample, weights, settings.dimensions)
+    none = np.zeros((0, axes.shape[1]))
+    model = Model(weights, axes, none, sample.labels, settings.neighbours)
+    model.vectors = np.concatenate([none, *map(model.latent, sample.blocks())])
     return model
 
 
+def _axes(sample: Labelled, weights: np.ndarray, dimensions: int) -> np.ndarray:
+    """The directions in which the sample's rows differ most."""
+    products = np.zeros((TERMS, TERMS))
+    for counts in sample.blocks():
+        rows = weighted(counts, weights)
+        products += rows.T @ rows
+    _, vectors = np.linalg.eigh(products)
+    return vectors[:, ::-1][:, :dimensions].astype(np.float32)
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with a double column ``out``; any other columns stay as they are.
 
