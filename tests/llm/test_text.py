@@ -440,6 +440,27 @@ def test_fit_holds_a_block_of_rows_and_equals_that_of_all_rows():
     assert most < 5 * 8 * quality.TERMS**2
 
 
+def test_scoring_memory_does_not_grow_with_the_words_of_a_corpus():
+    """Hundreds of thousands of distinct words, few of which any task need remember."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    axes, vectors = rng.normal(size=(quality.TERMS, 48)).astype(np.float32), quality.unit_rows(rng.normal(size=(4096, 48)))
+    model = quality.Model(np.ones(quality.TERMS), axes, vectors, rng.integers(0, 2, 4096).astype(float), 15)
+    texts = [" ".join(f"w{i}x{j}" for j in range(250)) for i in range(1600)]
+    batch, terms, scores = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"]), quality.Terms(), []
+    model.distinct  # noqa: B018  held for the whole task, whatever the blocks
+    tracemalloc.start()
+    for block in quality._blocks(iter([batch]), 0):
+        scores.append(model.score(terms.counts(quality.texts_of(block, 0))))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, scores)) == len(texts)
+    assert most < 100e6
+
+
 def test_packing_loses_nothing(spark):
     from pyspark.sql import functions as F
 

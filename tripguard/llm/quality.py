@@ -19,8 +19,10 @@ from tripguard.llm.common import free_name, slices, table, texts_of
 # Columns of the term matrix: words, shapes of words, and signs of repetition.
 WORD_TERMS, SHAPE_TERMS, SIGN_TERMS = 1024, 1008, 16
 TERMS = WORD_TERMS + SHAPE_TERMS + SIGN_TERMS
-BLOCK_ROWS = 512
-CACHED_WORDS = 500_000
+# Rows counted and scored at once, and words whose terms a task remembers. A worker
+# keeps the memory of its largest block, and stands beside a full heap.
+BLOCK_ROWS = 128
+CACHED_WORDS = 1 << 17
 # Unit vectors are kept in multiples of this. A product of two such has 40 bits
 # behind the point, so sums of products are exact and come out the same in any order.
 STEP = 2.0**-20
@@ -42,19 +44,18 @@ class Settings:
     neighbours: int = 15
 
 
-def _term_of_word(word: bytes) -> tuple[int, int]:
+def _terms_of_word(word: bytes) -> int:
+    """The word's term and its shape's, as one number to base ``TERMS``."""
     shape = _RUNS.sub(rb"\1", word.translate(_CLASSES))
-    return (
-        xxhash.xxh64_intdigest(word.lower()) % WORD_TERMS,
-        WORD_TERMS + xxhash.xxh64_intdigest(shape) % SHAPE_TERMS,
-    )
+    by_word = xxhash.xxh64_intdigest(word.lower()) % WORD_TERMS
+    return by_word * TERMS + WORD_TERMS + xxhash.xxh64_intdigest(shape) % SHAPE_TERMS
 
 
 class Terms:
     """Counts of hashed terms of texts."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """A row of ``TERMS`` counts per text; whole texts are read."""
@@ -65,17 +66,16 @@ class Terms:
         coded = pa.array([w for s in split for w in s], pa.binary()).dictionary_encode()
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        known, pairs = self.known, []
+        known, both = self.known, []
         for word in coded.dictionary.to_pylist():
-            pair = known.get(word)
-            if pair is None:
-                pair = known[word] = _term_of_word(word)
-            pairs.append(pair)
+            terms = known.get(word)
+            if terms is None:
+                terms = known[word] = _terms_of_word(word)
+            both.append(terms)
         ids = coded.indices.to_numpy().astype(np.int64)
-        terms = np.array(pairs, np.int64).reshape(-1, 2)[ids]
         out = np.zeros(rows * TERMS, np.float32)
-        for column in (0, 1):
-            out += np.bincount(owner * TERMS + terms[:, column], minlength=rows * TERMS)
+        for terms in np.divmod(np.array(both, np.int64), TERMS):
+            out += np.bincount(owner * TERMS + terms[ids], minlength=rows * TERMS)
         out = out.reshape(rows, TERMS)
         self._signs(out, owner, ids, sizes)
         self._lines(out, texts)
