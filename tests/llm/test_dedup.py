@@ -41,6 +41,27 @@ def test_components(spark):
     assert cc.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_leave_one_table_and_no_shuffles(spark):
+    """Each round's table and shuffles go with the next round, or a chain of rounds fills the disk."""
+    from pathlib import Path
+
+    from tripguard.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    scratch = Path(context.getCheckpointDir().removeprefix("file:"))
+    local = Path(context._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    shuffles = lambda: {p.name for p in local.rglob("shuffle_*")}
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "u bigint, v bigint")
+    held, files = set(scratch.iterdir()), shuffles()
+    found = cc.components(links)
+    left = set(scratch.iterdir()) - held
+    assert len(left) == 1 and shuffles() <= files
+    assert {r["root"] for r in found.collect()} == {0}
+    cc.discard(found)
+    assert set(scratch.iterdir()) == held
+
+
 def brute_print(text):
     words = (text or "").encode().lower().split()
     width = min(3, len(words))

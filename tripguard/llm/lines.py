@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripguard.llm.common import BASE, bits_of, discard, free_name, has_bit, mixed, slices, table, written
@@ -217,36 +217,47 @@ def _shared_buckets(signed: DataFrame, bands: int = BANDS) -> DataFrame:
     """``(k, a, lo)``: entries of buckets of several lines, with the least line.
 
     A line may be signed in several rows. Few lines share a bucket, so repeats
-    are taken out of those alone.
+    are taken out of those alone. Most buckets have one line, and are not worth
+    counting before entries are dealt; count and join share one shuffle.
     """
-    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(bands)])).alias("k"), "a")
+    entries = signed.select(F.explode(F.array(*[f"k{i}" for i in range(bands)])).alias("k"), "a").repartition("k")
     ends = entries.groupBy("k").agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
     return entries.join(ends.filter("lo != hi").drop("hi"), "k").distinct()
 
 
 def _star(buckets: DataFrame) -> DataFrame:
-    """``(a, c)``: each line of a bucket with its least one, so a bucket may be of any size."""
-    return buckets.filter("a != lo").select(F.col("lo").alias("a"), F.col("a").alias("c")).distinct()
+    """``(a, c, u, v)``: each line of a bucket with its least one, so a bucket may be of any size."""
+    return buckets.filter("a != lo").selectExpr("lo as a", "a as c").distinct().selectExpr("a", "c", "a as u", "c as v")
+
+
+def _star_across(mixed: DataFrame) -> DataFrame:
+    """``(a, c, u, v)``: each line of a bucket with its least one, if that is of another class."""
+    return mixed.filter("r != lo_r").selectExpr("lo as a", "a as c", "lo_r as u", "r as v")
 
 
 def _mixed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(k, a, r, lo, n)``: entries of buckets whose lines are not all of one class yet, with class and bucket's size."""
+    """``(k, a, r, lo, lo_r, n)``: entries of buckets whose lines are not all of one class yet.
+
+    With their class and that of the least line, which is a line itself where
+    none is known, and the bucket's size.
+    """
     known = classes.select(F.col("a").alias("a_"), "root")
     told = buckets.join(known, F.col("a") == F.col("a_"), "left")
-    told = told.select("k", "a", F.coalesce("root", F.hex("a")).alias("r"), "lo")
-    sizes = told.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2"), F.count(F.lit(1)).alias("n"))
-    return told.join(sizes.filter("r1 != r2").select("k", "n"), "k")
+    told = told.select("k", "a", F.coalesce("root", "a").alias("r"), "lo")
+    least = F.max(F.when(F.col("a") == F.col("lo"), F.col("r"))).alias("lo_r")
+    sizes = told.groupBy("k").agg(F.min("r").alias("r1"), F.max("r").alias("r2"), F.count(F.lit(1)).alias("n"), least)
+    return told.join(sizes.filter("r1 != r2").select("k", "lo_r", "n"), "k")
 
 
 def _across(mixed: DataFrame) -> DataFrame:
-    """``(a, c)``: the pairs of different classes in buckets of up to ``PAIRED`` lines."""
-    small = mixed.filter((F.col("n") > 2) & (F.col("n") <= PAIRED)).select("k", "a", "r")
-    other = small.toDF("k", "c", "r_")
-    return small.join(other, "k").filter("a < c and r != r_").select("a", "c").distinct()
+    """``(a, c, u, v)``: the pairs of different classes in buckets of up to ``PAIRED`` lines."""
+    small = mixed.filter((F.col("n") > 2) & (F.col("n") <= PAIRED)).selectExpr("k", "a", "r as u")
+    other = small.toDF("k", "c", "v")
+    return small.join(other, "k").filter("a < c and u != v").select("a", "c", "u", "v")
 
 
 def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> DataFrame:
-    """``(a, c)``: all pairs of open lines of different classes that can be similar enough, by prefix filter.
+    """``(a, c, u, v)``: all pairs of open lines of different classes that can be similar enough, by prefix filter.
 
     A line's shingles are put in one order for all lines, the rarest first.
     Sets of sizes n >= m that are similar share one of the first
@@ -257,11 +268,13 @@ def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> Dat
     least = lambda part, n: F.ceil(F.lit(part) * F.col(n) - 1e-9)
     lines = texts.join(opened.select("a").distinct(), "a", "left_semi")
     sets = written(_shingle_rows(lines), "line-shingles")
-    often = sets.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+    # A line's own shingles come first, and link nothing: their number alone is needed.
+    often = sets.groupBy("g").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     ordered = sets.join(often, "g").groupBy("a", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
-    first = ordered.select("a", "n", F.slice("o", F.lit(1), (F.col("n") - least(similarity, "n") + 1).cast("int")).alias("o"))
-    posted = first.select("a", "n", F.posexplode("o").alias("i", "o")).filter("o.f > 1").select("a", "n", "i", F.col("o.g").alias("g"))
-    posted = posted.join(opened, "a")
+    ordered = ordered.withColumn("own", F.col("n") - F.size("o"))
+    taken = F.greatest(F.col("n") - least(similarity, "n") + 1 - F.col("own"), F.lit(0)).cast("int")
+    first = ordered.select("a", "n", "own", F.posexplode(F.slice("o", F.lit(1), taken)).alias("i", "o"))
+    posted = first.selectExpr("a", "n", "own + i as i", "o.g as g").join(opened, "a")
     # Shingles of one class alone link nothing.
     mixed = posted.groupBy("g").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).filter("r1 != r2").select("g")
     posted = written(posted.join(mixed, "g", "left_semi"), "line-prefixes")
@@ -274,8 +287,7 @@ def _prefix_pairs(texts: DataFrame, opened: DataFrame, similarity: float) -> Dat
         & (F.col("n2") >= similarity * F.col("n") - 1e-9)
         & (F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) >= share)
     )
-    pairs = posted.join(small, "g").filter(fits)
-    pairs = pairs.select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("c")).distinct()
+    pairs = posted.join(small, "g").filter(fits).selectExpr("a", "a2 as c", "r as u", "r2 as v").distinct()
     out = written(pairs, "line-pairs")
     discard(sets, posted)
     return out
@@ -286,23 +298,22 @@ def _similar(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 
     A pair meets its first text, and takes that along to the second.
     """
-    left = texts.select("a", F.col("b").alias("b1"), F.col("l").alias("l1"))
-    right = texts.select(F.col("a").alias("c"), F.col("b").alias("b2"), F.col("l").alias("l2"))
-    both = pairs.join(left, "a").join(right, "c").select("a", "b1", "c", "b2", "l1", "l2")
+    left = texts.select("a", F.col("l").alias("l1"))
+    right = texts.select(F.col("a").alias("c"), F.col("l").alias("l2"))
+    both = pairs.join(left, "a").join(right, "c").select("u", "v", "l1", "l2")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 4, PAIR_BYTES):
-                sides = part.column(4).to_pylist(), part.column(5).to_pylist()
+            for part in slices(batch, 2, PAIR_BYTES):
+                sides = part.column(2).to_pylist(), part.column(3).to_pylist()
                 sets: dict[str, np.ndarray] = {}
                 for block in _blocks(list(dict.fromkeys([*sides[0], *sides[1]]))):
                     hashes, starts, ends = shingle_hashes(block)
                     sets.update((x, shingle_set(hashes[i:j])) for x, i, j in zip(block, starts, ends))
                 near = [_alike(sets[x], sets[y], similarity) for x, y in zip(*sides)]
-                yield part.select(["a", "b1", "c", "b2"]).filter(pa.array(near, pa.bool_()))
+                yield part.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
-    links = written(both.mapInArrow(verify, "a bigint, b1 bigint, c bigint, b2 bigint"), "line-links")
-    return links.select(_node("a", "b1").alias("u"), _node("c", "b2").alias("v"))
+    return both.mapInArrow(verify, "u bigint, v bigint")
 
 
 def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
@@ -315,14 +326,18 @@ def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     return shared >= similarity * (len(both) - shared)
 
 
-def _node(a: str, b: str) -> Column:
-    return F.concat(F.hex(a), F.lit("."), F.hex(b))
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(a, root)``: classes, and lines that were none, joined by links of their roots.
 
-
-def _classes(links: DataFrame) -> DataFrame:
-    parts = F.split("id", r"\.")
-    unhex = lambda c: F.conv(c, 16, -10).cast("bigint")
-    return components(links).select(unhex(parts[0]).alias("a"), unhex(parts[1]).alias("b"), "root")
+    Only the roots go through the union-find, not the links that are joined already.
+    """
+    found = components(links)
+    to = found.toDF("root", "to")
+    grown = classes.join(to, "root", "left").select("a", F.coalesce("to", "root").alias("root"))
+    lone = found.toDF("a", "root").join(classes.select("a"), "a", "left_anti")
+    out = written(grown.union(lone), "line-classes")
+    discard(found)
+    return out
 
 
 def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -337,8 +352,7 @@ def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: f
     """
     buckets = written(_shared_buckets(lines.filter("k0 is not null")), "line-buckets")
     texts = written(_texts(docs, text_col, buckets), "line-texts")
-    links = _similar(texts, _star(buckets), similarity)
-    classes = written(_classes(links), "line-classes")
+    classes = components(_similar(texts, _star(buckets), similarity)).toDF("a", "root")
     mixed = written(_mixed(buckets, classes), "line-mixed")
     discard(buckets)
     pairs = _across(mixed)
@@ -348,22 +362,23 @@ def line_classes(docs: DataFrame, text_col: str, lines: DataFrame, similarity: f
         keys = written(_signed(texts.join(opened.select("a").distinct(), "a", "left_semi"), FINE_BANDS, FINE_ROWS), "line-keys")
         fine = written(_shared_buckets(keys, FINE_BANDS), "line-buckets")
         discard(keys)
-        finer = _mixed(fine, classes)
-        pairs = pairs.union(_across(finer)).union(_star(finer.filter(F.col("n") > PAIRED)))
+        finer = written(_mixed(fine, classes), "line-mixed")
         # Buckets of two lines are all star.
-        pairs = pairs.union(_star(finer.filter("n = 2"))).distinct()
-    pairs = written(pairs, "line-pairs")
+        pairs = pairs.union(_across(finer)).union(_star_across(finer.filter((F.col("n") > PAIRED) | (F.col("n") == 2))))
+    pairs = written(pairs.distinct(), "line-pairs")
+    discard(mixed, *([finer] if fine is not None else []))
     if not pairs.isEmpty():
-        links = links.union(_similar(texts, pairs, similarity))
-        classes = written(_classes(links), "line-classes")
+        classes = _merged(classes, _similar(texts, pairs, similarity))
         if fine is not None:
             left = written(_mixed(fine, classes).filter(F.col("n") > PAIRED).select("a", "r").distinct(), "line-open")
             if not left.isEmpty():
-                links = links.union(_similar(texts, _prefix_pairs(texts, left, similarity), similarity))
-                classes = written(_classes(links), "line-classes")
+                classes = _merged(classes, _similar(texts, _prefix_pairs(texts, left, similarity), similarity))
             discard(left)
-    discard(texts, mixed, pairs, *([fine] if fine is not None else []))
-    return classes
+    discard(pairs, *([fine] if fine is not None else []))
+    # A text has one hash of 128 bits for the first half that it goes by.
+    named = written(classes.join(texts.select("a", "b"), "a").select("a", "b", "root"), "line-classes")
+    discard(texts)
+    return named
 
 
 def dropped_lines(
@@ -381,12 +396,12 @@ def dropped_lines(
         .agg(F.count(F.lit(1)).alias("n"))
         .join(near, ["a", "b"], "left")
         .filter("n > 1 or root is not null")
-        .select("a", "b", F.coalesce("root", _node("a", "b")).alias("root"))
+        .select("a", "b", F.coalesce("root", "a").alias("r1"), F.when(F.col("root").isNull(), F.col("b")).otherwise(0).alias("r2"))
     )
-    placed = lines.join(again, ["a", "b"]).select("root", "d", "s", "p")
+    placed = lines.join(again, ["a", "b"]).select("r1", "r2", "d", "s", "p")
     # Pre-aggregated, so a line that every document has is no task's burden.
-    first = placed.groupBy("root").agg(F.min(F.struct(F.col("d").isNull(), "d", "s", "p")).alias("f"))
-    gone = placed.join(first, "root").filter(
+    first = placed.groupBy("r1", "r2").agg(F.min(F.struct(F.col("d").isNull(), "d", "s", "p")).alias("f"))
+    gone = placed.join(first, ["r1", "r2"]).filter(
         ~(F.col("d").eqNullSafe(F.col("f.d")) & (F.col("s") == F.col("f.s")) & (F.col("p") == F.col("f.p")))
     )
     return gone.groupBy("d", "s").agg(F.collect_set("p").alias("gone"))
